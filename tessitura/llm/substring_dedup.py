@@ -72,10 +72,10 @@ def _pack(k: int, buckets: int):
     """mapInArrow: documents (id, text) to (bucket, block); a block holds the super-k-mers of one bucket, compressed."""
 
     def run(batches):
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=4)
         for batch in batches:
             all_ids = batch.column(0).to_numpy()
-            for start, stop in shared.steps(batch.column(1)):
+            for start, stop in shared.steps(batch.column(1), 4_000_000):
                 ids = all_ids[start:stop]
                 words = shared.Words(shared.as_bytes(batch.column(1).slice(start, stop - start)))
                 doc, first, count, key = _super_kmers(words, k)
@@ -148,7 +148,7 @@ def _solve(k: int):
             texts.append(raw[8 + 18 * n :])
         doc, start, count = map(np.concatenate, (ids, starts, counts))
         words = shared.Words(texts)
-        del texts
+        texts.clear()
         begin = np.cumsum(count + k - 1) - (count + k - 1)
         order = np.lexsort((start, doc))
         doc, start, count, begin = doc[order], start[order], count[order], begin[order]
@@ -214,7 +214,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
     texts under ``k`` words stay whole. A null id sorts first. Repeated rows of a document (same id) don't remove
     each other and get the same result.
     """
-    parts = 2 * shared.shuffle_partitions(docs.sparkSession)
+    parts = 3 * shared.shuffle_partitions(docs.sparkSession)
     source = docs.select(shared.numbered(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     blocks = source.mapInArrow(_pack(k, parts), "_bucket int, _block binary")
     runs = blocks.repartitionById(parts, F.col("_bucket")).mapInArrow(_solve(k), "_owner long, _run long")
