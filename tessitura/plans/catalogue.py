@@ -1,6 +1,387 @@
-"""Every query of the engine by name, with its SQL."""
+"""Every query of the engine by name, with its SQL for comparison."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from pyspark.sql import functions as F
+
+from tessitura.functions import music, text
+from tessitura.operators import jobs, pitch, segments, signal
+from tessitura.operators.text_eval import evaluate_pairs
+from tessitura.plans import proxies
+from tessitura.session import table
+
+#: Five frames a window, and thresholds that all bind on the test tables.
+WINDOW = {"sr": 16000, "hop": 256, "window_ms": 80}
+LIMITS = {"std": 0.8, "voiced": 0.8, "hnr_drop": 2.0}
+TARGET = (110.0, 220.0)
+_HOUR = proxies.HOUR
+
+
+def _r6(df, *columns):
+    for c in columns:
+        df = df.withColumn(c, F.bround(c, 6))
+    return df
+
+
+def _windows(spark, d):
+    return pitch.pitch_windows(proxies.frames(spark, d), **WINDOW)
+
+
+def _stable(spark, d):
+    return pitch.mark_stable(_windows(spark, d), **LIMITS)
+
+
+def pitch_scale(spark, d):
+    f = proxies.frames(spark, d)
+    return f.select(
+        "track_id", "frame_idx", F.bround(music.midi_float("f0_hz"), 6).alias("midi"), music.midi_int("f0_hz").alias("midi_int"), F.bround(music.f0_midi("f0_hz"), 6).alias("f0_midi"),
+        F.bround(music.hz(music.midi_int("f0_hz")), 6).alias("note_hz"), music.note_of_hz("f0_hz").alias("note"),
+    )
+
+
+def pitch_windows(spark, d):
+    return _windows(spark, d)
+
+
+def trailing_hnr_baseline(spark, d):
+    return _r6(pitch.trailing_baseline(_windows(spark, d)), "baseline_hnr_db").select("track_id", "index", "median_hnr_db", "baseline_hnr_db")
+
+
+def stable_windows(spark, d):
+    return _stable(spark, d).select("track_id", "index", "stable")
+
+
+def stable_range(spark, d):
+    return pitch.stable_range(_stable(spark, d))
+
+
+def stable_range_gap1(spark, d):
+    return pitch.stable_range(_stable(spark, d), 1)
+
+
+def stable_range_gap2(spark, d):
+    return pitch.stable_range(_stable(spark, d), 2)
+
+
+def note_stats(spark, d):
+    return pitch.note_stats(proxies.frames(spark, d, wide=True))
+
+
+def note_run(spark, d):
+    return pitch.note_run(pitch.note_stats(proxies.frames(spark, d, wide=True)), 5.0)
+
+
+def singer_stats(spark, d):
+    return pitch.singer_stats(proxies.frames(spark, d, wide=True))
+
+
+def octave_shift(spark, d):
+    found = pitch.pitch_shift(pitch.singer_stats(proxies.frames(spark, d, wide=True)), *TARGET)
+    return found.select("track_id", *[F.col(f"target_range.{c}").alias(f"target_{c}") for c in ("low_note", "high_note", "center_hz", "center_note")], *[c for c in found.columns if c not in ("track_id", "target_range")])
+
+
+def text_normalize(spark, d):
+    c = table(spark, d, "conversations")
+    plain = F.regexp_replace("text", r"[^\x00-\x7F]", "")
+    return c.select("conv_id", "turn", text.normalise(plain).alias("normalized"))
+
+
+def wer_cer(spark, d):
+    found = evaluate_pairs(proxies.pairs(spark, d), details=False)
+    return _r6(found, "wer", "cer").select("conv_id", "turn", "word_edits", "char_edits", "wer", "cer", "note")
+
+
+def wer_counts(spark, d):
+    found = evaluate_pairs(proxies.pairs(spark, d))
+    return found.select("conv_id", "turn", (F.col("substitutions") + F.col("deletions") + F.col("insertions")).alias("word_edits"), (F.col("hits") + F.col("substitutions") + F.col("deletions")).alias("n_source"), (F.col("hits") + F.col("substitutions") + F.col("insertions")).alias("n_converted"))
+
+
+def _segments(spark, d):
+    ranges = segments.activity_ranges(proxies.levels(spark, d), min_gap=12 * _HOUR, step=0)
+    bounds = ranges.select("track_id").distinct().join(F.broadcast(proxies.track_end(spark, d)))
+    return segments.vocal_segments(ranges, bounds, min_segment=6 * _HOUR, keep=_HOUR)
+
+
+def vocal_segments(spark, d):
+    return _segments(spark, d)
+
+
+def segment_seconds(spark, d):
+    return segments.to_seconds(_segments(spark, d))
+
+
+def segment_overlap_join(spark, d):
+    return segments.contained(proxies.levels(spark, d), _segments(spark, d)).select("track_id", "event_id", "index")
+
+
+def reassemble_left(spark, d):
+    s = _segments(spark, d)
+    chunks = s.where(F.col("index") % 3 != 0).select("track_id", "filename", F.col("duration_ms").alias("chunk_ms"))
+    return segments.reassemble(s, chunks).select("track_id", "index", "filename", "chunk_ms", "missing")
+
+
+def _jobs(spark, d):
+    return table(spark, d, "documents").select(F.col("doc_id").alias("subprefix"), "lang", "n_chars"), table(spark, d, "labels").select(F.col("doc_id").alias("subprefix"))
+
+
+def job_plan(spark, d):
+    listing, done = _jobs(spark, d)
+    return jobs.plan_jobs(listing, done, limit=500).select("subprefix", "lang")
+
+
+def _statuses(spark, d):
+    listing, done = _jobs(spark, d)
+    found = jobs.outcomes(listing.withColumn("complete", F.col("n_chars") >= 500), "complete", done)
+    failed = F.when(F.col("subprefix") % 17 == 0, "inference_error").when(F.col("subprefix") % 19 == 0, "download_error").otherwise("ok")
+    return found.withColumn("status", F.coalesce("status", failed))
+
+
+def job_outcomes(spark, d):
+    return _statuses(spark, d).select("subprefix", "status")
+
+
+def job_summary(spark, d):
+    return jobs.job_summary(_statuses(spark, d))
+
+
+def file_gate(spark, d):
+    files = table(spark, d, "documents").select(F.concat(F.lit("run/"), F.floor(F.col("doc_id") / 3).cast("string"), F.lit("/"), F.element_at(F.array(*map(F.lit, jobs.REQUIRED)), (F.col("doc_id") % 3 + 1).cast("int"))).alias("path"), "n_chars")
+    return jobs.file_gate(files.where("n_chars > 600").select("path")).select("subprefix", "complete")
+
+
+def checkpoint_pick(spark, d):
+    kinds = F.element_at(F.array(*map(F.lit, ("G_", "D_", "added_", "", "_G_"))), (F.col("p_partkey") % 5 + 1).cast("int"))
+    end = F.when(F.col("p_size") % 2 == 0, ".pth").otherwise(".index")
+    files = table(spark, d, "part").select(F.concat("p_brand", F.lit("/"), F.floor(F.col("p_partkey") / 40).cast("string")).alias("folder"), F.concat(kinds, F.regexp_replace("p_name", "[^A-Za-z0-9]+", "_"), F.lit("_"), F.col("p_partkey").cast("string"), end).alias("name"), "p_retailprice")
+    pth = jobs.first_by(jobs.inference_checkpoints(files, "folder"), "folder", "name").select("folder", F.col("name").alias("pth"))
+    index = jobs.best_index(files, "folder", valid=F.col("p_retailprice") > 950).select("folder", F.col("name").alias("index"))
+    return files.select("folder").distinct().join(pth, "folder", "left").join(index, "folder", "left")
+
+
+def uri_parse(spark, d):
+    return table(spark, d, "pages").select("page_id", text.bucket_of("url").alias("bucket"), text.prefix_of("url").alias("prefix"), text.prefix_of("url", False).alias("bare_prefix"), text.last_segment("url").alias("last_segment"))
+
+
+def content_key(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5("text").alias("content_md5"), text.path_key("source").alias("path_key"), text.output_stem(F.md5("text"), F.when(F.col("lang") == "en", text.path_key("lang"))).alias("stem"))
+
+
+def metadata_json(spark, d):
+    e = table(spark, d, "events")
+    body = F.struct(F.col("event_id").alias("id"), F.struct((F.col("event_type") == "error").alias("failed"), F.get_json_object("props", "$.k").cast("int").alias("k")).alias("stages"))
+    parsed = F.from_json(F.to_json(body), "id bigint, stages struct<failed:boolean,k:int>, extra string")
+    return e.select("event_id", F.to_json(body).alias("json"), parsed["stages"]["k"].alias("k"), parsed["extra"].alias("extra"))
+
+
+def backend_choice(spark, d):
+    return jobs.choose_backend(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", ("demucs", "roformer", "mdxchain", "uvr5"), "7")
+
+
+def frame_signal(spark, d):
+    f = signal.frames(proxies.signals(spark, d), 16, 8)
+    return f.select("track_id", "frame_idx", F.bround(F.aggregate("frame", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("total"), F.size("frame").alias("n"))
+
+
+def hnr_autocorr(spark, d):
+    return proxies.signals(spark, d).select("track_id", F.bround(signal.hnr("samples", 20.0, fmin=1.0, fmax=10.0), 6).alias("hnr_db"))
+
+
+def hnr_cepstral(spark, d):
+    return proxies.signals(spark, d).select("track_id", F.bround(signal.hnr("samples", 1000.0, "cepstral", fmin=50, fmax=500), 4).alias("hnr_db"))
+
+
+def hnr_spectral(spark, d):
+    return proxies.signals(spark, d).select("track_id", F.bround(signal.hnr("samples", 1000.0, "spectral", f0=F.lit(100.0)), 4).alias("hnr_db"))
+
+
+def mix_overlay(spark, d):
+    s = proxies.signals(spark, d).withColumn("samples", F.col("samples").cast("array<double>")).withColumn("half", F.slice("samples", 1, 32))
+    total = lambda c: F.bround(F.aggregate(c, F.lit(0.0), lambda a, x: a + x), 6)
+    return s.select("track_id", total(signal.mix("samples", "half")).alias("mixed"), total(signal.subtract("samples", signal.fit_length("half", 64))).alias("rest"), F.size(signal.mix("samples", "half")).alias("n_mixed"))
+
+
+def stem_sum(spark, d):
+    s = proxies.signals(spark, d).where("track_id < 50").select((F.col("track_id") % 10).alias("track_id"), F.concat(F.lit("stem"), F.floor(F.col("track_id") / 10).cast("string")).alias("stem"), F.posexplode("samples").alias("sample_idx", "value"))
+    return _r6(signal.stem_sum(s.withColumn("value", F.col("value").cast("double")), "stem0"), "value")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        pitch_scale, pitch_windows, trailing_hnr_baseline, stable_windows, stable_range, stable_range_gap1, stable_range_gap2, note_stats, note_run, singer_stats, octave_shift, text_normalize, wer_cer, wer_counts,
+        vocal_segments, segment_seconds, segment_overlap_join, reassemble_left, job_plan, job_outcomes, job_summary, file_gate, checkpoint_pick, uri_parse, content_key, metadata_json, backend_choice, frame_signal,
+        hnr_autocorr, hnr_cepstral, hnr_spectral, mix_overlay, stem_sum,
+    )
+}
+
+# SQL -----------------------------------------------------------------------------------------------------------------
+
+_NOTES = "['C','C#','D','D#','E','F','F#','G','G#','A','A#','B']"
+
+
+def _midi(hz: str) -> str:
+    return f"CASE WHEN {hz} > 0 THEN 12*log2({hz}/440)+69 ELSE -1 END"
+
+
+def _hz(m: str) -> str:
+    return f"440*pow(2, ({m} - 69)/12.0)"
+
+
+def _name(m: str) -> str:
+    return f"({_NOTES}[CAST((({m}) % 12 + 12) % 12 AS INT) + 1] || CAST(CAST(floor(({m})/12.0) - 1 AS BIGINT) AS VARCHAR))"
+
+
+def _note(hz: str) -> str:
+    return f"CASE WHEN {hz} > 0 THEN {_name(f'CAST(round_even(12*log2({hz}/440)+69, 0) AS INT)')} ELSE '?' END"
+
+
+def _frames(hz: str) -> str:
+    k = "CAST(json_extract_string(props, '$.k') AS INT)"
+    return (
+        "frames AS (SELECT user_id AS track_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INT) AS frame_idx, event_type <> 'error' AS voiced, "
+        f"CASE WHEN event_type <> 'error' THEN {hz} ELSE 0 END AS f0_hz, CASE WHEN event_type <> 'error' AND {k} >= 5 THEN {k}/5.0 - 2 END AS hnr_db FROM events)"
+    )
+
+
+_NARROW, _WIDE = _frames("220 + value/10"), _frames("65 + value")
+_WINDOWS = f"""{_NARROW},
+m AS (SELECT *, CASE WHEN f0_hz > 0 THEN 12*log2(f0_hz/440 + 1e-10)+69 ELSE 0 END AS midi FROM frames),
+g AS (SELECT track_id, CAST(floor(frame_idx/5.0) AS INT) AS w, count(*) AS n, count(*) FILTER (voiced AND midi > 0) AS nv, stddev_pop(midi) FILTER (voiced AND midi > 0) AS sd,
+      avg(midi) FILTER (voiced AND midi > 0) AS mean, median(hnr_db) FILTER (voiced AND midi > 0) AS hnr FROM m GROUP BY 1, 2 HAVING count(*) = 5),
+h AS (SELECT *, CASE WHEN nv >= 3 THEN {_hz('mean')} ELSE 0 END AS mhz FROM g),
+windows AS (SELECT track_id, w AS "index", round_even(w*5*256/16000.0, 3) AS t_start, round_even((w*5+4)*256/16000.0, 3) AS t_end, round_even(nv/5.0, 3) AS voiced_ratio, CASE WHEN nv >= 3 THEN round_even(sd, 3) END AS std_semitones,
+      CASE WHEN nv >= 3 THEN round_even(hnr, 1) END AS median_hnr_db, round_even(CASE WHEN nv >= 3 THEN mean ELSE 0 END, 2) AS mean_midi, round_even(mhz, 1) AS mean_hz, {_note('mhz')} AS note FROM h)"""
+_STABLE = f"""{_WINDOWS},
+b AS (SELECT *, median(median_hnr_db) OVER (PARTITION BY track_id ORDER BY "index" ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS baseline FROM windows),
+stable AS (SELECT *, (voiced_ratio >= 0.8 AND coalesce(std_semitones < 0.8, false) AND (baseline IS NULL OR coalesce(median_hnr_db >= baseline - 2.0, false))) AS stable FROM b)"""
+
+
+def _range(gap: int) -> str:
+    return f"""WITH {_STABLE},
+s AS (SELECT track_id, "index" AS i, CASE WHEN "index" - lag("index") OVER (PARTITION BY track_id ORDER BY "index") <= {gap + 1} THEN 0 ELSE 1 END AS fresh FROM stable WHERE stable),
+isl AS (SELECT track_id, i, sum(fresh) OVER (PARTITION BY track_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM s),
+sp AS (SELECT track_id, k, min(i) AS a, max(i) AS z FROM isl GROUP BY 1, 2),
+best AS (SELECT track_id, a, z FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY z - a DESC, a) AS r FROM sp) WHERE r = 1),
+j AS (SELECT t.track_id, count(*) AS n_windows, count(*) FILTER (t.stable) AS n_stable, min(a) AS start_window, min(z) AS end_window,
+      min(mean_midi) FILTER (t.stable AND mean_midi > 0 AND "index" BETWEEN a AND z) AS low_midi, max(mean_midi) FILTER (t.stable AND mean_midi > 0 AND "index" BETWEEN a AND z) AS high_midi,
+      min(t_start) FILTER ("index" BETWEEN a AND z) AS low_time, max(t_end) FILTER ("index" BETWEEN a AND z) AS high_time
+      FROM stable t LEFT JOIN best ON t.track_id = best.track_id GROUP BY 1)
+SELECT track_id, n_windows, n_stable, start_window, end_window, low_midi, high_midi, CASE WHEN low_midi > 0 THEN {_note(_hz('low_midi'))} END AS low, CASE WHEN high_midi > 0 THEN {_note(_hz('high_midi'))} END AS high,
+      CASE WHEN low_midi > 0 THEN round_even({_hz('low_midi')}, 1) END AS low_hz, CASE WHEN high_midi > 0 THEN round_even({_hz('high_midi')}, 1) END AS high_hz, low_time, high_time,
+      CAST(coalesce(round_even(high_midi - low_midi, 0), 0) AS INT) AS semitones FROM j"""
+
+
+_NOTE_STATS = f"""{_WIDE},
+k AS (SELECT *, CAST(round_even({_midi('f0_hz')}, 0) AS INT) AS midi FROM frames WHERE voiced AND f0_hz > 0 AND hnr_db IS NOT NULL),
+notes AS (SELECT track_id, midi, {_name('midi')} AS note, round_even({_hz('midi')}, 1) AS hz, round_even(avg(hnr_db), 1) AS mean_hnr, round_even(median(hnr_db), 1) AS median_hnr, round_even(min(hnr_db), 1) AS min_hnr,
+      count(*) AS n_frames, round_even(min(frame_idx)*512/16000.0, 3) AS first_time, round_even(max(frame_idx)*512/16000.0, 3) AS last_time FROM k WHERE midi >= 0 GROUP BY track_id, midi)"""
+_SINGER = f"""{_WIDE},
+v AS (SELECT track_id, CASE WHEN voiced AND f0_hz > 0 THEN 12*log2(f0_hz/440)+69 END AS m FROM frames),
+s AS (SELECT track_id, avg(m) AS mean, median(m) AS med, min(m) AS low, max(m) AS high, count(m) AS n FROM v GROUP BY 1),
+singer AS (SELECT track_id, round_even({_hz('mean')}, 1) AS mean_hz, CASE WHEN n > 0 THEN {_note(_hz('mean'))} END AS mean_note, round_even(mean, 2) AS mean_midi, round_even({_hz('med')}, 1) AS median_hz,
+      CASE WHEN n > 0 THEN {_note(_hz('med'))} END AS median_note, round_even(med, 2) AS median_midi, round_even({_hz('low')}, 1) AS low_hz, CASE WHEN n > 0 THEN {_note(_hz('low'))} END AS low_note, round_even({_hz('high')}, 1) AS high_hz,
+      CASE WHEN n > 0 THEN {_note(_hz('high'))} END AS high_note, round_even(high - low, 1) AS range_semitones, n AS n_voiced_frames, CASE WHEN n = 0 THEN 'no voiced frames' END AS error FROM s)"""
+_PAIRS = r"""p AS (SELECT conv_id, turn, text, lead(text) OVER w AS next_text, lead(turn) OVER w AS next_turn FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+q AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g'), ' '), lambda x: x <> '')[1:40] AS a,
+      list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(next_text, '')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g'), ' '), lambda x: x <> '')[1:40] AS b FROM p WHERE next_turn = turn + 1),
+v AS (SELECT *, list_distinct(list_concat(a, b)) AS voc FROM q),
+e AS (SELECT *, levenshtein(array_to_string(list_transform(a, lambda x: chr(CAST(32 + list_position(voc, x) AS INT))), ''), array_to_string(list_transform(b, lambda x: chr(CAST(32 + list_position(voc, x) AS INT))), '')) AS word_edits,
+      levenshtein(array_to_string(a, ' '), array_to_string(b, ' ')) AS char_edits FROM v)"""
+_LEVELS = """lv AS (SELECT user_id AS track_id, event_id, date_diff('millisecond', (SELECT min(ts) FROM events), ts) AS at_ms FROM events),
+nw AS (SELECT track_id, at_ms, CASE WHEN at_ms - lag(at_ms) OVER (PARTITION BY track_id ORDER BY at_ms) < 43200000 THEN 0 ELSE 1 END AS fresh FROM lv),
+rg AS (SELECT track_id, at_ms, sum(fresh) OVER (PARTITION BY track_id ORDER BY at_ms ROWS UNBOUNDED PRECEDING) AS k FROM nw),
+ranges AS (SELECT track_id, k, min(at_ms) AS a, max(at_ms) AS z FROM rg GROUP BY 1, 2 HAVING max(at_ms) - min(at_ms) >= 21600000),
+seg AS (SELECT track_id, CAST(row_number() OVER (PARTITION BY track_id ORDER BY a) AS INT) AS "index", greatest(a - 3600000, 0) AS start_ms, least(z + 3600000, (SELECT max(at_ms) FROM lv)) AS end_ms FROM ranges),
+segs AS (SELECT *, end_ms - start_ms AS duration_ms, lpad(CAST("index" AS VARCHAR), 5, '0') || '.wav' AS filename FROM seg)"""
+_STATUS = """st AS (SELECT d.doc_id AS subprefix, CASE WHEN d.n_chars < 500 THEN 'skipped_missing' WHEN d.doc_id IN (SELECT doc_id FROM labels) THEN 'skipped_already_done' WHEN d.doc_id % 17 = 0 THEN 'inference_error'
+      WHEN d.doc_id % 19 = 0 THEN 'download_error' ELSE 'ok' END AS status FROM documents d)"""
+
+ORACLE_SQL = {
+    "pitch_scale": f"WITH {_NARROW} SELECT track_id, frame_idx, round_even({_midi('f0_hz')}, 6) AS midi, CAST(round_even({_midi('f0_hz')}, 0) AS INT) AS midi_int, round_even(CASE WHEN f0_hz > 0 THEN 12*log2(f0_hz/440 + 1e-10)+69 ELSE 0 END, 6) AS f0_midi, "
+    f"round_even({_hz(f'round_even({_midi("f0_hz")}, 0)')}, 6) AS note_hz, {_note('f0_hz')} AS note FROM frames",
+    "pitch_windows": f"WITH {_WINDOWS} SELECT * FROM windows",
+    "trailing_hnr_baseline": f"WITH {_STABLE} SELECT track_id, \"index\", median_hnr_db, round_even(baseline, 6) AS baseline_hnr_db FROM stable",
+    "stable_windows": f"WITH {_STABLE} SELECT track_id, \"index\", stable FROM stable",
+    "stable_range": _range(0),
+    "stable_range_gap1": _range(1),
+    "stable_range_gap2": _range(2),
+    "note_stats": f"WITH {_NOTE_STATS} SELECT * FROM notes",
+    "note_run": f"""WITH {_NOTE_STATS},
+u AS (SELECT *, CASE WHEN midi - lag(midi) OVER (PARTITION BY track_id ORDER BY midi) <= 2 THEN 0 ELSE 1 END AS fresh FROM notes WHERE median_hnr >= 5),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY track_id ORDER BY midi ROWS UNBOUNDED PRECEDING) AS k FROM u),
+r AS (SELECT track_id, k, min(midi) AS low_midi, max(midi) AS high_midi, count(*) AS n_notes, arg_min(first_time, midi) AS low_time, arg_max(last_time, midi) AS high_time FROM i GROUP BY 1, 2),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY n_notes DESC, low_midi) AS o FROM r) WHERE o = 1),
+t AS (SELECT DISTINCT track_id FROM notes)
+SELECT t.track_id, low_midi, high_midi, n_notes, {_name('low_midi')} AS low, {_name('high_midi')} AS high, round_even({_hz('low_midi')}, 1) AS low_hz, round_even({_hz('high_midi')}, 1) AS high_hz, low_time, high_time, coalesce(high_midi - low_midi + 1, 0) AS semitones
+FROM t LEFT JOIN b ON t.track_id = b.track_id""",
+    "singer_stats": f"WITH {_SINGER} SELECT * FROM singer",
+    "octave_shift": f"""WITH {_SINGER},
+c AS (SELECT *, (12*log2(110.0/440)+69 + 12*log2(220.0/440)+69)/2 AS centre FROM singer),
+x AS (SELECT *, centre - median_midi AS exact, CAST(round_even((centre - median_midi)/12, 0)*12 AS INT) AS shift FROM c),
+y AS (SELECT *, {_hz('median_midi + shift')} AS moved FROM x)
+SELECT track_id, {_note('110.0')} AS target_low_note, {_note('220.0')} AS target_high_note, round_even({_hz('centre')}, 1) AS target_center_hz, {_note(_hz('centre'))} AS target_center_note, shift AS shift_semitones, CAST(floor(shift/12.0) AS INT) AS shift_octaves,
+round_even(exact, 2) AS shift_exact_semitones, round_even(moved, 1) AS shifted_median_hz, CASE WHEN moved IS NOT NULL THEN {_note('moved')} END AS shifted_median_note, round_even({_hz('12*log2(low_hz/440)+69 + shift')}, 1) AS shifted_low_hz,
+round_even({_hz('12*log2(high_hz/440)+69 + shift')}, 1) AS shifted_high_hz, moved BETWEEN 110.0 AND 220.0 AS median_in_target_range FROM y""",
+    "text_normalize": r"SELECT conv_id, turn, trim(regexp_replace(regexp_replace(lower(regexp_replace(text, '[^\x00-\x7F]', '', 'g')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g')) AS normalized FROM conversations",
+    "wer_cer": f"""WITH {_PAIRS} SELECT conv_id, turn, word_edits, char_edits,
+CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(word_edits AS DOUBLE)/len(a), 6) END AS wer,
+CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(char_edits AS DOUBLE)/length(array_to_string(a, ' ')), 6) END AS cer,
+CASE WHEN len(a) = 0 AND len(b) = 0 THEN 'both texts are empty' WHEN len(a) = 0 OR len(b) = 0 THEN 'one text is empty' END AS note FROM e""",
+    "wer_counts": f"""WITH {_PAIRS} SELECT conv_id, turn, CASE WHEN len(a) > 0 AND len(b) > 0 THEN word_edits END AS word_edits, CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(a) END AS n_source,
+CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(b) END AS n_converted FROM e""",
+    "vocal_segments": f"WITH {_LEVELS} SELECT track_id, \"index\", start_ms, end_ms, duration_ms, filename FROM segs",
+    "segment_seconds": f"WITH {_LEVELS} SELECT track_id, round_even(start_ms/1000.0, 6) AS start_time, round_even(end_ms/1000.0, 6) AS end_time FROM segs",
+    "segment_overlap_join": f"WITH {_LEVELS} SELECT lv.track_id, lv.event_id, s.\"index\" FROM lv JOIN segs s ON lv.track_id = s.track_id AND lv.at_ms >= s.start_ms AND lv.at_ms < s.end_ms",
+    "reassemble_left": f"WITH {_LEVELS} SELECT track_id, \"index\", filename, CASE WHEN \"index\" % 3 <> 0 THEN duration_ms END AS chunk_ms, \"index\" % 3 = 0 AS missing FROM segs",
+    "job_plan": "WITH l AS (SELECT doc_id AS subprefix, lang FROM documents ORDER BY doc_id LIMIT 500) SELECT subprefix, lang FROM l WHERE subprefix NOT IN (SELECT doc_id FROM labels)",
+    "job_outcomes": f"WITH {_STATUS} SELECT subprefix, status FROM st",
+    "job_summary": f"WITH {_STATUS} SELECT count(*) AS total, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status LIKE 'skipped%') AS skipped, count(*) FILTER (status LIKE '%error') AS errors, CAST(count(*) FILTER (status LIKE '%error') > 0 AS INT) AS exit_code FROM st",
+    "file_gate": "SELECT 'run/' || CAST(CAST(floor(doc_id/3.0) AS BIGINT) AS VARCHAR) || '/' AS subprefix, count(DISTINCT doc_id % 3) = 3 AS complete FROM documents WHERE n_chars > 600 GROUP BY 1",
+    "checkpoint_pick": """WITH f AS (SELECT p_brand || '/' || CAST(CAST(floor(p_partkey/40.0) AS BIGINT) AS VARCHAR) AS folder, (['G_','D_','added_','','_G_'])[CAST(p_partkey % 5 + 1 AS INT)] || regexp_replace(p_name, '[^A-Za-z0-9]+', '_', 'g') || '_' || CAST(p_partkey AS VARCHAR)
+      || CASE WHEN p_size % 2 = 0 THEN '.pth' ELSE '.index' END AS name, p_retailprice FROM part),
+p AS (SELECT *, NOT (starts_with(name, 'D_') OR starts_with(name, 'G_') OR starts_with(name, '_D_') OR starts_with(name, '_G_') OR starts_with(name, '._D_') OR starts_with(name, '._G_')) AS usable FROM f WHERE name LIKE '%.pth'),
+q AS (SELECT *, bool_or(usable) OVER (PARTITION BY folder) AS any_usable FROM p),
+pth AS (SELECT folder, min(name) AS pth FROM q WHERE CASE WHEN any_usable THEN usable ELSE NOT contains(name, 'D_') END GROUP BY 1),
+ix AS (SELECT folder, name AS "index" FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY NOT starts_with(name, 'added_'), name) AS r FROM f WHERE name LIKE '%.index' AND p_retailprice > 950) WHERE r = 1),
+d AS (SELECT DISTINCT folder FROM f)
+SELECT d.folder, pth.pth, ix."index" FROM d LEFT JOIN pth ON d.folder = pth.folder LEFT JOIN ix ON d.folder = ix.folder""",
+    "uri_parse": r"""WITH x AS (SELECT page_id, regexp_extract(url, '^[a-z0-9+.-]+://([^/]+)', 1) AS b, regexp_replace(regexp_extract(url, '^[a-z0-9+.-]+://[^/]+/?(.*)$', 1), '/+$', '') AS p, regexp_replace(url, '/+$', '') AS u FROM pages)
+SELECT page_id, CASE WHEN b <> '' THEN b END AS bucket, CASE WHEN p = '' THEN '' ELSE p || '/' END AS prefix, p AS bare_prefix, string_split(u, '/')[-1] AS last_segment FROM x""",
+    "content_key": "SELECT doc_id, md5(text) AS content_md5, substr(md5(source), 1, 10) AS path_key, 'source_' || md5(text) || '_rvcmodel_' || CASE WHEN lang = 'en' THEN substr(md5(lang), 1, 10) ELSE 'norvc' END AS stem FROM documents",
+    "metadata_json": """SELECT event_id, '{"id":' || CAST(event_id AS VARCHAR) || ',"stages":{"failed":' || CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END || ',"k":' || json_extract_string(props, '$.k') || '}}' AS json,
+CAST(json_extract_string(props, '$.k') AS INT) AS k, CAST(NULL AS VARCHAR) AS extra FROM events""",
+    "backend_choice": "SELECT o_orderkey, (['demucs','roformer','mdxchain','uvr5'])[CAST(CAST('0x' || substr(md5('7:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 4 + 1 AS INT)] AS backend FROM orders",
+    "frame_signal": "SELECT vec_id AS track_id, CAST(i AS INT) AS frame_idx, round_even(list_sum(list_transform(embedding[i*8+1:i*8+16], lambda x: CAST(x AS DOUBLE))), 6) AS total, CAST(16 AS INT) AS n FROM (SELECT vec_id, embedding, unnest(range(0, 7)) AS i FROM embeddings)",
+    "hnr_autocorr": """WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings), c AS (SELECT vec_id, list_transform(x, lambda v: v - list_sum(x)/64) AS c FROM x),
+e AS (SELECT vec_id, c, list_sum(list_transform(c, lambda v: v*v)) AS e FROM c),
+l AS (SELECT vec_id, e, k, list_sum(list_transform(range(1, 65 - k), lambda i: c[i]*c[i+k])) AS s FROM (SELECT vec_id, e, c, unnest(range(2, 21)) AS k FROM e)),
+r AS (SELECT vec_id, e, least(greatest(max(s)/(e + 1e-10), 1e-6), 1 - 1e-6) AS r FROM l GROUP BY vec_id, e)
+SELECT vec_id AS track_id, CASE WHEN e >= 1e-10 THEN round_even(10*log10(r/(1-r)), 6) END AS hnr_db FROM r""",
+    "mix_overlay": """WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings)
+SELECT vec_id AS track_id, round_even(2*list_sum(x[1:32]), 6) AS mixed, round_even(list_sum(x[33:64]), 6) AS rest, CAST(32 AS INT) AS n_mixed FROM x""",
+    "stem_sum": """WITH x AS (SELECT vec_id % 10 AS track_id, embedding AS x, unnest(range(1, 65)) AS i FROM embeddings WHERE vec_id BETWEEN 10 AND 49)
+SELECT track_id, CAST(i - 1 AS INT) AS sample_idx, round_even(sum(CAST(x[i] AS DOUBLE)), 6) AS value FROM x GROUP BY 1, 2""",
+}
+
+
+def _half_even(sql: str) -> str:
+    """``round_even(x, d)`` for 0 < d < 6 as integer arithmetic on x in millionths, which no binary fraction disturbs."""
+    mark, at = "round_even(", 0
+    while (at := sql.find(mark, at)) >= 0:
+        depth, end = 1, at + len(mark)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        x, _, digits = sql[at + len(mark) : end - 1].rpartition(",")
+        if 0 < (d := int(digits)) < 6:
+            unit = 10 ** (6 - d)
+            whole = f"floor(n / {unit}.0)"
+            up = f"CASE WHEN 2 * (n - {whole} * {unit}) > {unit} OR (2 * (n - {whole} * {unit}) = {unit} AND CAST({whole} AS BIGINT) % 2 <> 0) THEN 1 ELSE 0 END"
+            new = f"list_transform([CAST(round(({x}) * 1000000) AS BIGINT)], lambda n: ({whole} + {up}) / {10**d}.0)[1]"
+            sql = sql[:at] + new + sql[end:]
+        else:
+            at += len(mark)
+    return sql
+
+
+ORACLE_SQL = {name: _half_even(sql) for name, sql in ORACLE_SQL.items()}
