@@ -172,7 +172,7 @@ def read_tokens(spark: SparkSession, folder: str, files: list[tuple[str, int, in
                 )
 
     found = spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*.tpl").load(folder).select("path", "content")
-    return found.repartition(min(len(files), 4 * shared.shuffle_partitions(spark)), "path").mapInArrow(run, schema)
+    return found.mapInArrow(run, schema)
 
 
 def op9_token_files(spark, sf_dir):
