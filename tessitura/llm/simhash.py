@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tessitura.llm import shared
 
 
+_ARC = 56  # bits above which a key holds the number of its arc
+
+
 def fingerprint(text: bytes, width: int = 4, seed: int = 42) -> int:
     """The 64-bit majority of the XXH64 values of a text's word shingles, repeats included; 0 without words."""
     words = text.lower().split()  # of bytes: A-Z and ASCII white space only
@@ -151,7 +154,7 @@ def links(classes: DataFrame, most: int = 4) -> DataFrame:
     keyed = classes.select(
         "_fp", "_rep",
         F.explode(F.array(*[
-            F.lit(i << 60).bitwiseOR(F.shiftrightunsigned("_fp", ring.low[i]).bitwiseAND(F.lit((1 << ring.wide[i]) - 1))) for i in range(ring.m)
+            F.lit(i << _ARC).bitwiseOR(F.shiftrightunsigned("_fp", ring.low[i]).bitwiseAND(F.lit((1 << ring.wide[i]) - 1))) for i in range(ring.m)
         ])).alias("_key"),
     )
 
@@ -162,7 +165,7 @@ def links(classes: DataFrame, most: int = 4) -> DataFrame:
         fp, rep, key = (np.concatenate([b.column(k).to_numpy() for b in tables]) for k in range(3))
         nodes, place = np.unique(rep, return_inverse=True)
         groups = Groups(len(nodes))
-        near(fp.view(np.uint64), (key.view(np.uint64) >> np.uint64(60)).astype(np.int64), place, ring, groups)
+        near(fp.view(np.uint64), (key.view(np.uint64) >> np.uint64(_ARC)).astype(np.int64), place, ring, groups)
         least = np.full(len(nodes), np.iinfo(np.int64).max)
         np.minimum.at(least, groups.root, nodes)
         least = least[groups.root]
