@@ -201,7 +201,8 @@ def mix_overlay(spark, d):
 
 
 def stem_sum(spark, d):
-    s = proxies.signals(spark, d).where("track_id < 50").select((F.col("track_id") % 10).alias("track_id"), F.concat(F.lit("stem"), F.floor(F.col("track_id") / 10).cast("string")).alias("stem"), F.posexplode("samples").alias("sample_idx", "value"))
+    # five neighbouring vectors are the stems of one track
+    s = proxies.signals(spark, d).select(F.floor(F.col("track_id") / 5).alias("track_id"), F.concat(F.lit("stem"), (F.col("track_id") % 5).cast("string")).alias("stem"), F.posexplode("samples").alias("sample_idx", "value"))
     return _r6(signal.stem_sum(s.withColumn("value", F.col("value").cast("double")), "stem0"), "value")
 
 
@@ -282,11 +283,13 @@ singer AS (SELECT track_id, round_even({_hz('mean')}, 1) AS mean_hz, CASE WHEN n
       CASE WHEN n > 0 THEN {_note(_hz('med'))} END AS median_note, round_even(med, 2) AS median_midi, round_even({_hz('low')}, 1) AS low_hz, CASE WHEN n > 0 THEN {_note(_hz('low'))} END AS low_note, round_even({_hz('high')}, 1) AS high_hz,
       CASE WHEN n > 0 THEN {_note(_hz('high'))} END AS high_note, round_even(high - low, 1) AS range_semitones, n AS n_voiced_frames, CASE WHEN n = 0 THEN 'no voiced frames' END AS error FROM s)"""
 _PAIRS = r"""p AS (SELECT conv_id, turn, text, lead(text) OVER w AS next_text, lead(turn) OVER w AS next_turn FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
-q AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g'), ' '), lambda x: x <> '')[1:40] AS a,
-      list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(next_text, '')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g'), ' '), lambda x: x <> '')[1:40] AS b FROM p WHERE next_turn = turn + 1),
-v AS (SELECT *, list_distinct(list_concat(a, b)) AS voc FROM q),
-e AS (SELECT *, levenshtein(array_to_string(list_transform(a, lambda x: chr(CAST(32 + list_position(voc, x) AS INT))), ''), array_to_string(list_transform(b, lambda x: chr(CAST(32 + list_position(voc, x) AS INT))), '')) AS word_edits,
-      levenshtein(array_to_string(a, ' '), array_to_string(b, ' ')) AS char_edits FROM v)"""
+q AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g'), ' '), lambda x: x <> '') AS a,
+      list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(next_text, '')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g'), ' '), lambda x: x <> '') AS b FROM p WHERE next_turn = turn + 1),
+dp AS (SELECT conv_id, turn, a, b, 0 AS i, list_transform(range(0, len(b) + 1), lambda j: CAST(j AS BIGINT)) AS edits FROM q
+       UNION ALL
+       SELECT conv_id, turn, a, b, i + 1, list_transform(range(0, len(b) + 1), lambda j: list_min(best[1:j + 1]) + j)
+       FROM (SELECT *, list_transform(range(0, len(b) + 1), lambda j: CASE WHEN j = 0 THEN i + 1 ELSE least(edits[j] + CASE WHEN a[i + 1] = b[j] THEN 0 ELSE 1 END, edits[j + 1] + 1) END - j) AS best FROM dp WHERE i < len(a))),
+e AS (SELECT conv_id, turn, a, b, edits[len(b) + 1] AS word_edits, levenshtein(array_to_string(a, ' '), array_to_string(b, ' ')) AS char_edits FROM dp WHERE i = len(a))"""
 _LEVELS = """lv AS (SELECT user_id AS track_id, event_id, date_diff('millisecond', (SELECT min(ts) FROM events), ts) AS at_ms FROM events),
 nw AS (SELECT track_id, at_ms, CASE WHEN at_ms - lag(at_ms) OVER (PARTITION BY track_id ORDER BY at_ms) < 43200000 THEN 0 ELSE 1 END AS fresh FROM lv),
 rg AS (SELECT track_id, at_ms, sum(fresh) OVER (PARTITION BY track_id ORDER BY at_ms ROWS UNBOUNDED PRECEDING) AS k FROM nw),
@@ -323,11 +326,11 @@ SELECT track_id, {_note('110.0')} AS target_low_note, {_note('220.0')} AS target
 round_even(exact, 2) AS shift_exact_semitones, round_even(moved, 1) AS shifted_median_hz, CASE WHEN moved IS NOT NULL THEN {_note('moved')} END AS shifted_median_note, round_even({_hz('12*log2(low_hz/440)+69 + shift')}, 1) AS shifted_low_hz,
 round_even({_hz('12*log2(high_hz/440)+69 + shift')}, 1) AS shifted_high_hz, moved BETWEEN 110.0 AND 220.0 AS median_in_target_range FROM y""",
     "text_normalize": r"SELECT conv_id, turn, trim(regexp_replace(regexp_replace(lower(regexp_replace(text, '[^\x00-\x7F]', '', 'g')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g')) AS normalized FROM conversations",
-    "wer_cer": f"""WITH {_PAIRS} SELECT conv_id, turn, word_edits, char_edits,
+    "wer_cer": f"""WITH RECURSIVE {_PAIRS} SELECT conv_id, turn, word_edits, char_edits,
 CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(word_edits AS DOUBLE)/len(a), 6) END AS wer,
 CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(char_edits AS DOUBLE)/length(array_to_string(a, ' ')), 6) END AS cer,
 CASE WHEN len(a) = 0 AND len(b) = 0 THEN 'both texts are empty' WHEN len(a) = 0 OR len(b) = 0 THEN 'one text is empty' END AS note FROM e""",
-    "wer_counts": f"""WITH {_PAIRS} SELECT conv_id, turn, CASE WHEN len(a) > 0 AND len(b) > 0 THEN word_edits END AS word_edits, CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(a) END AS n_source,
+    "wer_counts": f"""WITH RECURSIVE {_PAIRS} SELECT conv_id, turn, CASE WHEN len(a) > 0 AND len(b) > 0 THEN word_edits END AS word_edits, CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(a) END AS n_source,
 CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(b) END AS n_converted FROM e""",
     "vocal_segments": f"WITH {_LEVELS} SELECT track_id, \"index\", start_ms, end_ms, duration_ms, filename FROM segs",
     "segment_seconds": f"WITH {_LEVELS} SELECT track_id, round_even(start_ms/1000.0, 6) AS start_time, round_even(end_ms/1000.0, 6) AS end_time FROM segs",
@@ -359,7 +362,7 @@ r AS (SELECT vec_id, e, least(greatest(max(s)/(e + 1e-10), 1e-6), 1 - 1e-6) AS r
 SELECT vec_id AS track_id, CASE WHEN e >= 1e-10 THEN round_even(10*log10(r/(1-r)), 6) END AS hnr_db FROM r""",
     "mix_overlay": """WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings)
 SELECT vec_id AS track_id, round_even(2*list_sum(x[1:32]), 6) AS mixed, round_even(list_sum(x[33:64]), 6) AS rest, CAST(32 AS INT) AS n_mixed FROM x""",
-    "stem_sum": """WITH x AS (SELECT vec_id % 10 AS track_id, embedding AS x, unnest(range(1, 65)) AS i FROM embeddings WHERE vec_id BETWEEN 10 AND 49)
+    "stem_sum": """WITH x AS (SELECT CAST(floor(vec_id / 5.0) AS BIGINT) AS track_id, embedding AS x, unnest(range(1, 65)) AS i FROM embeddings WHERE vec_id % 5 <> 0)
 SELECT track_id, CAST(i - 1 AS INT) AS sample_idx, round_even(sum(CAST(x[i] AS DOUBLE)), 6) AS value FROM x GROUP BY 1, 2""",
 }
 

@@ -27,9 +27,9 @@ def frames(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcript pairs: a turn and the next one; ASCII letters, digits and white space of the first 40 words."""
+    """Transcript pairs: a turn and the next one; the ASCII letters and digits of the whole texts, word by word."""
     c = table(spark, sf_dir, "conversations")
-    plain = lambda x: F.array_join(F.slice(F.filter(F.split(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^a-z0-9_\s]", ""), r"\s+", " "), " "), lambda w: w != ""), 1, 40), " ")
+    plain = lambda x: F.array_join(F.filter(F.split(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^a-z0-9_\s]", ""), r"\s+", " "), " "), lambda w: w != ""), " ")
     after = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
     following = F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn"))
     rows = c.select("conv_id", "turn", "text", after.alias("next_text"), following.alias("next_turn")).where(F.col("next_turn") == F.col("turn") + 1)
