@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from tessitura.llm import language_id, mixing, packing, shared, simhash, substring_dedup
 
-#: Bits in which the fingerprints of near duplicates differ at most.
-NEAR_BITS = 8
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -25,10 +23,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates keep the document with the least id.
 
-    Texts that share 0.8 and more of their five-word shingles differ in about ten of 64 bits, unrelated ones in 32; at
-    eight bits, half of the former are caught and one pair in 4e9 of the latter.
+    Near: five-word shingles with a similarity of 0.8 and more. One fingerprint of 64 bits can't tell: at that similarity
+    it differs in 10 bits, give or take 3. So there are six of them: a pair is a candidate if 8 bits of one differ at
+    most, and linked if all together differ in no more than texts of that similarity do.
     """
-    return simhash.keep_one(docs, most=NEAR_BITS, width=5).select(*COLUMNS)
+    return simhash.keep_one(docs, most=8, width=5, parts=6, similarity=0.8).select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -12,37 +14,65 @@ from tessitura.llm import shared
 
 
 _ARC = 56  # bits above which a key holds the number of its arc
+#: The bits of each byte, each in a byte of its own.
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def _majority(values: np.ndarray) -> np.uint64:
+    """A bit is 1 if it is set in over half of some 64-bit numbers."""
+    lanes = _LANES[values.view(np.uint8)].reshape(-1, 8)
+    sums = np.add.reduceat(lanes, np.arange(0, len(lanes), 255), axis=0)  # 255 rows at most fill no byte beyond itself
+    counts = sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > len(values), bitorder="little").view(np.uint64)[0]
 
 
-def fingerprint(text: bytes, width: int = 4, seed: int = 42) -> int:
-    """The 64-bit majority of the XXH64 values of a text's word shingles, repeats included; 0 without words."""
+def fingerprint(text: bytes, width: int = 4, seed: int = 42, parts: int = 1) -> np.ndarray:
+    """``parts`` numbers of 64 bits: the majority of the XXH64 values of a text's word shingles, repeats included.
+
+    The values of the second part on are mixed from those of the first. Without words all are 0.
+    """
     words = text.lower().split()  # of bytes: A-Z and ASCII white space only
+    out = np.zeros(parts, np.uint64)
     if not words:
-        return 0
+        return out
     joined = b" ".join(words)
-    if len(words) <= width:
-        return xxhash.xxh64_intdigest(joined, seed)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
     one = xxhash.xxh64_intdigest
-    found = np.array([one(joined[a:b], seed) for a, b in zip(starts[: 1 - width].tolist(), ends[width - 1 :].tolist(), strict=True)], np.uint64)
-    set_bits = np.zeros(64, np.int64)
-    for at in range(0, len(found), 8192):
-        block = found[at : at + 8192]
-        set_bits += np.unpackbits(block.view(np.uint8), bitorder="little").reshape(len(block), 64).sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * set_bits > len(found), bitorder="little").view(np.uint64)[0])
+    if len(words) <= width:
+        found = np.array([one(joined, seed)], np.uint64)
+    else:
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        found = np.array([one(joined[a:b], seed) for a, b in zip(starts[: 1 - width].tolist(), ends[width - 1 :].tolist(), strict=True)], np.uint64)
+    for p in range(parts):
+        out[p] = _majority(found if p == 0 else shared.mix(found + np.uint64(p * 0x9E3779B97F4A7C15 % 2**64)))
+    return out
+
+
+def bits_at(similarity: float, bits: int, spread: float = 2.0) -> int:
+    """Bits in which fingerprints of ``bits`` bits differ at most, but for 1 pair in 40, if that part of all shingles is in both texts.
 
+    The angle between two sets of that Jaccard similarity, over pi, is the chance of a bit to differ; ``spread`` standard
+    deviations are added.
+    """
+    chance = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * chance + spread * math.sqrt(bits * chance * (1 - chance)))
+
+
+def _names(parts: int) -> list[str]:
+    return [f"_fp{p}" for p in range(parts)]
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """One row per document: ``_id`` (its id, null as the least long) and ``_fp``, its fingerprint as a signed long."""
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, parts: int = 1) -> DataFrame:
+    """A row per document: ``_id`` (its id, null as the least long), ``_hash`` of its text and its fingerprint in ``_fp0`` ..."""
 
     def run(batches):
         for batch in batches:
-            texts = shared.as_bytes(batch.column(1))
-            found = np.fromiter((fingerprint(x, width) for x in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["_id", "_fp"])
+            texts = shared.as_bytes(batch.column(2))
+            found = np.array([fingerprint(x, width, parts=parts) for x in texts], np.uint64).reshape(len(texts), parts).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(found[:, p].copy()) for p in range(parts)]], ["_id", "_hash", *_names(parts)])
 
-    return docs.select(shared.numbered(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, "_id long, _fp long")
+    text = F.col(text_col).cast("string")
+    return docs.select(shared.numbered(id_col).alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text")).mapInArrow(run, "_id long, _hash long, " + ", ".join(f"{n} long" for n in _names(parts)))
 
 
 class Ring:
@@ -86,75 +116,85 @@ class Groups:
                 self.root = up
 
 
-def near(values: np.ndarray, arcs: np.ndarray, place: np.ndarray, ring: Ring, groups: Groups, chunk: int = 2_000_000) -> None:
-    """Link the places of all values that differ in at most ``ring.most`` bits and are equal in one of the arcs in ``arcs``.
+def near(full: np.ndarray, codes: np.ndarray, place: np.ndarray, ring: Ring, groups: Groups, limit: int, chunk: int = 1_000_000) -> None:
+    """Link the places of fingerprints (rows of ``full``) that are near and equal in one of the arcs in ``codes``.
 
-    A value stands here once for each arc under whose key it was dealt to this task. Within such a group the second arc
-    may differ in one bit at most (the budget of a chain of two), so the partners are found by probing a sorted list of
-    the first two arcs: the list itself and one bit flipped. Pairs live in blocks of ``chunk`` and are never emitted.
+    Near: in some part at most ``ring.most`` bits differ, in all parts together at most ``limit``. A fingerprint stands
+    here once for each (part, arc) under whose key it was dealt to this task. Within such a group the second arc may
+    differ in one bit at most (the budget of a chain of two), so partners are found by probing a sorted list of the first
+    two arcs: the list itself and one bit flipped. Those that are in one group already are passed over as a block; the
+    other pairs live in steps of ``chunk`` and are never emitted.
     """
-    for i in range(ring.m):
-        mine = np.flatnonzero(arcs == i)
+    for code in np.unique(codes).tolist():
+        part, i = divmod(code, ring.m)
+        mine = np.flatnonzero(codes == code)
         if len(mine) < 2:
             continue
-        x = values[mine]
         second = ring.wide[(i + 1) % ring.m]
+        x = full[mine, part]
         key = (ring.arc(x, i) << np.uint64(second)) | ring.arc(x, i + 1)
         order = np.argsort(key, kind="stable")
-        key, x, at = key[order], x[order], place[mine][order]
-        here = np.arange(len(key))
-        masks = [(ring.mask(i, length), ring.budget[length - 1]) for length in range(3, ring.m + 1)]
-        stops = np.searchsorted(key, key, "right")
+        key, x, mine = key[order], x[order], mine[order]
+        at = place[mine]
+        masks = [(ring.mask(i, length), ring.budget[length - 1]) for length in range(3, ring.m + 1)]  # the last is the whole part
+
+        def link(a: np.ndarray, b: np.ndarray) -> None:
+            apart = groups.root[at[a]] != groups.root[at[b]]
+            a, b = a[apart], b[apart]
+            for mask, budget in masks:
+                good = np.bitwise_count((x[a] ^ x[b]) & mask) <= budget
+                a, b = a[good], b[good]
+            if full.shape[1] > 1 and len(a):
+                good = np.bitwise_count(full[mine[a]] ^ full[mine[b]]).sum(axis=1, dtype=np.int64) <= limit
+                a, b = a[good], b[good]
+            groups.link(at[a], at[b])
+
         for step in range(1, 17):  # neighbours first: a dense group is soon one component and needs no more pairs
-            a = here[: len(key) - step][key[step:] == key[: len(key) - step]] if len(key) > step else here[:0]
+            a = np.flatnonzero(key[step:] == key[:-step]) if len(key) > step else key[:0]
             if not len(a):
                 break
-            good = np.bitwise_count(x[a] ^ x[a + step]) <= ring.most
-            groups.link(at[a[good]], at[a[good] + step])
-        flips = [np.uint64(0)] + ([np.uint64(1 << b) for b in range(second)] if ring.budget[1] >= 1 else [])
-        for flip in flips:
-            if flip:
-                to = key ^ flip
-                low, high = np.searchsorted(key, to, "left"), np.searchsorted(key, to, "right")
-                low = np.where(to > key, low, high)
-            else:
-                low, high = here + 1, stops
-                roots = groups.root[at]
-                heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-                one = np.minimum.reduceat(roots, heads) == np.maximum.reduceat(roots, heads)
-                low = np.where(np.repeat(one, np.diff(np.r_[heads, len(key)])), high, low)
-            count = np.maximum(high - low, 0)
-            some = np.flatnonzero(count)
+            link(a, a + step)
+        for flip in [0] + ([1 << b for b in range(second)] if ring.budget[1] >= 1 else []):
+            rank = np.unique(groups.root[at], return_inverse=True)[1].astype(np.uint64)
+            n = np.uint64(len(key))
+            block = key * n + rank
+            by = np.argsort(block, kind="stable")  # by key, then by group
+            k, block = key[by], block[by]
+            to = k ^ np.uint64(flip)
+            low, high = np.searchsorted(k, to, "left"), np.searchsorted(k, to, "right")
+            some = np.flatnonzero((high > low) & (to >= k))
             if not len(some):
                 continue
-            reach = np.cumsum(count[some])
-            begin = 0
-            while begin < len(some):
-                done = reach[begin - 1] if begin else 0
-                end = max(begin + 1, int(np.searchsorted(reach, done + chunk, "right")))
-                who = some[begin:end]
-                a = np.repeat(who, count[who])
-                b = shared.flat_spans(low[who], count[who])
-                begin = end
-                apart = groups.root[at[a]] != groups.root[at[b]]
-                a, b = a[apart], b[apart]
-                for mask, budget in masks:  # the last one is the whole distance
-                    good = np.bitwise_count((x[a] ^ x[b]) & mask) <= budget
-                    a, b = a[good], b[good]
-                groups.link(at[a], at[b])
-
-
-def links(classes: DataFrame, most: int = 4) -> DataFrame:
-    """Links (a, b) that join all ``_rep`` of ``classes`` (``_fp``, ``_rep``) whose values differ in at most ``most`` bits.
-
-    Every task returns a star for each component that it sees, so the rows are at most segments x classes.
+            own = to[some] * n + rank[by][some]
+            own_low, own_high = np.searchsorted(block, own, "left"), np.searchsorted(block, own, "right")
+            ranges = [(own_high, high[some])] if flip == 0 else [(low[some], own_low), (own_high, high[some])]
+            for begin, end in ranges:
+                count = np.maximum(end - begin, 0)
+                full_ones = np.flatnonzero(count)
+                reach = np.cumsum(count[full_ones])
+                done = 0
+                while done < len(full_ones):
+                    before = reach[done - 1] if done else 0
+                    stop = max(done + 1, int(np.searchsorted(reach, before + chunk, "right")))
+                    who = full_ones[done:stop]
+                    a = np.repeat(some[who], count[who])
+                    b = shared.flat_spans(begin[who], count[who])
+                    link(by[a], by[b])
+                    done = stop
+
+
+def links(classes: DataFrame, most: int = 4, parts: int = 1, limit: int | None = None) -> DataFrame:
+    """Links (a, b) that join all ``_node`` of ``classes`` (``_fp0`` ..., ``_node``) that are near, see :func:`near`.
+
+    Every task returns a star for each component that it sees, so the rows are at most segments x parts x classes.
     """
-    ring = Ring(most)
-    parts = 2 * shared.shuffle_partitions(classes.sparkSession)
+    ring, names = Ring(most), _names(parts)
+    limit = most if limit is None else limit
+    tasks = 2 * shared.shuffle_partitions(classes.sparkSession)
     keyed = classes.select(
-        "_fp", "_rep",
+        *names, "_node",
         F.explode(F.array(*[
-            F.lit(i << _ARC).bitwiseOR(F.shiftrightunsigned("_fp", ring.low[i]).bitwiseAND(F.lit((1 << ring.wide[i]) - 1))) for i in range(ring.m)
+            F.lit((p * ring.m + i) << _ARC).bitwiseOR(F.shiftrightunsigned(names[p], ring.low[i]).bitwiseAND(F.lit((1 << ring.wide[i]) - 1))) for p in range(parts) for i in range(ring.m)
         ])).alias("_key"),
     )
 
@@ -162,17 +202,19 @@ def links(classes: DataFrame, most: int = 4) -> DataFrame:
         tables = [b for b in batches if b.num_rows]
         if not tables:
             return
-        fp, rep, key = (np.concatenate([b.column(k).to_numpy() for b in tables]) for k in range(3))
-        nodes, place = np.unique(rep, return_inverse=True)
+        node, key = (np.concatenate([b.column(k).to_numpy() for b in tables]) for k in (parts, parts + 1))
+        full = np.stack([np.concatenate([b.column(k).to_numpy() for b in tables]) for k in range(parts)], axis=1).view(np.uint64)
+        tables.clear()
+        nodes, place = np.unique(node, return_inverse=True)
         groups = Groups(len(nodes))
-        near(fp.view(np.uint64), (key.view(np.uint64) >> np.uint64(_ARC)).astype(np.int64), place, ring, groups)
+        near(full, (key.view(np.uint64) >> np.uint64(_ARC)).astype(np.int64), place, ring, groups, limit)
         least = np.full(len(nodes), np.iinfo(np.int64).max)
         np.minimum.at(least, groups.root, nodes)
         least = least[groups.root]
         far = least != nodes
         yield pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(least[far])], ["a", "b"])
 
-    return keyed.repartition(parts, "_key").select("_fp", "_rep", "_key").mapInArrow(run, "a long, b long")
+    return keyed.repartition(tasks, "_key").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -202,27 +244,43 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"no fixed point after {most_rounds} rounds")
 
 
-def near_groups(docs: DataFrame, most: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Near-duplicate groups: ``_id``, ``_fp`` and ``_root`` (the least id that near fingerprints lead to) per row of docs.
-
-    Equal fingerprints form one class before anything is paired, so thousands of copies cost one candidate; a class
-    holds its least id. Null and empty texts have fingerprint 0 and are linked like any other. A null id counts as the
-    least long. Repeated rows of a document are members of its group.
-    """
-    prints = shared.cut(fingerprints(docs, id_col, text_col, width), "simhash")
-    classes = prints.groupBy("_fp").agg(F.min("_id").alias("_rep"))
-    roots = components(links(classes, most))
-    rooted = classes.join(roots, F.col("_rep") == F.col("node"), "left").select(F.col("_fp").alias("_class"), F.coalesce("root", "_rep").alias("_root"))
-    return prints.join(rooted, F.col("_fp") == F.col("_class"), "left").select("_id", "_fp", "_root")
+def near_groups(docs: DataFrame, most: int = 4, width: int = 4, parts: int = 1, limit: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Near-duplicate groups: ``_id``, ``_hash``, ``_fp0`` ..., ``_group`` and ``_root``, its least id, per row of docs.
 
+    With one part, texts are near if ``most`` of 64 bits differ at most. Several parts are independent fingerprints: near
+    is who differs in at most ``most`` bits of one of them and in at most ``limit`` bits of all, which finds pairs that a
+    single one misses and drops those that it takes for near by chance.
 
-def keep_one(docs: DataFrame, most: int = 4, width: int = 4) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each group the document with the least id, once."""
-    kept = near_groups(docs, most, width).where(F.col("_id") == F.col("_root")).select("_id").distinct()
-    return docs.withColumn("_id", shared.numbered()).join(kept, "_id", "left_semi").dropDuplicates(["_id"]).select(*docs.columns)
+    Equal fingerprints form one class before anything is paired, so thousands of copies cost one candidate. Null and
+    empty texts have fingerprint 0 and are linked like any other. A null id counts as the least long. Repeated rows of a
+    document are members of its group. An empty table has no groups.
+    """
+    names = _names(parts)
+    prints = shared.cut(fingerprints(docs, id_col, text_col, width, parts), "simhash")
+    classes = prints.groupBy(*names).agg(F.min("_id").alias("_least")).withColumn("_node", F.col("_fp0") if parts == 1 else F.xxhash64(*names))
+    roots = components(links(classes, most, parts, limit))
+    rooted = classes.join(roots, F.col("_node") == F.col("node"), "left").select(*[F.col(n).alias("c" + n) for n in names], "_least", F.coalesce("root", "_node").alias("_group"))
+    least = rooted.groupBy(F.col("_group").alias("g")).agg(F.min("_least").alias("_root"))
+    rooted = rooted.join(least, F.col("_group") == F.col("g")).drop("g", "_least")
+    same = F.col("_fp0") == F.col("c_fp0")
+    for n in names[1:]:
+        same = same & (F.col(n) == F.col("c" + n))
+    return prints.join(rooted, same, "left").select("_id", "_hash", *names, "_group", "_root")
+
+
+def keep_one(docs: DataFrame, most: int = 8, width: int = 5, parts: int = 6, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the document with the least id, once.
+
+    Documents with one id but different texts, and all without an id, are told apart by their texts; of several in one
+    group with the least id the one with the least hash of its text stays. Columns are those of ``docs``.
+    """
+    groups = near_groups(docs, most, width, parts, bits_at(similarity, 64 * parts))
+    kept = groups.groupBy("_group").agg(F.min(F.struct("_id", "_hash")).alias("k")).select(F.col("k._id").alias("_id"), F.col("k._hash").alias("_hash"))
+    rows = docs.withColumn("_id", shared.numbered()).withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    return rows.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
 
 
 def op10_simhash(spark, sf_dir):
     found = near_groups(shared.documents(spark, sf_dir))
     real = lambda c: F.when(F.col(c) != shared.NULL_ID, F.col(c))
-    return found.select(real("_id").alias("doc_id"), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), real("_root").alias("component_id"))
+    return found.select(real("_id").alias("doc_id"), F.lpad(F.lower(F.hex("_fp0")), 16, "0").alias("fingerprint"), real("_root").alias("component_id"))
