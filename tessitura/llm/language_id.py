@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tessitura.llm import shared
 
-#: Labelled texts per language that the classifier is fitted on, about, and characters of each: the bound of the sample.
-PER_LANGUAGE, TRAIN_CHARS = 400, 20_000
+#: Labelled texts per language that the classifier is fitted on at most: the bound of the sample.
+PER_LANGUAGE = 400
 #: Numbers of a text vector, centroids per language.
 DIMENSIONS, CENTROIDS = 4096, 4
 #: A text is rejected if it is less like its nearest centroid than this part of what all but 1 in 100 fitted texts are.
@@ -77,22 +77,38 @@ def _cluster(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on about ``per_language`` labelled texts of each language, picked by a hash of their ids.
+    """Fit on at most ``per_language`` labelled texts of each language, picked by a hash of id and text.
 
-    Counts per language come from all rows; texts of the sample alone (``TRAIN_CHARS`` characters of each at most) come
-    to the driver. Null languages, null texts and texts without letters teach nothing.
+    Counts per language come from all rows. The texts of the sample are counted where they are, as a whole; their
+    trigram counts alone come to the driver. Null languages, null texts and texts without letters teach nothing;
+    repeated rows teach once.
     """
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     share = {r[0]: min(1.0, 1.3 * per_language / r[1]) for r in known.groupBy(lang_col).count().collect()}
     if not share:
         return Model([], np.zeros((0, DIMENSIONS)), np.ones(DIMENSIONS), np.zeros(0))
-    spread = F.pmod(F.xxhash64(shared.numbered(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     limit = F.element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col(lang_col))
-    rows = known.where(spread < limit).select(F.col(lang_col).alias("lang"), F.xxhash64(shared.numbered(id_col)).alias("h"), F.substring(text_col, 1, TRAIN_CHARS).alias("text")).collect()
+    picked = known.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(shared.numbered(id_col), F.col(text_col)).alias("h"), F.col(text_col).cast("string").alias("text"), limit.alias("share"))
+    picked = picked.where(F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.col("share")).select("lang", "h", "text")
+
+    def counted(batches):
+        for batch in batches:
+            kept, where, many = [], [], []
+            for i in range(batch.num_rows):
+                if (c := _trigram_counts(batch.column(2)[i].as_py())) is not None:
+                    kept.append(i)
+                    where.append(np.flatnonzero(c).astype(np.uint16).tobytes())
+                    many.append(c[c > 0].astype(np.uint32).tobytes())
+            rows = batch.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(where, pa.binary()), pa.array(many, pa.binary())], ["lang", "h", "at", "n"])
+
+    rows = picked.mapInArrow(counted, "lang string, h long, at binary, n binary").dropDuplicates(["lang", "h"]).collect()
     by: dict[str, list[np.ndarray]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["text"])):
+    for r in sorted(rows, key=lambda r: (r["lang"], r["h"])):
         mine = by.setdefault(r["lang"], [])
-        if len(mine) < per_language and (c := _trigram_counts(r["text"])) is not None:
+        if len(mine) < per_language:
+            c = np.zeros(DIMENSIONS)
+            c[np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["n"], np.uint32)
             mine.append(c)
     by = {k: v for k, v in by.items() if v}
     counts = {k: np.array(v, np.float64) for k, v in by.items()}
