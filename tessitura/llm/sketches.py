@@ -30,7 +30,7 @@ def sketch_values(texts: list[bytes], width: int = WIDTH, scale: int = SCALE) ->
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = shared.flat_spans(words.at[:-1], count)
     value = shared.span_hash(shared.rolling(words.hashes()[words.codes]), at, np.minimum(sizes, width)[doc])
-    kept = value < np.uint64(2**64 // scale)
+    kept = value <= np.uint64(2**64 // scale - 1)
     heads = (np.cumsum(count) - count)[count > 0]
     bare = np.add.reduceat(kept, heads) == 0
     if bare.any():
