@@ -16,7 +16,7 @@ import pyarrow as pa
 from tessitura.llm import shared
 
 #: Entries in each of the two generations of the table of pieces.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 _LOADED: dict = {}
 
 
@@ -65,8 +65,13 @@ class Pieces:
     def lookup(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece, as the bytes of 32-bit numbers."""
         new, old = self.new, self.old
-        out = [new.get(p) or old.get(p) for p in pieces]
-        missing = [i for i, x in enumerate(out) if x is None]
+        out = [new.get(p) for p in pieces]
+        missing = []
+        for i in [i for i, x in enumerate(out) if x is None]:
+            if (x := old.get(pieces[i])) is None:
+                missing.append(i)
+            else:  # used again, so it stays
+                out[i] = new[pieces[i]] = x
         for at in range(0, len(missing), 20_000):
             some = missing[at : at + 20_000]
             found = self.tokenizer.encode_batch_fast([pieces[i].decode() for i in some], add_special_tokens=False)

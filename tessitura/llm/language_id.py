@@ -102,7 +102,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             rows = batch.take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(where, pa.binary()), pa.array(many, pa.binary())], ["lang", "h", "at", "n"])
 
-    rows = picked.mapInArrow(counted, "lang string, h long, at binary, n binary").dropDuplicates(["lang", "h"]).collect()
+    rows = picked.mapInArrow(shared.lean(counted), "lang string, h long, at binary, n binary").dropDuplicates(["lang", "h"]).collect()
     by: dict[str, list[np.ndarray]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["h"])):
         mine = by.setdefault(r["lang"], [])
@@ -153,7 +153,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
 
     keep = docs.columns if keep is None else keep
     schema = docs.select(*keep).schema.add("_lang_pred", "string").add("_score", "double").add("_rejected", "boolean")
-    return docs.select(*keep, F.col(text_col).cast("string").alias("_input")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).cast("string").alias("_input")).mapInArrow(shared.lean(run), schema)
 
 
 def op7_language_id(spark, sf_dir):

@@ -91,7 +91,7 @@ def pack(docs: DataFrame, size: int = 1024, end_id: int = 0, tokenizer: str | No
     """
     path = tokenizer or encoding.tokenizer_path()
     schema = "_id long, _start long, _length long, _crc long, _total long"
-    pieces = shared.cut(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(_pieces(path, end_id, size), schema), "pieces")
+    pieces = shared.cut(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(shared.lean(_pieces(path, end_id, size)), schema), "pieces")
     counts = {r["_length"]: r["n"] for r in pieces.groupBy("_length").agg(F.count("*").alias("n")).collect()}
     # (length, from rank, to rank, sequence of the first, offset): one row for each slot of each pattern
     used, sequence, slots = dict.fromkeys(counts, 0), 0, []
@@ -131,7 +131,7 @@ def pack(docs: DataFrame, size: int = 1024, end_id: int = 0, tokenizer: str | No
 
     order = Window.partitionBy("_length", "_salt").orderBy("_id", "_start", "_crc")
     ranked = salted.withColumn("_rank", F.row_number().over(order).cast("long") - 1)
-    return ranked.mapInArrow(place, schema + ", _sequence long, _offset long")
+    return ranked.mapInArrow(shared.lean(place), schema + ", _sequence long, _offset long")
 
 
 def op5_packing(spark, sf_dir):

@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(found[:, p].copy()) for p in range(parts)]], ["_id", "_hash", *_names(parts)])
 
     text = F.col(text_col).cast("string")
-    return docs.select(shared.numbered(id_col).alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text")).mapInArrow(run, "_id long, _hash long, " + ", ".join(f"{n} long" for n in _names(parts)))
+    return docs.select(shared.numbered(id_col).alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text")).mapInArrow(shared.lean(run), "_id long, _hash long, " + ", ".join(f"{n} long" for n in _names(parts)))
 
 
 class Ring:
@@ -207,14 +207,14 @@ def links(classes: DataFrame, most: int = 4, parts: int = 1, limit: int | None =
         tables.clear()
         nodes, place = np.unique(node, return_inverse=True)
         groups = Groups(len(nodes))
-        near(full, (key.view(np.uint64) >> np.uint64(_ARC)).astype(np.int64), place, ring, groups, limit)
+        near(full, (key.view(np.uint64) >> np.uint64(_ARC)).astype(np.int64), place, ring, groups, limit, 1_000_000 // parts)
         least = np.full(len(nodes), np.iinfo(np.int64).max)
         np.minimum.at(least, groups.root, nodes)
         least = least[groups.root]
         far = least != nodes
         yield pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(least[far])], ["a", "b"])
 
-    return keyed.repartition(tasks, "_key").mapInArrow(run, "a long, b long")
+    return keyed.repartition(tasks, "_key").mapInArrow(shared.lean(run), "a long, b long")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -123,7 +123,7 @@ def compare_with_next(docs: DataFrame, width: int = WIDTH, scale: int = SCALE, i
     Null texts are empty. Ties of ids are ordered by text, a null id comes first. Texts travel once, to ranges of ids.
     """
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return shared.in_order(docs, shared.shuffle_partitions(docs.sparkSession), id_col, text_col, peek=True).mapInArrow(_compare(width, scale), schema)
+    return shared.in_order(docs, shared.shuffle_partitions(docs.sparkSession), id_col, text_col, peek=True).mapInArrow(shared.lean(_compare(width, scale)), schema)
 
 
 def fingerprint(docs: DataFrame, width: int = WIDTH, scale: int = SCALE, text_col: str = "text") -> DataFrame:
@@ -137,7 +137,7 @@ def fingerprint(docs: DataFrame, width: int = WIDTH, scale: int = SCALE, text_co
                 out += spelled(*sketch_values(texts[a:b], width, scale), b - a)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.string())], names=[*batch.schema.names[:-1], "_fingerprint"])
 
-    return docs.select("*", F.col(text_col).cast("string").alias("_text")).mapInArrow(run, docs.schema.add("_fingerprint", "string"))
+    return docs.select("*", F.col(text_col).cast("string").alias("_text")).mapInArrow(shared.lean(run), docs.schema.add("_fingerprint", "string"))
 
 
 def op6_fingerprints(spark, sf_dir):

@@ -216,14 +216,14 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
     """
     parts = 3 * shared.shuffle_partitions(docs.sparkSession)
     source = docs.select(shared.numbered(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    blocks = source.mapInArrow(_pack(k, parts), "_bucket int, _block binary")
-    runs = blocks.repartitionById(parts, F.col("_bucket")).mapInArrow(_solve(k), "_owner long, _run long")
+    blocks = source.mapInArrow(shared.lean(_pack(k, parts)), "_bucket int, _block binary")
+    runs = blocks.repartitionById(parts, F.col("_bucket")).mapInArrow(shared.lean(_solve(k)), "_owner long, _run long")
     runs = runs.groupBy("_owner").agg(F.collect_list("_run").alias("_runs"))
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     rows = docs.select(shared.numbered(id_col).alias("_id"), *[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
     both = rows.join(runs, F.col("_id") == F.col("_owner"), "left").select(*[rows[c] for c in keep], "_text", F.coalesce("_runs", F.array().cast("array<bigint>")).alias("_runs"))
     schema = both.select(*keep).schema.add("_n_words", "long").add("_n_removed", "long").add("_kept", "string")
-    return both.mapInArrow(_apply(k, as_is), schema)
+    return both.mapInArrow(shared.lean(_apply(k, as_is)), schema)
 
 
 def op1_substring_dedup(spark, sf_dir):

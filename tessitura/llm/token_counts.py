@@ -89,7 +89,7 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None, text_col: str =
     """
     keep = docs.columns if keep is None else keep
     schema = docs.select(*keep).schema.add("_n_words", "long").add("_n_tokens", "long")
-    return docs.select(*keep, F.col(text_col).cast("string").alias("_input")).mapInArrow(_counted(vocabulary or vocabulary_path()), schema)
+    return docs.select(*keep, F.col(text_col).cast("string").alias("_input")).mapInArrow(shared.lean(_counted(vocabulary or vocabulary_path())), schema)
 
 
 def op2_token_counts(spark, sf_dir):

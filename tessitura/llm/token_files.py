@@ -142,7 +142,7 @@ def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str |
             flush()
         yield pa.RecordBatch.from_pydict(done, schema=pa.schema([("name", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]))
 
-    rows = shared.in_order(docs, shared.shuffle_partitions(spark), id_col, text_col).mapInArrow(run, "name string, docs long, ids long").collect()
+    rows = shared.in_order(docs, shared.shuffle_partitions(spark), id_col, text_col).mapInArrow(shared.lean(run), "name string, docs long, ids long").collect()
     return sorted((r["name"], r["docs"], r["ids"]) for r in rows)
 
 
@@ -172,7 +172,7 @@ def read_tokens(spark: SparkSession, folder: str, files: list[tuple[str, int, in
                 )
 
     found = spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*.tpl").load(folder).select("path", "content")
-    return found.mapInArrow(run, schema)
+    return found.mapInArrow(shared.lean(run), schema)
 
 
 def op9_token_files(spark, sf_dir):

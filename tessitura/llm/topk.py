@@ -37,7 +37,7 @@ def quantised(vectors: DataFrame, scale: float = 256.0, id_col: str = "vec_id",
             kept, rows = _whole(batch.column(1), scale)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept)), pa.array([x.tolist() for x in rows], pa.list_(pa.int64()))], ["_id", "_v"])
 
-    return vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).cast("array<double>").alias("_v")).where("_id is not null").mapInArrow(run, "_id long, _v array<long>")
+    return vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).cast("array<double>").alias("_v")).where("_id is not null").mapInArrow(shared.lean(run), "_id long, _v array<long>")
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -130,7 +130,7 @@ def top_k(vectors: DataFrame, queries, k: int = 5) -> DataFrame:
             out = [(j, int((cell == j).sum()), float(radius[cell == j].max()), int(floor[cell == j].min())) for j in np.unique(cell).tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.int64())], ["cell", "n", "radius", "floor"])
 
-    groups = vectors.where("_query").select("_id", "_v").mapInArrow(summarise, "cell long, n long, radius double, floor long")
+    groups = vectors.where("_query").select("_id", "_v").mapInArrow(shared.lean(summarise), "cell long, n long, radius double, floor long")
     known = sorted(groups.groupBy("cell").agg(F.sum("n").alias("n"), F.max("radius").alias("radius"), F.min("floor").alias("floor")).collect())
     parts = [-(-r["n"] // GROUP) for r in known]
     first = np.cumsum([0, *parts])
@@ -205,9 +205,9 @@ def top_k(vectors: DataFrame, queries, k: int = 5) -> DataFrame:
                 held[is_query].append((m, data))
         yield from local(held[True], held[False])
 
-    dealt = vectors.mapInArrow(deal, "_task int, _queries boolean, _n long, _data binary")
+    dealt = vectors.mapInArrow(shared.lean(deal), "_task int, _queries boolean, _n long, _data binary")
     dealt = dealt.repartitionById(int(min(tasks, 4 * shared.shuffle_partitions(spark))), F.col("_task")).sortWithinPartitions("_task")
-    found = dealt.mapInArrow(solve, "query_id long, vec_id long, score long")
+    found = dealt.mapInArrow(shared.lean(solve), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
