@@ -38,9 +38,13 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes, none to three; ids are distinct here, as near duplicates went."""
-    copies = mixing.mix(docs).where("_copies > 0").select("_id", "_copies")
-    rows = docs.withColumn("_key", shared.numbered()).join(copies, F.col("_key") == F.col("_id"))
+    """As many copies of each document as the mix takes, none to three.
+
+    Rows with one id, text and source are one document here, with the copies of all.
+    """
+    copies = mixing.mix(docs).where("_copies > 0").groupBy("_id", "_hash", "_source").agg(F.sum("_copies").alias("_copies"))
+    rows = docs.select(*COLUMNS, shared.numbered().alias("_key"), mixing.identity().alias("_ident")).dropDuplicates(["_key", "_ident", "source"])
+    rows = rows.join(copies, (F.col("_key") == F.col("_id")) & (F.col("_ident") == F.col("_hash")) & F.col("source").eqNullSafe(F.col("_source")))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*COLUMNS)
 
 

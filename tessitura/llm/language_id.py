@@ -149,11 +149,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
                 for have, new in zip(out, sent.value.predict(texts.slice(a, b - a).to_pylist()), strict=True):
                     have.extend(new)
             more = [pa.array(out[0], pa.string()), pa.array(out[1], pa.float64()), pa.array(out[2], pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=[*batch.schema.names[:-1], "_lang_pred", "_score", "_rejected"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=names)
 
-    keep = docs.columns if keep is None else keep
-    schema = docs.select(*keep).schema.add("_lang_pred", "string").add("_score", "double").add("_rejected", "boolean")
-    return docs.select(*keep, F.col(text_col).cast("string").alias("_input")).mapInArrow(shared.lean(run), schema)
+    keep = shared.others(docs.columns if keep is None else keep, ["_lang_pred", "_score", "_rejected"])
+    schema = docs.select(*[f"`{c}`" for c in keep]).schema.add("_lang_pred", "string").add("_score", "double").add("_rejected", "boolean")
+    names = schema.names
+    return docs.select(*shared.carried(keep), F.col(text_col).cast("string").alias("_input")).mapInArrow(shared.lean(run), schema)
 
 
 def op7_language_id(spark, sf_dir):

@@ -66,9 +66,10 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
     better priority stays. ``_score`` is the confidence of the surest detection, 0 without any. Null texts are empty: no
     words, empty labels, null places. Whole texts are scanned, and nothing but the row itself is needed for it.
     """
-    keep = docs.columns if keep is None else keep
+    keep = shared.others(docs.columns if keep is None else keep, ["_n_words", "_n_base", "_first_word", "_last_word", "_base_labels", "_labels", "_score"])
+    along = [f"_carried{i}" for i in range(len(keep))]
     # lower() and the lower case of A-Z alone differ only in letters that are in no phrase and in no break between words
-    rows = docs.select(*keep, F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_low"))
+    rows = docs.select(*shared.carried(keep), F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_low"))
     edge = lambda c: F.when(c.rlike(f"^{_BREAK}"), 1).otherwise(0)
     n = F.when(F.col("_low") == "", 0).otherwise(F.size(F.split("_low", _BREAK, -1)) - edge(F.substring("_low", 1, 1)) - edge(F.right("_low", F.lit(1))))
     rows = rows.withColumn("_n_words", n.cast("long"))
@@ -91,12 +92,12 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
         gated = gated | F.contains("_low", F.lit(word))
     kept = F.when(gated, _standing(_detections(F.col("_low"), _rule_table(rules()))))
     rows = rows.select(
-        *keep, "_n_words", sum(counts[1:], counts[0]).cast("long").alias("_n_base"), F.least(*firsts).cast("long").alias("_first_word"), F.greatest(*lasts).cast("long").alias("_last_word"),
+        *along, "_n_words", sum(counts[1:], counts[0]).cast("long").alias("_n_base"), F.least(*firsts).cast("long").alias("_first_word"), F.greatest(*lasts).cast("long").alias("_last_word"),
         F.array_sort(F.array_compact(F.array(*labels))).alias("_base"), kept.alias("_kept"),
     )
     every = F.array_sort(F.array_union("_base", F.coalesce(F.transform("_kept", lambda d: d["label"]), F.expr("cast(array() as array<string>)"))))
     score = F.greatest(F.coalesce(F.array_max(F.transform("_kept", lambda d: d["sure"])), F.lit(0)), F.when(F.col("_n_base") > 0, 80).otherwise(0)) / 100.0
-    return rows.select(*keep, "_n_words", "_n_base", "_first_word", "_last_word", F.array_join("_base", ",").alias("_base_labels"), F.array_join(every, ",").alias("_labels"), score.cast("double").alias("_score"))
+    return rows.select(*shared.restored(keep), "_n_words", "_n_base", "_first_word", "_last_word", F.array_join("_base", ",").alias("_base_labels"), F.array_join(every, ",").alias("_labels"), score.cast("double").alias("_score"))
 
 
 def op8_license_scan(spark, sf_dir):

@@ -20,6 +20,11 @@ def word_count(column):
     return F.coalesce(F.regexp_count(F.col(column).cast("string"), F.lit(_WORD)), F.lit(0)).cast("long")
 
 
+def identity(id_col: str = "doc_id", text_col: str = "text"):
+    """A hash that tells documents apart, also those without an id."""
+    return F.xxhash64(shared.numbered(id_col), F.col(text_col).cast("string"))
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
     """``_source, _source_size, _target``: all words shared by weight, no source above ``most`` times its own.
 
@@ -101,16 +106,17 @@ def _round(most: int):
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``_id, _size, _source_size, _target, _copies`` of every row of ``docs``.
+    """``_id, _hash, _source, _size, _source_size, _target, _copies`` of every row of ``docs``.
 
     Rates come from :func:`solve_rates` and are rounded into copies: documents of a source and size have one rate and
     form a cell (a large one is several, by a hash of the id); a cell takes a whole number of copies and what is left
     over goes to the next smaller size, so a source misses its target by about its smallest document. Within a cell all
-    documents get the same copies but for the first ones by hash of the id, so reruns agree. A document without words
-    counts nothing and keeps one copy; if a target can't be met (it is 0 words of 0), nothing is taken. Repeated rows
-    are documents of their own, told apart by nothing, so any of them may get the copy.
+    documents get the same copies but for the first ones by ``_hash``, that of id and text (:func:`identity`), so reruns
+    agree. A document without words counts nothing and keeps one copy; if a target can't be met (it is 0 words of 0),
+    nothing is taken. Repeated rows are documents of their own, told apart by nothing, so any of them may get the copy.
+    A null source is one of its own; an empty table gives an empty mix.
     """
-    ident = F.xxhash64(shared.numbered(id_col))
+    ident = identity(id_col, text_col)
     sized = docs.select(F.col(source_col).alias("_source"), word_count(text_col).alias("_size"), shared.numbered(id_col).alias("_id"), ident.alias("_hash"))
     sized = shared.cut(sized, "sizes")
     counts = sized.groupBy("_source", "_size").agg(F.count("*").alias("_n"))
@@ -135,7 +141,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOS
     ranked = grouped.withColumn("_rank", F.row_number().over(order) - 1).withColumn("_cell", F.count("*").over(Window.partitionBy("_source", "_size", "_group")))
     placed = ranked.join(plan, F.col("_source").eqNullSafe(F.col("_ps")) & (F.col("_size") == F.col("_pz")) & (F.col("_group") == F.col("_pg")))
     even = F.floor(F.col("_copies") / F.col("_cell"))
-    return placed.select("_id", "_size", "_source_size", "_target", (even + F.when(F.col("_rank") < F.col("_copies") - even * F.col("_cell"), 1).otherwise(0)).cast("long").alias("_copies"))
+    return placed.select("_id", "_hash", "_source", "_size", "_source_size", "_target", (even + F.when(F.col("_rank") < F.col("_copies") - even * F.col("_cell"), 1).otherwise(0)).cast("long").alias("_copies"))
 
 
 def op3_mixing(spark, sf_dir):

@@ -109,11 +109,30 @@ def lean(run):
     return wrapped
 
 
+def others(columns: list[str], results: list[str]) -> list[str]:
+    """The columns of an input that go along: one with the name of a result column gives way to it."""
+    return [c for c in columns if c not in results]
+
+
+def carried(keep: list[str]):
+    """Columns under names of their own, so that no input column meets one that an operator needs on the way."""
+    return [F.col(f"`{c}`").alias(f"_carried{i}") for i, c in enumerate(keep)]
+
+
+def restored(keep: list[str]):
+    return [F.col(f"_carried{i}").alias(c) for i, c in enumerate(keep)]
+
+
 def numbered(column: str = "doc_id"):
     """The id as a long without nulls."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
 
 
+def told_apart(id_col: str = "doc_id", text_col: str = "text"):
+    """The id; documents without one get numbers by a hash of their text that stand before (nearly) all ids."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID) + F.shiftrightunsigned(F.xxhash64(F.col(text_col).cast("string")), 2))
+
+
 def id_ranges(docs: DataFrame, parts: int, column: str = "doc_id") -> list[int]:
     """At most ``parts`` - 1 ascending ids that split the rows into ranges of about equal numbers; reads the id only."""
     if parts < 2:

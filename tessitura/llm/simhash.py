@@ -42,7 +42,7 @@ def fingerprint(text: bytes, width: int = 4, seed: int = 42, parts: int = 1) ->
     else:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
         starts = np.concatenate(([0], ends[:-1] + 1))
-        found = np.array([one(joined[a:b], seed) for a, b in zip(starts[: 1 - width].tolist(), ends[width - 1 :].tolist(), strict=True)], np.uint64)
+        found = np.array([one(joined[a:b], seed) for a, b in zip(starts[: len(starts) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)], np.uint64)
     for p in range(parts):
         out[p] = _majority(found if p == 0 else shared.mix(found + np.uint64(p * 0x9E3779B97F4A7C15 % 2**64)))
     return out
@@ -136,6 +136,7 @@ def near(full: np.ndarray, codes: np.ndarray, place: np.ndarray, ring: Ring, gro
         order = np.argsort(key, kind="stable")
         key, x, mine = key[order], x[order], mine[order]
         at = place[mine]
+        run = np.cumsum(np.r_[0, key[1:] != key[:-1]])
         masks = [(ring.mask(i, length), ring.budget[length - 1]) for length in range(3, ring.m + 1)]  # the last is the whole part
 
         def link(a: np.ndarray, b: np.ndarray) -> None:
@@ -155,17 +156,15 @@ def near(full: np.ndarray, codes: np.ndarray, place: np.ndarray, ring: Ring, gro
                 break
             link(a, a + step)
         for flip in [0] + ([1 << b for b in range(second)] if ring.budget[1] >= 1 else []):
-            rank = np.unique(groups.root[at], return_inverse=True)[1].astype(np.uint64)
-            n = np.uint64(len(key))
-            block = key * n + rank
-            by = np.argsort(block, kind="stable")  # by key, then by group
-            k, block = key[by], block[by]
-            to = k ^ np.uint64(flip)
-            low, high = np.searchsorted(k, to, "left"), np.searchsorted(k, to, "right")
-            some = np.flatnonzero((high > low) & (to >= k))
+            to = key ^ np.uint64(flip)
+            low, high = np.searchsorted(key, to, "left"), np.searchsorted(key, to, "right")
+            some = np.flatnonzero((high > low) & (to >= key))
             if not len(some):
                 continue
-            own = to[some] * n + rank[by][some]
+            rank = np.unique(groups.root[at], return_inverse=True)[1]
+            by = np.lexsort((rank, run))  # by key, then by group
+            block = run * len(key) + rank[by]  # run ascends, so it is the same in this order
+            own = run[low[some]] * len(key) + rank[by][some]
             own_low, own_high = np.searchsorted(block, own, "left"), np.searchsorted(block, own, "right")
             ranges = [(own_high, high[some])] if flip == 0 else [(low[some], own_low), (own_high, high[some])]
             for begin, end in ranges:
@@ -188,6 +187,8 @@ def links(classes: DataFrame, most: int = 4, parts: int = 1, limit: int | None =
 
     Every task returns a star for each component that it sees, so the rows are at most segments x parts x classes.
     """
+    if most < 1:  # equal fingerprints are one class already
+        return classes.sparkSession.createDataFrame([], "a long, b long")
     ring, names = Ring(most), _names(parts)
     limit = most if limit is None else limit
     tasks = 2 * shared.shuffle_partitions(classes.sparkSession)
@@ -276,8 +277,8 @@ def keep_one(docs: DataFrame, most: int = 8, width: int = 5, parts: int = 6, sim
     """
     groups = near_groups(docs, most, width, parts, bits_at(similarity, 64 * parts))
     kept = groups.groupBy("_group").agg(F.min(F.struct("_id", "_hash")).alias("k")).select(F.col("k._id").alias("_id"), F.col("k._hash").alias("_hash"))
-    rows = docs.withColumn("_id", shared.numbered()).withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
-    return rows.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    rows = docs.select(*shared.carried(docs.columns), shared.numbered().alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_hash"))
+    return rows.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*shared.restored(docs.columns))
 
 
 def op10_simhash(spark, sf_dir):

@@ -135,9 +135,12 @@ def fingerprint(docs: DataFrame, width: int = WIDTH, scale: int = SCALE, text_co
             out: list[str] = []
             for a, b in shared.steps(batch.column(batch.num_columns - 1)):
                 out += spelled(*sketch_values(texts[a:b], width, scale), b - a)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.string())], names=[*batch.schema.names[:-1], "_fingerprint"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.string())], names=names)
 
-    return docs.select("*", F.col(text_col).cast("string").alias("_text")).mapInArrow(shared.lean(run), docs.schema.add("_fingerprint", "string"))
+    keep = shared.others(docs.columns, ["_fingerprint"])
+    schema = docs.select(*[f"`{c}`" for c in keep]).schema.add("_fingerprint", "string")
+    names = schema.names
+    return docs.select(*shared.carried(keep), F.col(text_col).cast("string").alias("_text")).mapInArrow(shared.lean(run), schema)
 
 
 def op6_fingerprints(spark, sf_dir):

@@ -175,7 +175,7 @@ def _covered(n: int, runs, k: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _apply(k: int, as_is: bool):
+def _apply(k: int, as_is: bool, names: list[str]):
     def run(batches):
         for batch in batches:
             kept, sizes, gone = [], [], []
@@ -189,13 +189,13 @@ def _apply(k: int, as_is: bool):
                 if n >= k:
                     mine = np.unique(flat[ends[i] : ends[i + 1]])
                     if int((mine & ((1 << _SHIFT) - 1)).sum()) != n - k + 1:
-                        covered = _covered(n, mine, k)
+                        covered = _covered(n, mine[(mine >> _SHIFT) + (mine & ((1 << _SHIFT) - 1)) <= n - k + 1], k)
                         removed = int(covered.sum())
                         words = list(itertools.compress(words, ~covered))
                 gone.append(removed)
                 kept.append((text if as_is and not removed else b" ".join(words)).decode())
             extra = [pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *extra], names=[*batch.schema.names[:-2], "_n_words", "_n_removed", "_kept"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *extra], names=names)
 
     return run
 
@@ -211,19 +211,20 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
     Consecutive windows with the same minimiser travel as one string to the minimiser's bucket; equal strings are
     combined before they do, so a passage that everybody shares costs each task one row. The bucket sorts its windows
     and returns the runs that start nowhere earlier; all other windows are repeats. A null or empty text has no words;
-    texts under ``k`` words stay whole. A null id sorts first. Repeated rows of a document (same id) don't remove
-    each other and get the same result.
+    texts under ``k`` words stay whole. Documents without an id sort first, by a hash of their text. Repeated rows of a
+    document (same id, same text) don't remove each other and get the same result; of rows with one id and different
+    texts each keeps what is first at the same place in any of them. An empty table stays empty.
     """
     parts = 3 * shared.shuffle_partitions(docs.sparkSession)
-    source = docs.select(shared.numbered(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    source = docs.select(shared.told_apart(id_col, text_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     blocks = source.mapInArrow(shared.lean(_pack(k, parts)), "_bucket int, _block binary")
     runs = blocks.repartitionById(parts, F.col("_bucket")).mapInArrow(shared.lean(_solve(k)), "_owner long, _run long")
     runs = runs.groupBy("_owner").agg(F.collect_list("_run").alias("_runs"))
-    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
-    rows = docs.select(shared.numbered(id_col).alias("_id"), *[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
-    both = rows.join(runs, F.col("_id") == F.col("_owner"), "left").select(*[rows[c] for c in keep], "_text", F.coalesce("_runs", F.array().cast("array<bigint>")).alias("_runs"))
-    schema = both.select(*keep).schema.add("_n_words", "long").add("_n_removed", "long").add("_kept", "string")
-    return both.mapInArrow(shared.lean(_apply(k, as_is)), schema)
+    keep = shared.others([c for c in docs.columns if c != text_col] if keep is None else keep, ["_n_words", "_n_removed", "_kept"])
+    rows = docs.select(shared.told_apart(id_col, text_col).alias("_id"), *shared.carried(keep), F.col(text_col).cast("string").alias("_text"))
+    both = rows.join(runs, F.col("_id") == F.col("_owner"), "left").drop("_id", "_owner").withColumn("_runs", F.coalesce("_runs", F.array().cast("array<bigint>")))
+    schema = docs.select(*[f"`{c}`" for c in keep]).schema.add("_n_words", "long").add("_n_removed", "long").add("_kept", "string")
+    return both.mapInArrow(shared.lean(_apply(k, as_is, schema.names)), schema)
 
 
 def op1_substring_dedup(spark, sf_dir):

@@ -60,7 +60,7 @@ def trie_counts(words: list[bytes], scores: dict[bytes, float], longest: int) ->
     return out
 
 
-def _counted(path: str):
+def _counted(path: str, names: list[str]):
     def run(batches):
         scores, longest = pieces(path)
         for batch in batches:
@@ -76,7 +76,7 @@ def _counted(path: str):
                 tokens.append(reach[found.at[1:]] - reach[found.at[:-1]])
             none = [np.zeros(0, np.int64)]
             more = [pa.array(np.concatenate(x or none)) for x in (words, tokens)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=[*batch.schema.names[:-1], "_n_words", "_n_tokens"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=names)
 
     return run
 
@@ -87,9 +87,9 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None, text_col: str =
     Pre-tokens are the words ``[^\\x20\\x09-\\x0D]+`` with one space before them. The distinct ones of each step go into
     one trie. Null and empty texts have no tokens; whole texts count.
     """
-    keep = docs.columns if keep is None else keep
-    schema = docs.select(*keep).schema.add("_n_words", "long").add("_n_tokens", "long")
-    return docs.select(*keep, F.col(text_col).cast("string").alias("_input")).mapInArrow(shared.lean(_counted(vocabulary or vocabulary_path())), schema)
+    keep = shared.others(docs.columns if keep is None else keep, ["_n_words", "_n_tokens"])
+    schema = docs.select(*[f"`{c}`" for c in keep]).schema.add("_n_words", "long").add("_n_tokens", "long")
+    return docs.select(*shared.carried(keep), F.col(text_col).cast("string").alias("_input")).mapInArrow(shared.lean(_counted(vocabulary or vocabulary_path(), schema.names)), schema)
 
 
 def op2_token_counts(spark, sf_dir):
