@@ -42,7 +42,7 @@ def from_planes(planes: list[bytes], n: int, kind: str) -> np.ndarray:
         for p, x in enumerate(planes):
             if x:
                 bits[p] = np.unpackbits(np.frombuffer(x, np.uint8), count=n, bitorder="little")
-        return np.packbits(bits.T, axis=1, bitorder="little").view("<u4").ravel()
+        return np.ascontiguousarray(np.packbits(bits, axis=0, bitorder="little").T).view("<u4").ravel()
     out = np.zeros((n, 4), np.uint8)
     for p, x in enumerate(planes):
         if x:
