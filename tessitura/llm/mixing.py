@@ -100,6 +100,12 @@ def _round(most: int):
             copies = min(most * n, max(0, int(want / size + 0.5))) if size else n
             carry = want - copies * size
             out.append(copies)
+        for i, (n, size) in enumerate(zip(cells["_n"], cells["_size"], strict=True)):
+            # what the small ones couldn't take in, where a document more or less brings the sum nearer
+            if size and 2 * abs(carry) > size:
+                more = min(int(abs(carry) / size + 0.5), most * n - out[i]) if carry > 0 else -min(int(-carry / size + 0.5), out[i])
+                out[i] += more
+                carry -= more * size
         return cells.assign(_copies=out)[["_source", "_size", "_group", "_copies"]]
 
     return run
@@ -110,7 +116,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOS
 
     Rates come from :func:`solve_rates` and are rounded into copies: documents of a source and size have one rate and
     form a cell (a large one is several, by a hash of the id); a cell takes a whole number of copies and what is left
-    over goes to the next smaller size, so a source misses its target by about its smallest document. Within a cell all
+    over goes to the next smaller size and, if the small ones can't take it in, to any other that brings the sum nearer,
+    so no copy more or less brings a source nearer to its target. Within a cell all
     documents get the same copies but for the first ones by ``_hash``, that of id and text (:func:`identity`), so reruns
     agree. A document without words counts nothing and keeps one copy; if a target can't be met (it is 0 words of 0),
     nothing is taken. Repeated rows are documents of their own, told apart by nothing, so any of them may get the copy.
