@@ -20,7 +20,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
     )
