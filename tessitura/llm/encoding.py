@@ -17,6 +17,9 @@ from tessitura.llm import shared
 
 #: Entries in each of the two generations of the table of pieces.
 REMEMBERED = 300_000
+#: Pieces that the library gets as one text.
+CHAIN = 64
+_WHITE = frozenset(b" \t\n\v\f\r")
 _LOADED: dict = {}
 
 
@@ -59,6 +62,10 @@ def _pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
 class Pieces:
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # a byte-level token has a character for each byte
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -74,15 +81,34 @@ class Pieces:
                 out[i] = new[pieces[i]] = x
         for at in range(0, len(missing), 20_000):
             some = missing[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast([pieces[i].decode() for i in some], add_special_tokens=False)
-            for i, x in zip(some, found, strict=True):
-                out[i] = np.array(x.ids, np.uint32).tobytes()
+            for i, x in zip(some, self._fresh([pieces[i] for i in some]), strict=True):
+                out[i] = x
         if len(new) + len(missing) > REMEMBERED:
             self.old, self.new = new, {}
         if len(missing) <= REMEMBERED:
             self.new.update((pieces[i], out[i]) for i in missing)
         return out
 
+    def _fresh(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of pieces not seen lately. Those that may stand next to each other in a text go to the library as one."""
+        out: list[bytes | None] = [None] * len(pieces)
+        chain = [i for i, p in enumerate(pieces) if p[0] in _WHITE and (32 < p[-1] < 127 or (len(p) > 1 and p[-2] == 0xC3))]
+        texts = [b"".join([pieces[i] for i in chain[a : a + CHAIN]]).decode() for a in range(0, len(chain), CHAIN)]
+        if texts:
+            found = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = np.concatenate(found)
+            reach = np.r_[0, np.cumsum(self.sizes[ids])]  # bytes up to each id
+            edges = np.r_[0, np.cumsum(np.fromiter((len(pieces[i]) for i in chain), np.int64, len(chain)))]
+            cut = np.searchsorted(reach, edges)
+            if cut[-1] < len(reach) and np.array_equal(reach[cut], edges):  # else the vocabulary isn't one of bytes
+                raw = ids.tobytes()
+                for i, a, b in zip(chain, (4 * cut[:-1]).tolist(), (4 * cut[1:]).tolist(), strict=True):
+                    out[i] = raw[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False) if rest else [], strict=True):
+            out[i] = np.array(x.ids, np.uint32).tobytes()
+        return out
+
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by ``end_id``, and n_texts + 1 offsets."""
         pieces, at = _pieces(texts)
