@@ -18,9 +18,9 @@ def rounded(x, digits: int) -> Column:
 
 
 def midi_float(hz) -> Column:
-    """FN2: fractional MIDI number, -1 for unpitched."""
+    """FN2: fractional MIDI number, -1 for unpitched, null for null."""
     hz = col(hz)
-    return F.when(hz > 0, 12 * F.log2(hz / 440) + 69).otherwise(F.lit(-1.0))
+    return F.when(hz > 0, 12 * F.log2(hz / 440) + 69).when(hz.isNotNull(), F.lit(-1.0))
 
 
 def midi_int(hz) -> Column:

@@ -26,10 +26,14 @@ def tokens(text) -> Column:
 
 
 def word_distance(a: Column, b: Column) -> Column:
-    """Edits between two arrays of words: each distinct word becomes one character, so it is one ``levenshtein``."""
-    vocabulary = F.array_distinct(F.concat(a, b))
-    letter = lambda w: F.decode(F.unhex(F.lpad(F.hex((F.lit(19968) + F.array_position(vocabulary, w)).cast("long")), 4, "0")), "UTF-16BE")
-    return F.levenshtein(F.array_join(F.transform(a, letter), ""), F.array_join(F.transform(b, letter), ""))
+    """Edits between two arrays of words: each distinct word becomes one character, so it is one ``levenshtein``.
+
+    The words of the pair stand in an array of one element, over which the distance is a transform: so they are listed
+    once a pair and not once a word.
+    """
+    letter = lambda known: lambda w: F.decode(F.unhex(F.lpad(F.hex((F.lit(19968) + F.array_position(known, w)).cast("long")), 4, "0")), "UTF-16BE")
+    spelled = lambda words, known: F.array_join(F.transform(words, letter(known)), "")
+    return F.transform(F.array(F.array_distinct(F.concat(a, b))), lambda known: F.levenshtein(spelled(a, known), spelled(b, known)))[0]
 
 
 def align(a: list[str], b: list[str]) -> tuple[int, int, int, int]:

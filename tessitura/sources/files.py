@@ -20,7 +20,7 @@ def read_vad_seconds(spark: SparkSession, path: str) -> DataFrame:
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """SRC10: one JSON document per file: its typed columns, and ``raw`` with the whole text, so no key is lost."""
-    raw = spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "raw")
+    raw = spark.read.text(path, wholetext=True).withColumnRenamed("value", "raw")
     return raw.select("raw", F.from_json("raw", schemas.TRACK_METADATA).alias("m")).select("m.*", "raw")
 
 
