@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
-from conftest import DATA
 
 from tessitura.plans import catalogue
 
+DATA = os.environ.get("TEST_DATA", "/root/testdata")
+
 
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLE_SQL))
 def test_same_rows_as_sql(name, same):
