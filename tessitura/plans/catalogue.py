@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessitura.functions import music, text
 from tessitura.operators import jobs, pitch, segments, signal
 from tessitura.operators.text_eval import evaluate_pairs
-from tessitura.plans import proxies
+from tessitura.plans import proxies, tracks
 from tessitura.session import table
 
 #: Five frames a window, and thresholds that all bind on the test tables.
@@ -158,6 +158,26 @@ def checkpoint_pick(spark, d):
     return files.select("folder").distinct().join(pth, "folder", "left").join(index, "folder", "left")
 
 
+_RUN = tracks.RunConfig(separation_backend="uvr5", dereverb_backend="mbr", do_lyrics_eval=True)
+
+
+def _outcomes(spark, d):
+    return tracks.outcomes(tracks.keyed(proxies.staged(spark, d), _RUN), _RUN)
+
+
+def track_outcomes(spark, d):
+    return _outcomes(spark, d).select("track_id", "stem", "status", "vocals", "mixed", "warning")
+
+
+def track_summary(spark, d):
+    return tracks.summary(_outcomes(spark, d))
+
+
+def track_pending(spark, d):
+    done = tracks.keyed(proxies.staged(spark, d).where("num_segments > 2"), _RUN)
+    return tracks.pending(proxies.staged(spark, d), done, _RUN).select("track_id", "stem")
+
+
 def uri_parse(spark, d):
     return table(spark, d, "pages").select("page_id", text.bucket_of("url").alias("bucket"), text.prefix_of("url").alias("prefix"), text.prefix_of("url", False).alias("bare_prefix"), text.last_segment("url").alias("last_segment"))
 
@@ -210,7 +230,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         pitch_scale, pitch_windows, trailing_hnr_baseline, stable_windows, stable_range, stable_range_gap1, stable_range_gap2, note_stats, note_run, singer_stats, octave_shift, text_normalize, wer_cer, wer_counts,
-        vocal_segments, segment_seconds, segment_overlap_join, reassemble_left, job_plan, job_outcomes, job_summary, file_gate, checkpoint_pick, uri_parse, content_key, metadata_json, backend_choice, frame_signal,
+        vocal_segments, segment_seconds, segment_overlap_join, reassemble_left, job_plan, job_outcomes, job_summary, file_gate, checkpoint_pick, track_outcomes, track_summary, track_pending, uri_parse, content_key, metadata_json, backend_choice, frame_signal,
         hnr_autocorr, hnr_cepstral, hnr_spectral, mix_overlay, stem_sum,
     )
 }
@@ -299,7 +319,17 @@ segs AS (SELECT *, end_ms - start_ms AS duration_ms, lpad(CAST("index" AS VARCHA
 _STATUS = """st AS (SELECT d.doc_id AS subprefix, CASE WHEN d.n_chars < 500 THEN 'skipped_missing' WHEN d.doc_id IN (SELECT doc_id FROM labels) THEN 'skipped_already_done' WHEN d.doc_id % 17 = 0 THEN 'inference_error'
       WHEN d.doc_id % 19 = 0 THEN 'download_error' ELSE 'ok' END AS status FROM documents d)"""
 
+_TRACKS = """r AS (SELECT *, CAST(round_even(abs(c_acctbal) * 100, 0) AS BIGINT) AS cents FROM customer),
+s AS (SELECT c_custkey AS track_id, 'source_' || md5(c_name) || '_rvcmodel_' || md5(c_mktsegment) AS stem, c_custkey % 11 <> 0 AS separated, c_nationkey % 5 <> 0 AND c_nationkey % 4 <> 0 AS dereverbed, c_nationkey % 3 <> 0 AS has_instrumental,
+      cents % 7 <> 0 AS lyrics_ok, CAST(cents % 6 AS INT) AS segments, CAST(least(cents % 6, CAST(floor(cents / 10.0) AS BIGINT) % 5) AS INT) AS converted FROM r),
+o AS (SELECT *, CASE WHEN NOT separated THEN 'separation_error' WHEN segments = 0 THEN 'no_segments' WHEN converted = 0 THEN 'conversion_error' ELSE 'ok' END AS status FROM s),
+t AS (SELECT *, CASE WHEN status = 'ok' THEN CASE WHEN dereverbed THEN 'dereverbed' ELSE 'raw' END END AS vocals, status = 'ok' AND has_instrumental AS mixed, CASE WHEN status = 'ok' THEN
+      concat_ws('; ', CASE WHEN NOT dereverbed THEN 'dereverberation failed' END, CASE WHEN converted < segments THEN 'some segments weren''t converted' END, CASE WHEN NOT lyrics_ok THEN 'lyrics evaluation failed' END) END AS warning FROM o)"""
+
 ORACLE_SQL = {
+    "track_outcomes": f"WITH {_TRACKS} SELECT track_id, stem, status, vocals, mixed, warning FROM t",
+    "track_summary": f"WITH {_TRACKS} SELECT count(*) AS total, count(*) FILTER (status = 'ok') AS succeeded, count(*) FILTER (mixed) AS mixed, CAST(sum(segments) AS BIGINT) AS segments, CAST(sum(converted) AS BIGINT) AS converted FROM t",
+    "track_pending": f"WITH {_TRACKS} SELECT track_id, stem FROM t WHERE segments <= 2",
     "pitch_scale": f"WITH {_NARROW} SELECT track_id, frame_idx, round_even({_midi('f0_hz')}, 6) AS midi, CAST(round_even({_midi('f0_hz')}, 0) AS INT) AS midi_int, round_even(CASE WHEN f0_hz > 0 THEN 12*log2(f0_hz/440 + 1e-10)+69 ELSE 0 END, 6) AS f0_midi, "
     f"round_even({_hz(f'round_even({_midi("f0_hz")}, 0)')}, 6) AS note_hz, {_note('f0_hz')} AS note FROM frames",
     "pitch_windows": f"WITH {_WINDOWS} SELECT * FROM windows",

@@ -47,5 +47,16 @@ def track_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").agg((_ms(F.max("ts")) - _ms(F.min("ts"))).alias("track_end_ms"))
 
 
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of the stages of a run: a track per customer."""
+    cents = F.bround(F.abs("c_acctbal") * 100).cast("long")
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("track_id"), F.md5("c_name").alias("source_md5"), F.md5("c_mktsegment").alias("rvc_md5"), (F.col("c_custkey") % 11 != 0).alias("separated"),
+        F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey") % 4 != 0).alias("dereverbed"), (F.col("c_nationkey") % 3 != 0).alias("has_instrumental"), (cents % 7 != 0).alias("lyrics_ok"), (cents % 6).cast("int").alias("num_segments"),
+        (F.floor(cents / 10) % 5).cast("int").alias("_most"),
+    )
+    return rows.withColumn("num_converted", F.least("num_segments", "_most")).drop("_most")
+
+
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("track_id"), F.col("embedding").alias("samples"))
