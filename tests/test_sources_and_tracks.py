@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import numpy as np
 import pytest
@@ -13,6 +14,8 @@ from tessitura.plans import tracks
 from tessitura.sources import audio, files
 from tessitura.streaming import incremental
 
+DATA = os.environ.get("TEST_DATA", "/root/testdata")
+
 
 def test_wav_round_trip(spark, tmp_path):
     wave = np.sin(np.arange(4000) / 20) * 0.5
@@ -101,3 +104,15 @@ def test_transposition(spark):
     ranges = spark.createDataFrame([("m", 220.0, 440.0)], "model_id string, low_hz double, high_hz double")
     assert {r["track_id"]: r["shift_semitones"] for r in tracks.transposition(singers, ranges).collect()} == {1: 24, 2: None}
     assert {r["shift_semitones"] for r in tracks.transposition(singers, override=-12).collect()} == {-12}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tessitura.__main__ import main
+
+    out = str(tmp_path / "out")
+    main(["job_summary", f"{DATA}/sf0.001", out, "--format", "json"])
+    assert spark.read.json(out).first()["total"] == 200
+    main(["stable_range", f"{DATA}/sf0.001", out, "--explain"])
+    assert "Window" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["no_such_query", "a", "b"])
