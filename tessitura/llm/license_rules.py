@@ -1,12 +1,16 @@
 """Signatures of licenses: label, keyword, regular expression, priority (lower wins), confidence in percent.
 
-Texts are in lower case when a rule sees them. A rule is tried only where its keyword stands, so the keyword must be
-part of every text that the expression can match. ``W`` is white space or comment signs between words.
+Texts are in lower case when a rule or a keyword sees them, and what matches ``GAP`` is one space in them. A rule is
+tried only where its keyword stands, so the keyword must be part of every text that the expression can match.
 """
 
 from __future__ import annotations
 
-W = r"[\s*#/;.,\"'()-]+"
+_SPACE = " \\t-\\r\\x85\\xa0\\u2000-\\u200b\\u2028\\u2029\\u202f\\u3000"
+_SIGNS = f"[{_SPACE}*#/;%!|>]*+"
+#: White space between words with the comment signs of wrapped lines: closing signs, an opening sign, or -- and quotes that
+#: stand alone. Possessive, and not begun inside a run of signs, so long runs take time in proportion and no stack.
+GAP = rf"(?<![*#/])[*#/]*+[{_SPACE}]{_SIGNS}(?:[\"'-]++[{_SPACE}]{_SIGNS})*+"
 
 #: Families: label pattern, keyword, names (how texts call it), versions.
 _VERSIONED = [

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessitura.llm import shared
-from tessitura.llm.license_rules import rules
+from tessitura.llm.license_rules import GAP, rules
 
 #: One of these stands in every text that a rule can match, so other texts are done after the count of their words.
 GATES = ("licen", "copyright", "rights reserved", "public domain", "publicdomain", "creative commons", "creativecommons", "cc by", "cc-by", "cc0", "gpl", " mpl", "apache", "bsd", "wtfpl", "cecill", "commons clause", "open data commons", "the mit", "mit no attribution", "permission is hereby", "permission to use", "redistribution and use", "neither the name", "advertising materials", "as-is", "what the fuck", "not evil", "confidential", "unauthorized", "noderiv", "commercial use", "either version")
@@ -63,7 +63,7 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
 
     Base: places where the words of a phrase stand one after the other. Labels of the method: hundreds of signature
     rules, each tried only where its keyword stands; a detection inside another is dropped, of two on one interval the
-    better priority stays. ``_score`` is the confidence of the surest detection, 0 without any. Null texts are empty: no
+    better priority stays. Line ends, tabs and comment signs between words count as one space. ``_score`` is the confidence of the surest detection, 0 without any. Null texts are empty: no
     words, empty labels, null places. Whole texts are scanned, and nothing but the row itself is needed for it.
     """
     keep = shared.others(docs.columns if keep is None else keep, ["_n_words", "_n_base", "_first_word", "_last_word", "_base_labels", "_labels", "_score"])
@@ -76,6 +76,7 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
     # each word with a space of its own on both sides, so that phrases next to each other don't share one
     spaced = F.concat(F.lit(" "), F.array_join(F.array_remove(F.split("_low", _BREAK, -1), ""), "  "), F.lit(" "))
     rows = rows.withColumn("_spaced", F.when(F.contains("_low", F.lit("license")), spaced))
+    rows = rows.withColumn("_flat", F.regexp_replace("_low", GAP, " "))
     counts, firsts, lasts, labels = [], [], [], []
     for phrase, label in _BASE:
         words = phrase.split()
@@ -89,8 +90,8 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
         labels.append(F.when(here, F.lit(label)))
     gated = F.lit(False)
     for word in GATES:
-        gated = gated | F.contains("_low", F.lit(word))
-    kept = F.when(gated, _standing(_detections(F.col("_low"), _rule_table(rules()))))
+        gated = gated | F.contains("_flat", F.lit(word))
+    kept = F.when(gated, _standing(_detections(F.col("_flat"), _rule_table(rules()))))
     rows = rows.select(
         *along, "_n_words", sum(counts[1:], counts[0]).cast("long").alias("_n_base"), F.least(*firsts).cast("long").alias("_first_word"), F.greatest(*lasts).cast("long").alias("_last_word"),
         F.array_sort(F.array_compact(F.array(*labels))).alias("_base"), kept.alias("_kept"),

@@ -54,6 +54,41 @@ def test_a_longer_detection_hides_those_inside(make):
     assert found[7]["_labels"] == "public-domain"
 
 
+WRAPPED = [
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("gpl-2.0-or-later", "either version 2 of the License, or (at your option) any later version."),
+    ("gpl-3.0-or-later", "either version 3 of the License, or (at your option) any later version."),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty"),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors"),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("mpl-2.0", "the Mozilla Public License, v. 2.0"),
+    ("cc-by-sa-4.0", "a Creative Commons Attribution-ShareAlike 4.0 license"),
+    ("public-domain", "placed into the public domain"),
+    ("proprietary", "All rights reserved"),
+]
+
+
+GAPS = [" ", "\n", "\t", "   ", "\r\n", "\n * ", " *\n * ", "\n# ", "\n// ", "\n//", "*/\n/* ", "\n;; ", "\n-- ", "\n% ", '\n" ', "\n\n> ", "\u00a0", "\u2028"]
+
+
+def test_wrapped_and_commented_texts(make):
+    found = scanned(make([(100 * g + i, text.replace(" ", gap)) for g, gap in enumerate(GAPS) for i, (_, text) in enumerate(WRAPPED)]))
+    for g, gap in enumerate(GAPS):
+        for i, (label, _) in enumerate(WRAPPED):
+            one, plain = found[100 * g + i], found[i]
+            assert label in one["_labels"].split(","), (gap, label)
+            bases = {*one["_base_labels"].split(","), *plain["_base_labels"].split(",")}  # their words may have any gap
+            assert {*one["_labels"].split(",")} - bases == {*plain["_labels"].split(",")} - bases and one["_score"] == plain["_score"], (gap, label)
+
+
+def test_long_runs_of_signs_are_one_gap(make):
+    runs = ["*" * 50_000, " " * 50_000, "- " * 50_000, "#/" * 50_000, '" - ' * 50_000]
+    rows = [(i, f"bsd {run}\nlicense") for i, run in enumerate(runs)]
+    assert {r["_labels"] for r in scanned(make(rows)).values()} == {"bsd"}
+
+
 def test_odd_rows_and_no_python(make, odd):
     df = make(odd, extra=True)
     found = licenses.scan(df)
