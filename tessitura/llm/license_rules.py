@@ -24,7 +24,7 @@ _VERSIONED = [
     ("gfdl-{}", "free documentation license", ("gnu free documentation license", "free documentation license"), ("1.1", "1.2", "1.3")),
     ("apache-{}", "apache", ("apache license", "apache software license", "apache public license"), ("1.0", "1.1", "2.0")),
     ("mpl-{}", "mozilla public license", ("mozilla public license",), ("1.0", "1.1", "2.0")),
-    ("mpl-{}", " mpl", ("mpl",), ("1.0", "1.1", "2.0")),
+    ("mpl-{}", "mpl", ("mpl",), ("1.0", "1.1", "2.0")),
     ("epl-{}", "eclipse public license", ("eclipse public license",), ("1.0", "2.0")),
     ("cddl-{}", "common development and distribution license", ("common development and distribution license",), ("1.0", "1.1")),
     ("cpl-{}", "common public license", ("common public license",), ("1.0",)),
@@ -106,7 +106,7 @@ _PHRASES = [
     ("eupl", "european union public licence", r"\beuropean union public licence\b", 45, 85),
     ("osl", "open software license", r"\bopen software license\b", 45, 80),
     ("python", "python software foundation license", r"\bpython software foundation license(?: version 2)?\b", 30, 90),
-    ("postgresql", "postgresql license", r"\bpostgresql licen[sc]e\b", 30, 90),
+    ("postgresql", "postgresql licen", r"\bpostgresql licen[sc]e\b", 30, 90),
     ("openssl", "openssl license", r"\bopenssl license\b", 30, 90),
     ("vim", "vim license", r"\bvim license\b", 30, 90),
     ("ruby", "ruby license", r"\bruby license\b", 30, 85),
@@ -120,9 +120,10 @@ _PHRASES = [
     ("pddl", "public domain dedication and license", r"\bpublic domain dedication and license\b", 20, 90),
     ("proprietary", "all rights reserved", r"\ball rights reserved\b", 70, 50),
     ("proprietary", "confidential", r"\b(?:proprietary and confidential|confidential and proprietary)\b", 60, 60),
-    ("proprietary", "unauthorized", r"\bunauthori[sz]ed (?:copying|use|reproduction|distribution) (?:of .{1,60}? )?is (?:strictly )?prohibited\b", 50, 70),
+    ("proprietary", "unauthori", r"\bunauthori[sz]ed (?:copying|use|reproduction|distribution) (?:of .{1,60}? )?is (?:strictly )?prohibited\b", 50, 70),
     ("copyright", "copyright", r"\bcopyright(?: \(c\)| ©)? (?:19|20)[0-9]{2}\b", 80, 30),
-    ("no-derivatives", "noderiv", r"\bno-?derivs?(?:atives)?\b", 80, 40),
+    ("no-derivatives", "noderiv", r"\bnoderivs?(?:atives)?\b", 80, 40),
+    ("no-derivatives", "no-deriv", r"\bno-derivs?(?:atives)?\b", 80, 40),
     ("non-commercial", "commercial use", r"\b(?:non-?commercial use only|not for commercial use|no commercial use)\b", 70, 50),
 ]
 

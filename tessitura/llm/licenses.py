@@ -9,7 +9,7 @@ from tessitura.llm import shared
 from tessitura.llm.license_rules import GAP, rules
 
 #: One of these stands in every text that a rule can match, so other texts are done after the count of their words.
-GATES = ("licen", "copyright", "rights reserved", "public domain", "publicdomain", "creative commons", "creativecommons", "cc by", "cc-by", "cc0", "gpl", " mpl", "apache", "bsd", "wtfpl", "cecill", "commons clause", "open data commons", "the mit", "mit no attribution", "permission is hereby", "permission to use", "redistribution and use", "neither the name", "advertising materials", "as-is", "what the fuck", "not evil", "confidential", "unauthorized", "noderiv", "commercial use", "either version")
+GATES = ("licen", "copyright", "rights reserved", "public domain", "publicdomain", "creative commons", "creativecommons", "cc by", "cc-by", "cc0", "gpl", "mpl", "apache", "bsd", "wtfpl", "cecill", "commons clause", "open data commons", "the mit", "mit no attribution", "permission is hereby", "permission to use", "redistribution and use", "neither the name", "advertising materials", "as-is", "what the fuck", "not evil", "confidential", "unauthori", "noderiv", "no-deriv", "commercial use", "either version")
 _BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
@@ -90,7 +90,8 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
         labels.append(F.when(here, F.lit(label)))
     gated = F.lit(False)
     for word in GATES:
-        gated = gated | F.contains("_flat", F.lit(word))
+        here = F.contains("_flat", F.lit(word))
+        gated = gated | (here & F.col("_flat").rlike(r"\bmpl") if word == "mpl" else here)  # not example, simple, template
     kept = F.when(gated, _standing(_detections(F.col("_flat"), _rule_table(rules()))))
     rows = rows.select(
         *along, "_n_words", sum(counts[1:], counts[0]).cast("long").alias("_n_base"), F.least(*firsts).cast("long").alias("_first_word"), F.greatest(*lasts).cast("long").alias("_last_word"),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from re import _parser
 
 import brute
 
@@ -89,6 +90,50 @@ def test_long_runs_of_signs_are_one_gap(make):
     assert {r["_labels"] for r in scanned(make(rows)).values()} == {"bsd"}
 
 
+def samples(parsed):
+    """Texts that an expression matches: the first choice everywhere, and every other choice once."""
+    out = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            some = [chr(arg)]
+        elif op == "ANY":
+            some = ["x"]
+        elif op == "AT" or op.startswith("ASSERT"):
+            some = [""]
+        elif op == "IN":
+            some = [chr(a) if str(o) == "LITERAL" else chr(a[0]) if str(o) == "RANGE" else " " for o, a in arg]
+        elif op == "SUBPATTERN":
+            some = samples(arg[3])
+        elif op == "BRANCH":
+            some = [s for branch in arg[1] for s in samples(branch)]
+        else:
+            assert op in ("MAX_REPEAT", "MIN_REPEAT")
+            some = [""] * (arg[0] == 0) + [s * max(arg[0], 1) for s in samples(arg[2])]
+        out = [o + some[0] for o in out] + [out[0] + s for s in some[1:]]
+    return out
+
+
+def test_keyword_and_gate_stand_in_every_match():
+    n = 0
+    for label, keyword, exp, *_ in license_rules.rules():
+        for text in samples(_parser.parse(exp)):
+            hit = re.search(exp, text)
+            assert hit and keyword in hit.group() and any(g in hit.group() for g in licenses.GATES), (label, keyword, text)
+            n += 1
+    assert n > 3000
+
+
+def test_gated_and_ungated_scans_agree(make, monkeypatch):
+    every = sorted({s for _, _, exp, *_ in license_rules._PHRASES for s in samples(_parser.parse(exp))} | {"(mpl-2.0)", "mpl 2.0", "mplv2", "x\nmpl-1.1 or later", "a simple example"})
+    gated = scanned(make(list(enumerate(every))))
+    ungated = [(label, "", *rest) for label, _, *rest in license_rules.rules()]
+    monkeypatch.setattr(licenses, "rules", lambda: ungated)
+    monkeypatch.setattr(licenses, "GATES", ("",))
+    assert {i: r["_labels"] for i, r in gated.items()} == {i: r["_labels"] for i, r in scanned(make(list(enumerate(every)))).items()}
+    assert gated[every.index("(mpl-2.0)")]["_labels"] == gated[every.index("mpl 2.0")]["_labels"] == "mpl-2.0"
+
+
 def test_odd_rows_and_no_python(make, odd):
     df = make(odd, extra=True)
     found = licenses.scan(df)
