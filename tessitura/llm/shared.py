@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import functools
 import sys
 import uuid
 
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 NULL_ID = -(2**63)
 #: Bytes of text that one vectorised step works on; bounds the memory of a Python worker.
 STEP_BYTES = 6_000_000
-#: Rows with one key that are always ranked together; a key with more, and more than a tenth of a task's rows, is split.
-LEAST_RANKED = 1000
+#: Rows with one key that are always ranked or joined together; a key with more, and more than a tenth of a task's rows, is split.
+LEAST_RANKED, LEAST_JOINED = 100, 1000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -35,6 +36,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(rows: DataFrame, lookup: DataFrame, on: list[tuple[str, str]], n: str, total: int) -> DataFrame:
+    """Inner join of ``rows``, ``total`` in number, with ``lookup``, which has one row a key and in ``n`` how many rows have it.
+
+    A key with over a tenth of a task's rows isn't shuffled: its rows stay where they are and the row of ``lookup`` is
+    sent to them. There are at most 10 x tasks such keys. Names of columns must differ.
+    """
+    most = max(LEAST_JOINED, total // (10 * shuffle_partitions(rows.sparkSession)))
+    same = functools.reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in on])
+    if total <= most:  # so no key has more
+        return rows.join(lookup, same)
+    hot = F.broadcast(lookup.where(F.col(n) > most))
+    cold = rows.join(F.broadcast(lookup.where(F.col(n) > most).select(*[b for _, b in on])), same, "left_anti")
+    return rows.join(hot, same).unionByName(cold.join(lookup.where(F.col(n) <= most), same))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: ``spark.checkpoint.dir``, or one set here where it is unset."""
     set_to = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -90,6 +106,20 @@ def discard(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+def tidy(since: int, *kept: DataFrame) -> None:
+    """Remove the tables written after the first ``since`` ones, but for those behind ``kept``; nothing may read them any more."""
+    paths = {getattr(df, "_scratch", None) for df in kept}
+    for spark, path in _TABLES[since:]:
+        if path not in paths:
+            remove(spark, path)
+    _TABLES[since:] = [x for x in _TABLES[since:] if x[1] in paths]
+
+
+def written() -> int:
+    """How many tables stand in the shared folder, for :func:`tidy`."""
+    return len(_TABLES)
+
+
 def lean(run):
     """For mapInArrow: ``run``, which gives the memory it no longer uses back to the system at the end of a task.
 

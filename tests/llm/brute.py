@@ -7,6 +7,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -67,6 +68,23 @@ def components(n, linked):
     return [find(x) for x in range(n)]
 
 
+def near_groups(texts, width, parts, most, similarity):
+    """Least place of each text's group: candidates by the fingerprints of distinct shingles, links by Jaccard similarity."""
+    from tessitura.llm import simhash
+
+    sets = [set(shingles(t, width)) for t in texts]
+    prints = np.array([simhash.majorities(np.unique(simhash.shingles((t or "").encode(), width)), parts) for t in texts], np.uint64).reshape(-1, parts)
+    limit = simhash.bits_at(similarity, 64 * parts)
+
+    def linked(a, b):
+        if sets[a] == sets[b]:
+            return True
+        bits = np.bitwise_count(prints[a] ^ prints[b])
+        return bits.min() <= most and bits.sum() <= limit and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9
+
+    return components(len(texts), linked)
+
+
 def targets(sizes, weights=(1, 2, 3), most=3):
     """{source: target}: what stands above the limit is shared anew until nothing does."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))

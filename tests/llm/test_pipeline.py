@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from tessitura.llm import encoding, language_id, shared, simhash
+from tessitura.llm import encoding, language_id, shared
 
 
 @pytest.fixture(scope="module")
@@ -42,15 +42,7 @@ def test_language_stage(spark, stages, duck):
 
 def test_near_duplicate_stage(stages):
     before = sorted(stages[0], key=lambda r: r["doc_id"])
-    prints = np.array([simhash.fingerprint(r["text"].encode(), 5, parts=6) for r in before])
-    limit = simhash.bits_at(0.8, 384)
-
-    def linked(a, b):
-        bits = np.bitwise_count(prints[a] ^ prints[b])
-        return bits.min() <= 8 and bits.sum() <= limit
-
-    root = brute.components(len(before), linked)
-    assert texts(stages[1]) == sorted((before[r]["doc_id"], before[r]["text"]) for r in set(root))
+    assert texts(stages[1]) == sorted((before[r]["doc_id"], before[r]["text"]) for r in set(brute.near_groups([r["text"] for r in before], 5, 6, 8, 0.8)))
 
 
 def test_passage_stage(stages):

@@ -5,6 +5,7 @@ import random
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessitura.llm import registry, shared, simhash
 
@@ -37,6 +38,10 @@ def test_links_are_complete(spark, most):
     found = simhash.components(simhash.links(spark.createDataFrame(rows, "_fp0 long, _node long"), most)).collect()
     root = {r["node"]: r["root"] for r in found}
     assert [root.get(i, i) for i in range(len(values))] == want
+    if most != 4:
+        return
+    deep = simhash.components(simhash.links(spark.createDataFrame(rows, "_fp0 long, _node long"), most, deep=True)).collect()
+    assert {r["node"]: r["root"] for r in deep} == root
 
 
 def test_a_dense_group_is_one_component(spark):
@@ -114,6 +119,50 @@ def test_near_copies_go_and_others_stay(make):
     assert sum(i in kept for i in near if i % 10) <= 2
 
 
+def family(rng, n, changes, words=120):
+    """Copies of one text, each with some words changed: pairs of about similarity 0.8, on both sides of it."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.choice(changes)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("block", [8_000_000, 3_000])
+def test_links_are_verified(make, monkeypatch, block):
+    """The same groups as all pairs give, in one block a group and in many."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "PIVOTS", 2)
+    monkeypatch.setattr(simhash, "CHUNK", 50)
+    monkeypatch.setattr(shared, "LEAST_JOINED", 3 if block < 10_000 else 1000)
+    rng = random.Random(5)
+    texts = [*family(rng, 60, [0, 1, 1, 2, 3, 4]), *family(rng, 20, [1, 2]), *family(rng, 30, [2, 3]), *[t for f in range(20) for t in family(rng, 3, [0, 1, 2])], "", None, "one"]
+    want = brute.near_groups(texts, 5, 6, 8, 0.8)
+    assert len(set(want)) > 30
+    found = simhash.near_groups(make(list(enumerate(texts))), 8, 5, 6, simhash.bits_at(0.8, 384), 0.8).collect()
+    assert [r["_root"] for r in sorted(found, key=lambda r: r["_id"])] == want
+
+
+def test_repeated_lines_do_not_decide(make):
+    """A line that fills most of two texts makes them no copies; a text that repeats its last line stays a copy."""
+    rng = random.Random(2)
+    word = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    line, text = word(12), word(300)
+    rows = [(1, word(200) + f" {line}" * 20), (2, word(200) + f" {line}" * 20), (3, text), (4, text + (" " + " ".join(text.split()[-12:])) * 15)]
+    assert sorted(r["doc_id"] for r in simhash.keep_one(make(rows)).collect()) == [1, 2, 3]
+
+
+def test_hot_keys_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(shared, "LEAST_JOINED", 100)
+    rows = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 7, id) AS k")
+    lookup = rows.groupBy(F.col("k").alias("l")).agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    found = shared.spread(rows, lookup, [("k", "l")], "n", 1000)
+    assert sorted((r["id"], r["top"]) for r in found.collect()) == [(i, 999 if i % 3 == 0 or i == 7 else i) for i in range(1000)]
+
+
 def test_empty_table(make):
     assert simhash.near_groups(make([])).count() == 0
     assert simhash.keep_one(make([])).count() == 0
