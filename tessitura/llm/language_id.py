@@ -15,9 +15,10 @@ from tessitura.llm import shared
 PER_LANGUAGE = 400
 #: Numbers of a text vector, centroids per language.
 DIMENSIONS, CENTROIDS = 4096, 4
-#: A text is rejected if it is less like its nearest centroid than this part of what all but 1 in 100 fitted texts are.
-#: Shorter texts can't be told from far ones, so none with fewer trigrams is.
-REJECT, LEAST_TRIGRAMS = 0.5, 50
+#: A text is rejected if it is less like its nearest centroid than this part of what all but 1 in 100 fitted texts of its length are.
+REJECT = 0.5
+#: Lengths for which that is fitted: 1, 2, 4 .. trigrams; and texts of a language that are cut to each.
+LENGTHS, CUT = 15, 100
 UNDETERMINED = "und"
 
 _LETTERS = bytes(c if c >= 0x80 or chr(c).isalpha() else 32 for c in range(256))
@@ -40,12 +41,18 @@ class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    least: np.ndarray  # similarity under which a text is rejected, by centroid
+    least: np.ndarray  # similarity under which a text is rejected, by length (1, 2, 4 .. trigrams) and centroid
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         x = np.log1p(counts) * self.idf
         return x / np.maximum(np.sqrt((x**2).sum(1)), 1e-12)[:, None]
 
+    def floor(self, trigrams: int) -> np.ndarray:
+        """Per centroid; between two fitted lengths in proportion to the logarithm of the length."""
+        at = min(float(np.log2(max(trigrams, 1))), LENGTHS - 1.0)
+        low = min(int(at), LENGTHS - 2)
+        return self.least[low] + (at - low) * (self.least[low + 1] - self.least[low])
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, similarity (0 to 1) and whether the text is rejected, of each text."""
         language, score, rejected = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
@@ -56,7 +63,7 @@ class Model:
             like = self.vectors(np.array([c for _, c in found], np.float64)) @ self.centroids.T
             best = like.argmax(1)
             for (i, x), j, value in zip(found, best.tolist(), like[np.arange(len(found)), best].tolist(), strict=True):
-                language[i], score[i], rejected[i] = self.languages[j], min(1.0, max(0.0, value)), value < self.least[j] and int(x.sum()) >= LEAST_TRIGRAMS
+                language[i], score[i], rejected[i] = self.languages[j], min(1.0, max(0.0, value)), value < self.floor(int(x.sum()))[j]
         return language, score, rejected
 
 
@@ -76,6 +83,15 @@ def _cluster(x: np.ndarray, n: int) -> np.ndarray:
     return centres
 
 
+def _shortened(counts: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """Counts of ``n`` trigrams of each text, drawn without replacement; a text with fewer stays whole."""
+    out = np.zeros_like(counts)
+    for i, row in enumerate(counts):
+        every = np.repeat(np.arange(len(row)), row.astype(np.int64))
+        out[i] = np.bincount(every if len(every) <= n else rng.choice(every, n, replace=False), minlength=len(row))
+    return out
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """Fit on at most ``per_language`` labelled texts of each language, picked by a hash of id and text.
 
@@ -86,7 +102,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     share = {r[0]: min(1.0, 1.3 * per_language / r[1]) for r in known.groupBy(lang_col).count().collect()}
     if not share:
-        return Model([], np.zeros((0, DIMENSIONS)), np.ones(DIMENSIONS), np.zeros(0))
+        return Model([], np.zeros((0, DIMENSIONS)), np.ones(DIMENSIONS), np.zeros((LENGTHS, 0)))
     limit = F.element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col(lang_col))
     picked = known.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(shared.numbered(id_col), F.col(text_col)).alias("h"), F.col(text_col).cast("string").alias("text"), limit.alias("share"))
     picked = picked.where(F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.col("share")).select("lang", "h", "text")
@@ -113,17 +129,19 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     by = {k: v for k, v in by.items() if v}
     counts = {k: np.array(v, np.float64) for k, v in by.items()}
     every = np.concatenate(list(counts.values())) if counts else np.zeros((0, DIMENSIONS))
-    model = Model([], np.zeros((0, DIMENSIONS)), np.log((1 + len(every)) / (1 + (every > 0).sum(0))) + 1, np.zeros(0))
+    model = Model([], np.zeros((0, DIMENSIONS)), np.log((1 + len(every)) / (1 + (every > 0).sum(0))) + 1, np.zeros((LENGTHS, 0)))
     centroids, least = [], []
     for language in sorted(counts):
         x = model.vectors(counts[language])
         centres = _cluster(x, CENTROIDS)
-        floor = REJECT * float(np.quantile((x @ centres.T).max(1), 0.01))
+        rng, some = np.random.default_rng(0), counts[language][:CUT]
+        floors = [float(np.quantile((model.vectors(_shortened(some, 2**j, rng)) @ centres.T).max(1), 0.01)) for j in range(LENGTHS - 1)]
+        floors = np.maximum.accumulate([*floors, max(floors[-1], float(np.quantile((x @ centres.T).max(1), 0.01)))])
         centroids.append(centres)
         model.languages += [language] * len(centres)
-        least += [floor] * len(centres)
+        least += [REJECT * floors] * len(centres)
     if centroids:
-        model.centroids, model.least = np.concatenate(centroids), np.array(least)
+        model.centroids, model.least = np.concatenate(centroids), np.array(least).T
     return model
 
 
@@ -137,8 +155,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
 
     The vector of a text is the normalised TF-IDF of the byte trigrams of its letters in lower case; the whole text
     counts. Null texts and texts without letters are ``und``, score 0, rejected; so are all if the model is empty. A
-    text whose nearest centroid is too far is rejected but keeps the prediction; one of fewer than ``LEAST_TRIGRAMS``
-    trigrams never is.
+    text whose nearest centroid is too far for its length is rejected but keeps the prediction. How far that is was fitted
+    on texts of the sample cut to 1, 2, 4 .. trigrams, so the same rule holds for texts of every length.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

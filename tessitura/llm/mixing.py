@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,65 +49,61 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int
     )
 
 
-def solve_rates(cells: DataFrame, goals: DataFrame, most: int = MOST, rounds: int = 60, tolerance: float = 1e-9) -> DataFrame:
-    """``_source, _lambda``: the multipliers of the entropy balancing problem, one per source.
+def solve(sizes: np.ndarray, counts: np.ndarray, target: float, most: int = MOST, tolerance: float = 1e-9) -> float:
+    """The multiplier of one source's entropy balancing problem, from the histogram of its sizes.
 
     Of all rates r(d) in 0 .. most with sum r(d) size(d) = target, those of least relative entropy to one copy each are
-    min(most, exp(lambda x(d))) with x = size / mean size. The convex dual is one number per source. Each round is one
-    aggregation over the histogram of sizes, which holds all that the dual needs to know of the documents; the Newton
-    step is kept inside the bracket found so far. State is a row per source, written to the shared folder each round.
+    min(most, exp(lambda x(d))) with x = size / mean size. Constraints of different sources share no document, so the
+    convex dual falls apart into one number per source, and sources are solved where their histograms are. Newton steps
+    are kept inside the bracket found so far; a step outside halves it, so the search ends at any target.
     """
-    stats = cells.groupBy("_source").agg(F.sum("_n").alias("_docs"), F.sum(F.col("_n") * F.col("_size")).alias("_sum"))
-    state = goals.join(stats, goals["_source"].eqNullSafe(stats["_source"])).select(
-        goals["_source"], "_target", (F.col("_sum") / F.greatest("_docs", F.lit(1))).alias("_mean"),
-        F.log(F.greatest(F.col("_target"), F.lit(1e-300)) / F.greatest("_sum", F.lit(1))).alias("_lambda"), F.lit(-1e6).alias("_low"), F.lit(1e6).alias("_high"), F.lit(False).alias("_done"),
-    ).where("_mean > 0")
-    state = shared.cut(state, "mix")
-    cells = cells.where("_size > 0")
-    for _ in range(rounds):
-        s = state.select(F.col("_source").alias("_s"), "_target", "_mean", "_lambda", "_low", "_high", "_done")
-        x = F.col("_size") / F.col("_mean")
-        exponent = F.col("_lambda") * x
-        capped = exponent >= F.lit(math.log(most))
-        rate = F.when(capped, F.lit(float(most))).otherwise(F.exp(F.least(exponent, F.lit(20.0))))
-        sums = cells.join(s, F.col("_source").eqNullSafe(F.col("_s"))).groupBy("_s").agg(
-            F.sum(F.col("_n") * F.col("_size") * rate).alias("_now"), F.sum(F.when(capped, 0.0).otherwise(F.col("_n") * F.col("_size") * x * rate)).alias("_slope"),
-        )
-        gap = F.col("_now") - F.col("_target")
-        low, high = F.when(gap < 0, F.col("_lambda")).otherwise(F.col("_low")), F.when(gap >= 0, F.col("_lambda")).otherwise(F.col("_high"))
-        newton = F.col("_lambda") - gap / F.greatest(F.col("_slope"), F.lit(1e-300))
-        # outside the bracket: halve it, or double away from zero while one end is open
-        middle = F.when(low <= -1e6, F.least(2 * high, F.lit(-1.0))).when(high >= 1e6, F.greatest(2 * low, F.lit(1.0))).otherwise((low + high) / 2)
-        fresh = state.join(sums, state["_source"].eqNullSafe(sums["_s"])).select(
-            state["_source"], "_target", "_mean", F.when((F.abs(gap) <= tolerance * F.col("_target")) | F.col("_done"), F.col("_lambda")).when((newton > low) & (newton < high), newton).otherwise(middle).alias("_lambda"),
-            low.alias("_low"), high.alias("_high"), ((F.abs(gap) <= tolerance * F.col("_target")) | (high - low < 1e-14) | F.col("_done")).alias("_done"),
-        )
-        fresh = shared.cut(fresh, "mix")
-        shared.discard(state)
-        state = fresh
-        if not state.where("not _done").limit(1).count():
-            break
-    return state.select("_source", "_mean", "_lambda")
+    mean = float((sizes * counts).sum() / max(counts.sum(), 1))
+    if mean <= 0 or target <= 0:
+        return 0.0 if target > 0 or mean <= 0 else -math.inf
+    x, mass = sizes / mean, (sizes * counts).astype(float)
+    if target >= most * mass.sum() * (1 - 1e-12):
+        return math.inf
+    low, high, at = -1.0, 1.0, 0.0
+    now = lambda v: np.minimum(most, np.exp(np.minimum(v * x, 20.0)))
+    while (mass * now(low)).sum() > target:
+        low *= 2
+    while (mass * now(high)).sum() < target:
+        high *= 2
+    for _ in range(400):
+        rate = now(at)
+        gap = float((mass * rate).sum() - target)
+        if abs(gap) <= tolerance * target or high - low <= 1e-15 * max(1.0, abs(at)):
+            return at
+        low, high = (low, at) if gap > 0 else (at, high)
+        slope = float((mass * x * rate)[rate < most].sum())
+        step = at - gap / slope if slope > 0 else low
+        at = step if low < step < high else (low + high) / 2
+    raise ArithmeticError(f"no rates for a target of {target} words")
 
 
 def _round(most: int):
-    """applyInPandas over the cells of one source: whole copies per cell, the rest of each carried to the next smaller size."""
+    """applyInPandas over the cells of one source: rates, and from them whole copies per cell; the rest of each goes to the next smaller size."""
 
     def run(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
         cells = cells.sort_values(["_size", "_group"], ascending=[False, True])
+        sizes, counts = cells["_size"].to_numpy(float), cells["_n"].to_numpy(float)
+        multiplier = solve(sizes, counts, float(cells["_target"].iloc[0]), most)
+        mean = max(float((sizes * counts).sum() / max(counts.sum(), 1)), 1e-300)
+        with np.errstate(invalid="ignore"):
+            rates = np.where(sizes > 0, np.minimum(most, np.exp(np.minimum(multiplier * sizes / mean, 20.0))), 1.0)
         carry, out = 0.0, []
-        for n, size, rate in zip(cells["_n"], cells["_size"], cells["_rate"], strict=True):
+        for n, size, rate in zip(cells["_n"].tolist(), cells["_size"].tolist(), rates.tolist(), strict=True):
             want = n * rate * size + carry
             copies = min(most * n, max(0, int(want / size + 0.5))) if size else n
             carry = want - copies * size
             out.append(copies)
-        for i, (n, size) in enumerate(zip(cells["_n"], cells["_size"], strict=True)):
+        for i, (n, size) in enumerate(zip(cells["_n"].tolist(), cells["_size"].tolist(), strict=True)):
             # what the small ones couldn't take in, where a document more or less brings the sum nearer
             if size and 2 * abs(carry) > size:
                 more = min(int(abs(carry) / size + 0.5), most * n - out[i]) if carry > 0 else -min(int(-carry / size + 0.5), out[i])
                 out[i] += more
                 carry -= more * size
-        return cells.assign(_copies=out)[["_source", "_size", "_group", "_copies"]]
+        return cells.assign(_copies=out)[["_source", "_size", "_group", "_n", "_copies"]]
 
     return run
 
@@ -114,41 +111,42 @@ def _round(most: int):
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``_id, _hash, _source, _size, _source_size, _target, _copies`` of every row of ``docs``.
 
-    Rates come from :func:`solve_rates` and are rounded into copies: documents of a source and size have one rate and
-    form a cell (a large one is several, by a hash of the id); a cell takes a whole number of copies and what is left
-    over goes to the next smaller size and, if the small ones can't take it in, to any other that brings the sum nearer,
-    so no copy more or less brings a source nearer to its target. Within a cell all
-    documents get the same copies but for the first ones by ``_hash``, that of id and text (:func:`identity`), so reruns
-    agree. A document without words counts nothing and keeps one copy; if a target can't be met (it is 0 words of 0),
-    nothing is taken. Repeated rows are documents of their own, told apart by nothing, so any of them may get the copy.
-    A null source is one of its own; an empty table gives an empty mix.
+    Rates come from :func:`solve` and are rounded into copies: documents of a source and size have one rate and form a
+    cell (a large one is several, by a hash of id and text). A cell takes a whole number of copies, and what is left over
+    goes to the next smaller size and, if the small ones can't take it in, to any other that brings the sum nearer, so no
+    copy more or less brings a source nearer to its target. Within a cell all documents get the same copies but for the
+    first ones by ``_hash``, that of id and text (:func:`identity`), so reruns agree. Repeated rows are counted before
+    anything is ranked and are documents of their own, told apart by nothing, so any of them may get the copy. A document
+    without words counts nothing and keeps one copy; of a source without a target nothing with words is taken. A null
+    source is one of its own; an empty table gives an empty mix. One task holds the cells of a source: its distinct
+    sizes, no more than its longest document has words, and 10 x tasks at most for large ones. The targets take one row a
+    source through one task.
     """
     ident = identity(id_col, text_col)
     sized = docs.select(F.col(source_col).alias("_source"), word_count(text_col).alias("_size"), shared.numbered(id_col).alias("_id"), ident.alias("_hash"))
-    sized = shared.cut(sized, "sizes")
-    counts = sized.groupBy("_source", "_size").agg(F.count("*").alias("_n"))
+    sized = shared.cut(sized.groupBy("_source", "_size", "_id", "_hash").agg(F.count("*").alias("_m")), "sizes")
+    counts = shared.cut(sized.groupBy("_source", "_size").agg(F.sum("_m").alias("_n")), "counts")
     goals = shared.cut(targets(counts.select("_source", (F.col("_n") * F.col("_size")).alias("_size")), weights, most), "targets")
-    rates = solve_rates(counts, goals, most)
     # cells with a tenth of a task's rows are ranked in several groups; there are at most 10 x tasks of them
     tasks = shared.shuffle_partitions(docs.sparkSession)
     limit = max(shared.LEAST_RANKED, (counts.agg(F.sum("_n")).first()[0] or 0) // (10 * tasks))
     big = counts.where(F.col("_n") > limit).select(F.col("_source").alias("_bs"), F.col("_size").alias("_bz"), F.ceil(F.col("_n") / limit).alias("_groups"))
     with_groups = sized.join(F.broadcast(big), F.col("_source").eqNullSafe(F.col("_bs")) & (F.col("_size") == F.col("_bz")), "left")
     grouped = with_groups.withColumn("_group", F.pmod("_hash", F.coalesce("_groups", F.lit(1))).cast("int")).drop("_bs", "_bz", "_groups")
-    cells = grouped.groupBy("_source", "_size", "_group").agg(F.count("*").alias("_n"))
-    r = rates.select(F.col("_source").alias("_s"), "_mean", "_lambda")
-    rate = F.least(F.lit(float(most)), F.exp(F.least(F.col("_lambda") * F.col("_size") / F.col("_mean"), F.lit(20.0))))
-    rated = cells.join(r, F.col("_source").eqNullSafe(F.col("_s")), "left").select("_source", "_size", "_group", "_n", F.coalesce(rate, F.lit(1.0)).alias("_rate"))
+    cells = grouped.groupBy("_source", "_size", "_group").agg(F.sum("_m").alias("_n"))
+    aims = goals.select(F.col("_source").alias("_s"), "_source_size", "_target")
     kind = docs.schema[source_col].dataType.simpleString()
-    rounded = rated.groupBy("_source").applyInPandas(_round(most), f"_source {kind}, _size long, _group int, _copies long")
-    plan = rounded.join(goals.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s"))).select(
-        F.col("_source").alias("_ps"), F.col("_size").alias("_pz"), F.col("_group").alias("_pg"), "_copies", "_source_size", "_target"
+    rounded = cells.join(aims.drop("_source_size"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s").groupBy("_source").applyInPandas(_round(most), f"_source {kind}, _size long, _group int, _n long, _copies long")
+    plan = rounded.join(aims, F.col("_source").eqNullSafe(F.col("_s"))).select(
+        F.col("_source").alias("_ps"), F.col("_size").alias("_pz"), F.col("_group").alias("_pg"), "_n", "_copies", "_source_size", "_target"
     )
-    order = Window.partitionBy("_source", "_size", "_group").orderBy("_hash", "_id")
-    ranked = grouped.withColumn("_rank", F.row_number().over(order) - 1).withColumn("_cell", F.count("*").over(Window.partitionBy("_source", "_size", "_group")))
+    before = F.sum("_m").over(Window.partitionBy("_source", "_size", "_group").orderBy("_hash", "_id").rowsBetween(Window.unboundedPreceding, -1))
+    ranked = grouped.withColumn("_before", F.coalesce(before, F.lit(0)))
     placed = ranked.join(plan, F.col("_source").eqNullSafe(F.col("_ps")) & (F.col("_size") == F.col("_pz")) & (F.col("_group") == F.col("_pg")))
-    even = F.floor(F.col("_copies") / F.col("_cell"))
-    return placed.select("_id", "_hash", "_source", "_size", "_source_size", "_target", (even + F.when(F.col("_rank") < F.col("_copies") - even * F.col("_cell"), 1).otherwise(0)).cast("long").alias("_copies"))
+    even = F.floor(F.col("_copies") / F.col("_n"))
+    placed = placed.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1)))
+    more = F.when(F.col("_before") + F.col("_i") < F.col("_copies") - even * F.col("_n"), 1).otherwise(0)
+    return placed.select("_id", "_hash", "_source", "_size", "_source_size", "_target", (even + more).cast("long").alias("_copies"))
 
 
 def op3_mixing(spark, sf_dir):

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,10 +57,16 @@ def pack_histogram(counts: dict[int, int], size: int) -> list[tuple[tuple[int, .
 
 
 def _pieces(path: str, end_id: int, size: int):
-    """mapInArrow: (id, text) to pieces: _id, _start, _length, _crc, _total, _salt."""
+    """mapInArrow: (id, text) to pieces: _id, _start, _length, _crc, _total, and _deal, a number that spreads them, equal rows too."""
 
     def run(batches):
-        coder = encoding.load(path)
+        coder, made = encoding.load(path), 0
+
+        def deal(n: int) -> np.ndarray:
+            nonlocal made
+            made += n
+            return (shared.mix(np.arange(made - n, made, dtype=np.uint64) + np.uint64(TaskContext.get().partitionId() << 40)) >> np.uint64(1)).astype(np.int64)
+
         for batch in batches:
             every = batch.column(0)
             for start, stop in shared.steps(batch.column(1)):
@@ -73,8 +80,8 @@ def _pieces(path: str, end_id: int, size: int):
                 begin = at[doc] + first
                 crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(begin.tolist(), (begin + length).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [every.slice(start, stop - start).take(pa.array(doc)), pa.array(first), pa.array(length), pa.array(crc, pa.int64()), pa.array(total[doc])],
-                    ["_id", "_start", "_length", "_crc", "_total"],
+                    [every.slice(start, stop - start).take(pa.array(doc)), pa.array(first), pa.array(length), pa.array(crc, pa.int64()), pa.array(total[doc]), pa.array(deal(len(doc)))],
+                    ["_id", "_start", "_length", "_crc", "_total", "_deal"],
                 )
 
     return run
@@ -86,12 +93,13 @@ def pack(docs: DataFrame, size: int = 1024, end_id: int = 0, tokenizer: str | No
     A document is its ids and ``end_id``; one longer than ``size`` is cut into whole sequences and a rest, and the
     rests are packed by the histogram of their lengths (``size`` numbers at most, the only thing the driver sees).
     Patterns come back to pieces by rank: the pieces of a length are numbered, in several groups if there are many, so that a
-    common length is no single task's, and a pattern takes the next numbers. Null and empty texts are one end id; a
+    common length is no single task's, and a pattern takes the next numbers. Groups go by a number that each piece got
+    when it was written, so equal rows spread, too. Null and empty texts are one end id; a
     null id stays null; repeated rows are packed as often as they stand here.
     """
     path = tokenizer or encoding.tokenizer_path()
     schema = "_id long, _start long, _length long, _crc long, _total long"
-    pieces = shared.cut(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(shared.lean(_pieces(path, end_id, size)), schema), "pieces")
+    pieces = shared.cut(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(shared.lean(_pieces(path, end_id, size)), schema + ", _deal long"), "pieces")
     counts = {r["_length"]: r["n"] for r in pieces.groupBy("_length").agg(F.count("*").alias("n")).collect()}
     # (length, from rank, to rank, sequence of the first, offset): one row for each slot of each pattern
     used, sequence, slots = dict.fromkeys(counts, 0), 0, []
@@ -106,7 +114,7 @@ def pack(docs: DataFrame, size: int = 1024, end_id: int = 0, tokenizer: str | No
     # lengths with more than a tenth of a task's rows are ranked in several groups; there are at most 10 x tasks of them
     limit = max(shared.LEAST_RANKED, sum(counts.values()) // (10 * shared.shuffle_partitions(docs.sparkSession)))
     groups = [-(-counts.get(length, 0) // limit) or 1 for length in range(1, size + 1)]
-    salt = F.pmod(F.xxhash64("_id", "_start", "_crc"), F.element_at(F.array(*map(F.lit, groups)), F.col("_length").cast("int"))).cast("int")
+    salt = F.pmod("_deal", F.element_at(F.array(*map(F.lit, groups)), F.col("_length").cast("int"))).cast("int")
     salted = pieces.withColumn("_salt", salt)
     before: dict[tuple[int, int], int] = {}
     if max(groups) > 1:
@@ -117,8 +125,10 @@ def pack(docs: DataFrame, size: int = 1024, end_id: int = 0, tokenizer: str | No
     key = np.array([(x[0], x[1]) for x in slots], np.int64).reshape(-1, 2)
     low = key[:, 0] << 44 | key[:, 1]
     to_sequence, to_offset, from_rank = (np.array([x[i] for x in slots], np.int64) for i in (3, 4, 1))
+    sent = docs.sparkSession.sparkContext.broadcast((before, low, to_sequence, to_offset, from_rank))  # a row a slot and group: at most some 10 x tasks and size x size / 2
 
     def place(batches):
+        before, low, to_sequence, to_offset, from_rank = sent.value
         for batch in batches:
             length, rank, salt = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("_length", "_rank", "_salt"))
             if before:

@@ -19,8 +19,7 @@ def sketch_values(texts: list[bytes], width: int = WIDTH, scale: int = SCALE) ->
     """(document, hash), sorted and distinct: the shingle hashes below 2**64 / scale.
 
     Words are runs without ASCII white space, A-Z in lower case; a text with fewer than ``width`` words is one
-    shingle. If no hash of a text is below the limit, its least one stands for it, so only a text without words has
-    an empty sketch.
+    shingle. A text of few shingles may have none below the limit; its sketch is empty.
     """
     words = shared.Words([x.lower() for x in texts])
     sizes = np.diff(words.at)
@@ -31,12 +30,8 @@ def sketch_values(texts: list[bytes], width: int = WIDTH, scale: int = SCALE) ->
     at = shared.flat_spans(words.at[:-1], count)
     value = shared.span_hash(shared.rolling(words.hashes()[words.codes]), at, np.minimum(sizes, width)[doc])
     kept = value <= np.uint64(2**64 // scale - 1)
-    heads = (np.cumsum(count) - count)[count > 0]
-    bare = np.add.reduceat(kept, heads) == 0
-    if bare.any():
-        least = np.minimum.reduceat(value, heads)
-        which = np.flatnonzero(count > 0)
-        kept |= np.isin(doc, which[bare]) & (value == np.repeat(least, count[count > 0]))
+    if not kept.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     doc, value = doc[kept], value[kept]
     order = np.lexsort((value, doc))
     doc, value = doc[order], value[order]
@@ -56,7 +51,7 @@ def parse(fingerprint: str) -> np.ndarray:
 
 
 def merge(a: str, b: str) -> str:
-    """The sketch of two documents together."""
+    """The sketch of two documents together: that of all their shingles."""
     return np.union1d(parse(a), parse(b)).astype(">u8").tobytes().hex()
 
 
@@ -74,6 +69,16 @@ def likeness(a, b, n: int) -> np.ndarray:
     return np.where(least > 0, both / np.maximum(least, 1), (x == y).astype(float))
 
 
+def settled(a, b, texts_a: list[bytes], texts_b: list[bytes], width: int) -> np.ndarray:
+    """:func:`likeness` of the sketches of texts; where one of a pair is empty, that of all shingles of both."""
+    n = len(texts_a)
+    out = likeness(a, b, n)
+    empty = np.flatnonzero((np.bincount(a[0], minlength=n) == 0) | (np.bincount(b[0], minlength=n) == 0))
+    if len(empty):
+        out[empty] = likeness(*(sketch_values([t[i] for i in empty.tolist()], width, 1) for t in (texts_a, texts_b)), len(empty))
+    return out
+
+
 def edited(text: str, following: str) -> str:
     """The last half of a text's code points replaced by the first as many (or all) of the next."""
     half = len(text) // 2
@@ -86,14 +91,14 @@ def _compare(width: int, scale: int):
         ids, texts = [x[0] for x in held[:-1]], [x[1] for x in held]
         changed = [edited(a, b) for a, b in zip(texts, texts[1:], strict=False)]
         n = len(ids)
-        raw = [x.encode() for x in changed]
-        own, other = sketch_values([x.encode() for x in texts], width, scale), sketch_values(raw, width, scale)
+        raw, plain = [x.encode() for x in changed], [x.encode() for x in texts]
+        own, other = sketch_values(plain, width, scale), sketch_values(raw, width, scale)
         mine = own[0] < n
         here, after = (own[0][mine], own[1][mine]), (own[0][own[0] > 0] - 1, own[1][own[0] > 0])
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([None if x == shared.NULL_ID else x for x in ids], pa.int64()), pa.array([len(x) for x in texts[:-1]], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in raw]),
-                pa.array(spelled(*here, n)), pa.array(spelled(*other, n)), pa.array(likeness(here, other, n)), pa.array(likeness(here, after, n)),
+                pa.array(spelled(*here, n)), pa.array(spelled(*other, n)), pa.array(settled(here, other, plain[:-1], raw, width)), pa.array(settled(here, after, plain[:-1], plain[1:], width)),
             ],
             ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
         )
@@ -120,6 +125,7 @@ def _compare(width: int, scale: int):
 def compare_with_next(docs: DataFrame, width: int = WIDTH, scale: int = SCALE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's fingerprint beside that of its edited text and the likeness to it and to the next document.
 
+    Where one of two sketches is empty, a short text's, the likeness is that of all their shingles, which the task has.
     Null texts are empty. Ties of ids are ordered by text, a null id comes first. Texts travel once, to ranges of ids.
     """
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

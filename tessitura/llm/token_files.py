@@ -84,8 +84,6 @@ def decode_blocks(data: bytes, index: dict | None = None):
 def _store(folder: str, name: str, data: bytes) -> None:
     """Write whole or not at all: under another name first, so that a second attempt of a task does no harm."""
     part = f".{name}.{uuid.uuid4().hex}"
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file:{folder}"
     if folder.startswith("file:"):
         local = "/" + folder.removeprefix("file:").lstrip("/")
         with open(f"{local}/{part}", "wb") as f:
@@ -100,9 +98,12 @@ def _store(folder: str, name: str, data: bytes) -> None:
     store.move(f"{path}/{part}", f"{path}/{name}")
 
 
-def _make_folder(spark: SparkSession, folder: str) -> None:
+def _make_folder(spark: SparkSession, folder: str) -> str:
+    """The folder's URI, with the cluster's default store where ``folder`` names none: what Spark's readers take it for."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    store = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(p)
+    return store.makeQualified(p).toString()
 
 
 def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str | None = None, kind: str = "byte", id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int, int]]:
@@ -114,7 +115,7 @@ def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str |
     """
     spark = docs.sparkSession
     path = tokenizer or encoding.tokenizer_path()
-    _make_folder(spark, folder)
+    folder = _make_folder(spark, folder)
 
     def run(batches):
         coder, part, made = encoding.load(path), TaskContext.get().partitionId(), 0

@@ -13,31 +13,20 @@ from tessitura.llm import shared
 PIVOTS = 1024
 SAMPLE_PER_PIVOT = 16
 #: Queries of a group and vectors of a block in a local problem, about.
-GROUP, BLOCK = 256, 65_536
-
-
-def _whole(column: pa.Array, scale: float) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Rows that take part, and their components times ``scale``, rounded down."""
-    kept, out = [], []
-    for i, x in enumerate(column.to_pylist()):
-        if x is None or any(y is None for y in x):
-            continue
-        v = np.floor(np.array(x, np.float64) * scale)
-        if np.isfinite(v).all():
-            kept.append(i)
-            out.append(v.astype(np.int64))
-    return np.array(kept, np.int64), out
+GROUP, BLOCK = 64, 65_536
 
 
 def quantised(vectors: DataFrame, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``_id, _v``: ``floor(scale * x)`` of each component; vectors that are null or hold null or non-finite values go."""
+    """``_id, _v``: ``floor(scale * x)`` of each component, on the JVM.
 
-    def run(batches):
-        for batch in batches:
-            kept, rows = _whole(batch.column(1), scale)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept)), pa.array([x.tolist() for x in rows], pa.list_(pa.int64()))], ["_id", "_v"])
-
-    return vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).cast("array<double>").alias("_v")).where("_id is not null").mapInArrow(shared.lean(run), "_id long, _v array<long>")
+    Rows without an id, and vectors that are null or hold null or non-finite values, take no part. A finite component
+    whose number doesn't fit in 64 bits is an error, as its scores couldn't be told.
+    """
+    x = F.col(vector_col).cast("array<double>")
+    far = lambda y: y.isNull() | F.isnan(y) | (F.abs(y) == float("inf"))
+    whole = lambda y: F.when(F.abs(y * scale) < 2.0**63, F.floor(y * scale)).when(~far(y), F.raise_error(F.lit("a component doesn't fit in 64 bits")).cast("long"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("_id"), x.alias("_x")).where(F.col("_id").isNotNull() & F.col("_x").isNotNull() & ~F.exists("_x", far))
+    return rows.select("_id", F.transform("_x", whole).alias("_v"))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -95,15 +84,20 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(-scores, kind="stable")
 
 
-def top_k(vectors: DataFrame, queries, k: int = 5) -> DataFrame:
+def top_k(vectors: DataFrame, queries, k: int = 5, measured: dict | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``vectors`` (``_id``, ``_v``) that meets the condition
     ``queries``, the k rows with the highest inner product, its own id aside; ties go to the smaller id.
 
-    Vectors and queries are grouped by the nearest of at most ``PIVOTS`` pivots. For a group of queries with pivot p and
-    radius R no score with x exceeds p.x + R|x|, and none of its queries needs less than the k-th score it has in the
-    pivots' sample; a vector goes to a group only if the first reaches the least of the second. A large group of queries
-    is dealt in parts and the vectors in blocks, so a local problem is bounded however many rows a cell has. Of equal
-    vectors a task sends the k + 1 with the least ids, the only ones that can appear. Fewer than k other vectors: all.
+    Vectors and queries are grouped by the nearest of at most ``PIVOTS`` pivots. First each query is solved against a
+    block of its own cell, which tells a score that its k-th best doesn't fall below; the pivots' sample tells another.
+    Then, for a group of queries with pivot p and radius R, no score with x exceeds p.x + R|x|, and none with a cell
+    exceeds what the cell's pivot, radius and longest vector allow. A cell goes to a group only if that reaches the least
+    score which the group's queries are sure of, and so does a vector of it. A large group of queries is dealt in parts
+    and the vectors in blocks, so a local problem is bounded however many rows a cell has. Of equal vectors a task sends
+    the k + 1 with the least ids, the only ones that can appear. Fewer than k other vectors: all. Rows with one id are
+    each a candidate and none of their own id's. A score beyond 64 bits is an error.
+
+    ``measured`` gets ``replication``: vectors sent to local problems for each vector there is.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score long"
@@ -112,34 +106,80 @@ def top_k(vectors: DataFrame, queries, k: int = 5) -> DataFrame:
     n, width = size["n"], size["d"] or 0
     if not size["q"] or n < 2:
         return spark.createDataFrame([], schema)
-    wanted = int(min(PIVOTS, max(1, -(-size["q"] // GROUP))))
+    wanted = int(min(PIVOTS, max(1, -(-size["q"] // GROUP), -(-n // BLOCK))))
     picked = vectors.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_PER_PIVOT * max(wanted, 16)).select("_id", "_v").collect()
     sample_ids = np.array([r["_id"] for r in picked], np.int64)
     sample = np.array([list(r["_v"]) + [0] * (width - len(r["_v"])) for r in picked], np.int64).reshape(len(picked), width)
     order = np.argsort(sample_ids, kind="stable")
     sample_ids, sample = sample_ids[order], sample[order]
     pivots = _place(sample, wanted)
+    nothing = np.iinfo(np.int64).min
 
     def summarise(batches):
         for batch in batches:
-            x = _matrix(batch.column(1), width)
-            cell, radius = _nearest(x, pivots)
-            scores = _products(x, sample)
-            scores[batch.column(0).to_numpy()[:, None] == sample_ids] = np.iinfo(np.int64).min
-            floor = np.partition(scores, len(sample) - k, axis=1)[:, len(sample) - k] if len(sample) > k else np.full(len(x), np.iinfo(np.int64).min)
-            out = [(j, int((cell == j).sum()), float(radius[cell == j].max()), int(floor[cell == j].min())) for j in np.unique(cell).tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.int64())], ["cell", "n", "radius", "floor"])
-
-    groups = vectors.where("_query").select("_id", "_v").mapInArrow(shared.lean(summarise), "cell long, n long, radius double, floor long")
-    known = sorted(groups.groupBy("cell").agg(F.sum("n").alias("n"), F.max("radius").alias("radius"), F.min("floor").alias("floor")).collect())
-    parts = [-(-r["n"] // GROUP) for r in known]
+            x, query = _matrix(batch.column(1), width), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            cell, far = _nearest(x, pivots)
+            norm = np.sqrt((x.astype(np.float64) ** 2).sum(1))
+            out = [(j, int((at & query).sum()), float(far[at & query].max(initial=0)), float(far[at].max()), float(norm[at].max())) for j in np.unique(cell).tolist() for at in [cell == j]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))], ["cell", "q", "radius", "far", "norm"])
+
+    cells = vectors.select("_id", "_v", "_query").mapInArrow(shared.lean(summarise), "cell long, q long, radius double, far double, norm double")
+    cells = sorted(cells.groupBy("cell").agg(F.sum("q").alias("q"), F.max("radius").alias("radius"), F.max("far").alias("far"), F.max("norm").alias("norm")).collect())
+    known = [r for r in cells if r["q"]]
+    parts = [-(-r["q"] // GROUP) for r in known]
     first = np.cumsum([0, *parts])
     where = {r["cell"]: g for g, r in enumerate(known)}
-    radius, floor = np.array([r["radius"] for r in known]), np.array([r["floor"] for r in known], np.float64)
-    centre = pivots[[r["cell"] for r in known]]
     blocks = max(1, -(-n // BLOCK))
-    tasks = int(first[-1]) * blocks
     slack = 1e-9 * (1 + float(size["top"] or 0) ** 2 * width)  # of the bounds, which are doubles
+    radius, centre = np.array([r["radius"] for r in known]), pivots[[r["cell"] for r in known]]
+
+    def packed(rows: dict, ids, x):
+        keys = list(rows)
+        data = [ids[np.array(rows[key], np.int64)].tobytes() + x[np.array(rows[key], np.int64)].tobytes() for key in keys]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([t for t, _ in keys], pa.int32()), pa.array([q for _, q in keys], pa.bool_()), pa.array([len(rows[key]) for key in keys], pa.int64()), pa.array(data, pa.binary())],
+            ["_task", "_queries", "_n", "_data"],
+        )
+
+    def first_of_equals(ids, x):
+        """Of equal vectors the k + 1 with the least ids."""
+        sent = np.zeros(len(x), bool)
+        if len(x):
+            order = np.lexsort((ids, *x.T))
+            same = np.r_[False, (x[order][1:] == x[order][:-1]).all(1)]
+            sent[order[np.arange(len(x)) - shared.leaders(same) <= k]] = True
+        return sent
+
+    def part_of(spread, g):
+        return int(first[g] + int(spread >> np.uint64(20)) % parts[g])
+
+    def at_home(batches):
+        """A block of each cell and the cell's queries."""
+        for batch in batches:
+            ids, query = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
+            x = _matrix(batch.column(1), width)
+            spread, cell = shared.mix(ids.view(np.uint64)), _nearest(x, pivots)[0]
+            mine = first_of_equals(ids, x) & (spread % np.uint64(blocks) == 0)
+            rows: dict[tuple[int, bool], list[int]] = {}
+            for i, (j, q) in enumerate(zip(cell.tolist(), query.tolist(), strict=True)):
+                if (g := where.get(j)) is None:
+                    continue
+                if q:
+                    rows.setdefault((part_of(spread[i], g), True), []).append(i)
+                for part in range(first[g], first[g + 1]) if mine[i] else ():
+                    rows.setdefault((int(part), False), []).append(i)
+            yield packed(rows, ids, x)
+
+    def floors(batches):
+        for batch in batches:
+            ids, x = batch.column(0).to_numpy(), _matrix(batch.column(1), width)
+            cell, _ = _nearest(x, pivots)
+            scores = _products(x, sample)
+            scores[ids[:, None] == sample_ids] = nothing
+            sure = np.partition(scores, len(sample) - k, axis=1)[:, len(sample) - k] if len(sample) > k else np.full(len(x), nothing)
+            sure = np.maximum(sure, batch.column(2).to_numpy())
+            out = [(j, int(sure[cell == j].min())) for j in np.unique(cell).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in (0, 1)], ["cell", "floor"])
 
     def deal(batches):
         for batch in batches:
@@ -147,33 +187,21 @@ def top_k(vectors: DataFrame, queries, k: int = 5) -> DataFrame:
             x = _matrix(batch.column(1), width)
             rows: dict[tuple[int, bool], np.ndarray] = {}
             spread = shared.mix(ids.view(np.uint64))
+            cell = _nearest(x, pivots)[0]
             reach = x.astype(np.float64) @ centre.T + np.sqrt((x.astype(np.float64) ** 2).sum(1))[:, None] * radius
-            order = np.lexsort((ids, *x.T))
-            same = np.r_[False, (x[order][1:] == x[order][:-1]).all(1)] if len(x) else np.zeros(0, bool)
-            place = np.arange(len(x)) - shared.leaders(same) if len(x) else np.zeros(0, np.int64)
-            sent = np.zeros(len(x), bool)
-            sent[order[place <= k]] = True
+            sent = first_of_equals(ids, x)
             block = (spread % np.uint64(blocks)).astype(np.int64)
             for g in range(len(known)):
-                needed = np.flatnonzero(sent & (reach[:, g] + slack >= floor[g]))
+                needed = np.flatnonzero(sent & allowed[cell, g] & (reach[:, g] + slack >= floor[g]))
                 for b in np.unique(block[needed]).tolist():
                     chosen = needed[block[needed] == b]
                     for part in range(first[g], first[g + 1]):
                         rows[int(part) * blocks + b, False] = chosen
-            mine = np.flatnonzero(query)
-            if len(mine):
-                cell = _nearest(x[mine], pivots)[0]
-                for i, j in zip(mine.tolist(), cell.tolist(), strict=True):
-                    g = where[j]
-                    part = int(first[g] + int(spread[i] >> np.uint64(20)) % parts[g])
-                    for b in range(blocks):
-                        rows.setdefault((part * blocks + b, True), []).append(i)
-            keys = list(rows)
-            packed = [ids[np.array(rows[key])].tobytes() + x[np.array(rows[key])].tobytes() for key in keys]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([t for t, _ in keys], pa.int32()), pa.array([q for _, q in keys], pa.bool_()), pa.array([len(rows[key]) for key in keys], pa.int64()), pa.array(packed, pa.binary())],
-                ["_task", "_queries", "_n", "_data"],
-            )
+            for i in np.flatnonzero(query).tolist():
+                part = part_of(spread[i], where[int(cell[i])])
+                for b in range(blocks):
+                    rows.setdefault((part * blocks + b, True), []).append(i)
+            yield packed(rows, ids, x)
 
     def solve(batches):
         def open_(items):
@@ -182,7 +210,7 @@ def top_k(vectors: DataFrame, queries, k: int = 5) -> DataFrame:
             order = np.argsort(ids, kind="stable")
             return ids[order], x[order]
 
-        def local(queries_, data):
+        def pair(queries_, data):
             if not queries_ or not data:
                 return
             (qi, q), (xi, x) = open_(queries_), open_(data)
@@ -200,14 +228,28 @@ def top_k(vectors: DataFrame, queries, k: int = 5) -> DataFrame:
         for batch in batches:
             for task, is_query, m, data in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
                 if task != now:
-                    yield from local(held[True], held[False])
+                    yield from pair(held[True], held[False])
                     now, held = task, {True: [], False: []}
                 held[is_query].append((m, data))
-        yield from local(held[True], held[False])
-
-    dealt = vectors.mapInArrow(shared.lean(deal), "_task int, _queries boolean, _n long, _data binary")
-    dealt = dealt.repartitionById(int(min(tasks, 4 * shared.shuffle_partitions(spark))), F.col("_task")).sortWithinPartitions("_task")
-    found = dealt.mapInArrow(shared.lean(solve), "query_id long, vec_id long, score long")
+        yield from pair(held[True], held[False])
+
+    def local(run, tasks):
+        dealt = vectors.mapInArrow(shared.lean(run), "_task int, _queries boolean, _n long, _data binary")
+        if measured is not None:
+            measured["replication"] = measured.get("replication", 0) + (dealt.where("not _queries").agg(F.sum("_n")).first()[0] or 0) / n
+        dealt = dealt.repartitionById(int(min(tasks, 4 * shared.shuffle_partitions(spark))), F.col("_task")).sortWithinPartitions("_task")
+        return dealt.mapInArrow(shared.lean(solve), "query_id long, vec_id long, score long")
+
+    sure = vectors.where("_query").select("_id", "_v", F.lit(nothing).alias("_sure"))
+    if blocks > 1 or len(known) > 1:  # else one local problem is the whole
+        home = local(at_home, int(first[-1])).groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") >= k)
+        sure = vectors.where("_query").join(home, F.col("_id") == F.col("query_id"), "left").select("_id", "_v", F.coalesce("least", F.lit(nothing)).alias("_sure"))
+    least = {r["cell"]: r["floor"] for r in sure.mapInArrow(shared.lean(floors), "cell long, floor long").groupBy("cell").agg(F.min("floor").alias("floor")).collect()}
+    floor = np.array([least[r["cell"]] for r in known], np.float64)
+    allowed = np.zeros((len(pivots), len(known)), bool)  # what a cell can reach at most, see above
+    for r in cells:
+        allowed[r["cell"]] = centre @ pivots[r["cell"]] + np.sqrt((centre**2).sum(1)) * r["far"] + radius * r["norm"] + slack >= floor
+    found = local(deal, int(first[-1]) * blocks)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

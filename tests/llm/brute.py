@@ -136,9 +136,7 @@ def top_k(vectors, queries, k):
 
 
 def sketch(text, width, scale, value_of):
-    found = {value_of(s) for s in shingles(text, width)}
-    kept = {v for v in found if v < 2**64 // scale}
-    return kept or ({min(found)} if found else set())
+    return {v for s in shingles(text, width) if (v := value_of(s)) < 2**64 // scale}
 
 
 def counts(values):

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import math
 import zlib
 
+import numpy as np
 import pytest
 
 from tessitura.llm import language_id, registry
@@ -49,6 +51,40 @@ def test_far_texts_are_rejected_and_known_ones_kept(spark, make, model):
     assert language_id.identify(docs, model).where("_rejected").count() <= 0.02 * docs.count()
 
 
+def test_short_texts_are_held_to_their_length(spark, make, model):
+    """Words of known texts stay at every length; far texts go at every length that can tell."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("n_chars > 200").limit(60).collect()
+    rows = [(i, " ".join(r["text"].split()[5 : 5 + n])) for i, (r, n) in enumerate((r, n) for r in docs for n in (1, 2, 4, 8, 16, 32))]
+    kept = language_id.identify(make(rows), model).where("not _rejected").count()
+    assert kept >= 0.97 * len(rows)
+    far = [(n, ("qzx jwk vvq xxz qqj " * n)[: 4 * n]) for n in (8, 16, 40, 200, 5000)]
+    assert {r["_rejected"] for r in language_id.identify(make(far), model).collect()} == {True}
+    assert (np.diff(model.least, axis=0) >= 0).all() and model.least[0].max() < 0.5
+
+
+def test_predictions_against_a_plain_version(spark, duck, model):
+    """Nearest centroid by cosine of TF-IDF trigram counts, text by text."""
+    _, rows = duck("SELECT doc_id, text FROM documents", "sf0.001")
+    found = {r["doc_id"]: r for r in language_id.identify(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), model).collect()}
+    for i, text in rows:
+        raw = "".join(c if c.isalpha() and c.isascii() or ord(c) > 127 else " " for c in text.lower())
+        b = b" " + raw.encode() + b" "
+        seen = {}
+        for a in range(len(b) - 2):
+            t = b[a : a + 3]
+            if t[1] != 32 or (t[0] != 32 and t[2] != 32):
+                at = (int.from_bytes(t, "big") * 2654435761 % 2**32) >> 20
+                seen[at] = seen.get(at, 0) + 1
+        if not any(c.isalpha() for c in text):
+            assert found[i]["_lang_pred"] == "und"
+            continue
+        v = {k: math.log1p(n) * model.idf[k] for k, n in seen.items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        like = [sum(x * c[k] for k, x in v.items()) / size for c in model.centroids]
+        best = max(range(len(like)), key=like.__getitem__)
+        assert found[i]["_score"] == pytest.approx(like[best]) and found[i]["_lang_pred"] == model.languages[best]
+
+
 def test_nothing_to_learn_from(make):
     empty = language_id.fit(make([]))
     rows = language_id.identify(make([(1, "some text", None)]), empty).collect()

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,15 +62,27 @@ def test_rates_are_exponentially_tilted(make, spark):
     rng = random.Random(3)
     rows = [(i, "w " * rng.randint(1, 400), "en", "a" if i % 2 else "b") for i in range(400)]
     sizes = make(rows).select(F.col("source").alias("_source"), mixing.word_count("text").alias("_size"))
-    cells = sizes.groupBy("_source", "_size").agg(F.count("*").alias("_n"))
-    goals = mixing.targets(sizes)
-    rates = {r["_source"]: (r["_mean"], r["_lambda"]) for r in mixing.solve_rates(cells, goals).collect()}
-    for goal in goals.collect():
-        mean, tilt = rates[goal["_source"]]
-        mine = [r["_size"] for r in sizes.where(F.col("_source") == goal["_source"]).collect()]
-        import math
-
-        assert sum(s * min(3.0, math.exp(tilt * s / mean)) for s in mine) == pytest.approx(goal["_target"], rel=1e-6)
+    for goal in mixing.targets(sizes).collect():
+        mine = np.array([r["_size"] for r in sizes.where(F.col("_source") == goal["_source"]).collect()])
+        tilt = mixing.solve(*np.unique(mine, return_counts=True), goal["_target"])
+        assert np.minimum(3.0, np.exp(tilt * mine / mine.mean())) @ mine == pytest.approx(goal["_target"], rel=1e-6)
+
+
+@pytest.mark.parametrize("share", [0.0, 1e-9, 0.01, 0.999, 1.0, 2.9, 2.999999, 3.0])
+@pytest.mark.parametrize("sizes", [[1], [1, 10**6], [5, 5, 5], list(range(1, 300))])
+def test_any_target_is_met(sizes, share):
+    x, n = np.unique(np.array(sizes), return_counts=True)
+    tilt = mixing.solve(x, n, share * sum(sizes))
+    with np.errstate(over="ignore"):
+        rate = np.minimum(3.0, np.exp(tilt * np.array(sizes) / np.mean(sizes)))
+    assert rate @ np.array(sizes) == pytest.approx(share * sum(sizes), rel=1e-6)
+
+
+def test_repeated_rows_share_the_copies(make):
+    rows = [(1, "same words here", "en", "a")] * 40 + [(i, "other words here too", "en", "b") for i in range(2, 30)]
+    found = mixed(make(rows))
+    check(found, rows)
+    assert len([r for r in found if r["_id"] == 1]) == 40
 
 
 def test_nothing_to_mix(make):

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import brute
+import numpy as np
 import pytest
 
 from tessitura.llm import registry, shared, substring_dedup
@@ -18,7 +19,9 @@ def test_same_as_sql(same):
 
 @pytest.mark.parametrize("k", [1, 2, 3, 5, 20])
 @pytest.mark.parametrize("seed", [0, 1])
-def test_random_texts(make, k, seed):
+def test_random_texts(make, k, seed, monkeypatch):
+    if seed:  # several buckets, and minimisers that are split
+        monkeypatch.setattr(substring_dedup, "LEAST_WORDS", 20)
     rng = random.Random(seed)
     vocabulary = ["a", "bb", "c", "dé", "e"][: rng.randint(2, 5)]
     rows = [(i * 3 - 9, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([0, 1, k - 1, k, k + 1, 60, 300])))) for i in range(25)]
@@ -57,10 +60,26 @@ def test_one_long_run_is_cut_without_effect(make):
     assert removed(make([(1, text), (2, text)])) == {1: (3000, 2999, "same"), 2: (3000, 3000, "")}
 
 
+def test_split_minimisers_keep_equal_windows_together():
+    """One phrase is the minimiser of windows with all kinds of words around it: they spread, equal ones don't."""
+    rng = random.Random(1)
+    phrase = ["all", "rights", "reserved"]
+    texts = [" ".join([*[f"x{rng.randrange(40)}" for _ in range(8)], *phrase, *[f"y{rng.randrange(40)}" for _ in range(8)]]) for _ in range(300)]
+    texts += texts[:50]
+    words = shared.Words([t.encode() for t in texts])
+    split = np.full(substring_dedup.BINS, 5)
+    doc, first, count, key = substring_dedup._super_kmers(words, 10, split)
+    assert count.sum() == sum(len(t.split()) - 9 for t in texts)
+    keys = {}
+    for d, f, c, x in zip(doc, first, count, key):
+        for w in range(f, f + c):
+            keys.setdefault(texts[d].split()[w - words.at[d] : w - words.at[d] + 10].__repr__(), set()).add(int(x))
+    assert all(len(v) == 1 for v in keys.values())
+    assert len(set(key.tolist())) > len(set(substring_dedup._super_kmers(words, 10)[3].tolist()))
+
+
 def test_windows_that_share_a_hash_are_told_apart(make, monkeypatch):
     """With a hash of two values every comparison goes through the words themselves."""
-    import numpy as np
-
     rng = random.Random(5)
     rows = [(i, [rng.choice("abc") for _ in range(40)]) for i in range(6)]
     codes = np.concatenate([np.array([ord(c) for c in w]) for _, w in rows])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import brute
@@ -159,12 +160,33 @@ def test_unigram_counts_share_prefixes():
     rng = random.Random(2)
     scores = {bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 5))): -rng.random() * 9 for _ in range(60)} | {bytes([c]): -8.0 for c in b"abc"}
     words = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 14))) for _ in range(400)})
-    assert token_counts.trie_counts(words, scores, max(map(len, scores))) == [brute.unigram_tokens(w, scores) for w in words]
+    assert token_counts.trie_counts(words, token_counts.ends_of(scores)) == [brute.unigram_tokens(w, scores) for w in words]
 
 
-def test_token_counts(spark, make, odd):
-    scores, _ = token_counts.pieces(token_counts.vocabulary_path())
-    want = sorted((i is None, i or 0, len(brute.words(t)), sum(brute.unigram_tokens(b" " + w.encode(), scores) for w in brute.words(t))) for i, t, *_ in odd if len(t or "") < 4000)
-    found = token_counts.count_tokens(make([r for r in odd if len(r[1] or "") < 4000], extra=True)).collect()
+def plain_counts(text, scores, known={}):  # noqa: B006
+    """Words and tokens of a text, pre-token by pre-token."""
+    cut = re.findall(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$", (text or "").encode())
+    assert b"".join(cut) == (text or "").encode()
+    return len(brute.words(text)), sum(known.get(w) or known.setdefault(w, brute.unigram_tokens(w, scores)) for w in cut)
+
+
+def test_token_counts(spark, make, odd, monkeypatch):
+    scores = token_counts.pieces(token_counts.vocabulary_path())[0]
+    monkeypatch.setattr(token_counts, "REMEMBERED", 20)
+    rows = [*odd, (90, "two  spaces\n\nand an end \n", None), (91, "\u00a0é日本\u2028 x", None), (92, "ab" * 2000 + " " * 300 + "end", None)]
+    want = sorted((i is None, i or 0, *plain_counts(t, scores)) for i, t, *_ in rows)
+    found = token_counts.count_tokens(make(rows, extra=True)).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["_n_words"], r["_n_tokens"]) for r in found) == want
     assert token_counts.count_tokens(make([])).count() == 0
+
+
+def test_token_counts_query(spark, duck):
+    scores = token_counts.pieces(token_counts.vocabulary_path())[0]
+    _, rows = duck("SELECT doc_id, text FROM documents", "sf0.001")
+    found = registry.QUERIES["op2_token_counts"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(map(tuple, found)) == sorted((i, *plain_counts(t, scores)) for i, t in rows)
+
+
+def test_long_words_cost_in_proportion():
+    ends = token_counts.pieces(token_counts.vocabulary_path())[1]
+    assert token_counts.trie_counts([b"xy" * 200_000], ends)[0] > 1000

@@ -46,6 +46,26 @@ def test_against_all_pairs(spark, monkeypatch, kind):
     assert found(spark, rows) == brute.top_k(whole(rows), lambda i: i % 3 == 0, 5)
 
 
+def test_far_vectors_are_not_sent(spark, monkeypatch):
+    """With clusters, a query's group needs few cells: the bounds are tight, and the result is whole."""
+    monkeypatch.setattr(topk, "GROUP", 4)
+    monkeypatch.setattr(topk, "BLOCK", 100)
+    rng = random.Random(0)
+    centres = [[rng.gauss(0, 5) for _ in range(16)] for _ in range(20)]
+    rows = [(i, [x + rng.gauss(0, 0.2) for x in centres[i % 20]], 0) for i in range(2000)]
+    measured = {}
+    out = topk.top_k(topk.quantised(table(spark, rows)), F.col("_id") % 50 == 0, 5, measured)
+    assert sorted(tuple(r) for r in out.collect()) == [(q, r, v, s) for q, r, v, s in brute.top_k(whole(rows), lambda i: i % 50 == 0, 5)]
+    assert measured["replication"] < 6  # of 20 and more groups
+
+
+def test_components_beyond_64_bits_are_an_error(spark):
+    with pytest.raises(Exception, match="64 bits"):
+        found(spark, [(0, [3e38], 1), (1, [1.0], 1)])
+    with pytest.raises(Exception, match="64 bits"):
+        found(spark, [(0, [1e15, 1.0], 1), (1, [1e15, 1.0], 1), (3, [1.0, 2.0], 1)])
+
+
 def test_odd_rows(spark):
     rows = [(0, [1.0, 2.0], 1), (3, None, 1), (6, [float("nan"), 1.0], 1), (9, [None, 1.0], None), (12, [float("inf"), 0.0], 1), (None, [1.0, 1.0], 1), (1, [0.5, 0.5], 1), (2, [3.0], 1), (15, [], 1), (18, [-1e-9, 0.0], 1)]
     want = brute.top_k(whole(rows), lambda i: i % 3 == 0, 5)
