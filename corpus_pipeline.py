@@ -25,7 +25,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Near: five-word shingles with a similarity of 0.8 and more. One fingerprint of 64 bits can't tell: at that similarity
     it differs in 10 bits, give or take 3. So there are six of them: a pair is a candidate if 8 bits of one differ at
-    most, and linked if all together differ in no more than texts of that similarity do.
+    most and all together in no more than texts of that similarity do. Candidates are linked if their distinct shingles
+    have the similarity.
     """
     return simhash.keep_one(docs, most=8, width=5, parts=6, similarity=0.8).select(*COLUMNS)
 
@@ -68,5 +69,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
+        before, since = docs, shared.written()
         docs = shared.cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        shared.tidy(since, docs)
+        shared.discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
