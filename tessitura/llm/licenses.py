@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tessitura.llm import shared
 from tessitura.llm.license_rules import GAP, rules
 
 #: One of these stands in every text that a rule can match, so other texts are done after the count of their words.
-GATES = ("licen", "copyright", "rights reserved", "public domain", "publicdomain", "creative commons", "creativecommons", "cc by", "cc-by", "cc0", "gpl", "mpl", "apache", "bsd", "wtfpl", "cecill", "commons clause", "open data commons", "the mit", "mit no attribution", "permission is hereby", "permission to use", "redistribution and use", "neither the name", "advertising materials", "as-is", "what the fuck", "not evil", "confidential", "unauthori", "noderiv", "no-deriv", "commercial use", "either version")
+GATES = ("licen", "copyright", "rights reserved", "public domain", "publicdomain", "creative commons", "creativecommons", "cc by", "cc-by", "cc0", "gpl", "mpl", "apache", "bsd", "wtfpl", "cecill", "commons clause", "open data commons", "the mit", "mit no attribution", "permission is hereby", "permission to use", "redistribution and use", "neither the name", "advertising", "permission notice", "redistributions ", "endorse or promote", "following acknowledg", "misrepresented", "altered source versions", "contributing authors", "cryptographic software", "openssl toolkit", "jpeg group", "linking this library", "classpath exception", "deal in the software", "free to copy", "same terms as", "personal use", "written permission", "trade secret", "polyform", "openrail", "as-is", "what the fuck", "not evil", "confidential", "unauthori", "noderiv", "no-deriv", "commercial use", "either version")
 _BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
@@ -68,8 +70,7 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
     """
     keep = shared.others(docs.columns if keep is None else keep, ["_n_words", "_n_base", "_first_word", "_last_word", "_base_labels", "_labels", "_score"])
     along = [f"_carried{i}" for i in range(len(keep))]
-    # lower() and the lower case of A-Z alone differ only in letters that are in no phrase and in no break between words
-    rows = docs.select(*shared.carried(keep), F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_low"))
+    rows = docs.select(*shared.carried(keep), F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase).alias("_low"))
     edge = lambda c: F.when(c.rlike(f"^{_BREAK}"), 1).otherwise(0)
     n = F.when(F.col("_low") == "", 0).otherwise(F.size(F.split("_low", _BREAK, -1)) - edge(F.substring("_low", 1, 1)) - edge(F.right("_low", F.lit(1))))
     rows = rows.withColumn("_n_words", n.cast("long"))

@@ -125,6 +125,19 @@ def base_licenses(text):
     return len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
 
 
+def license_labels(text, rules, gap):
+    """(labels, score): every match of every rule, those inside another dropped, and the base phrases."""
+    flat = re.sub(gap, " ", low(text))
+    found = [(m.start(), -m.end(), rank, label, sure) for label, _, exp, rank, sure in rules for m in re.finditer(exp, flat)]
+    kept, reach = [], 0
+    for start, back, _, label, sure in sorted(found):
+        if -back > reach:
+            kept.append((label, sure))
+            reach = -back
+    base = set(base_licenses(text)[4].split(",")) - {""}
+    return ",".join(sorted({a for a, _ in kept} | base)), max([b for _, b in kept] + [80 if base else 0]) / 100
+
+
 def top_k(vectors, queries, k):
     """[(query, rank, id, score)] of (id, list of whole numbers)."""
     out = []

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from re import _parser
 
@@ -97,7 +98,7 @@ def samples(parsed):
         op = str(op)
         if op == "LITERAL":
             some = [chr(arg)]
-        elif op == "ANY":
+        elif op in ("ANY", "NOT_LITERAL"):
             some = ["x"]
         elif op == "AT" or op.startswith("ASSERT"):
             some = [""]
@@ -134,6 +135,18 @@ def test_gated_and_ungated_scans_agree(make, monkeypatch):
     assert gated[every.index("(mpl-2.0)")]["_labels"] == gated[every.index("mpl 2.0")]["_labels"] == "mpl-2.0"
 
 
+def test_labels_against_brute_force(spark, make, duck):
+    """The whole table of the query, and every sample of the hand-written rules with other texts around it."""
+    rules = license_rules.rules()
+    _, rows = duck("SELECT doc_id, text FROM documents", "sf0.001")
+    found = registry.QUERIES["op8_license_scan"](spark, "/root/testdata/sf0.001").collect()
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in found} == {i: brute.license_labels(t, rules, license_rules.GAP) for i, t in rows}
+    rng = random.Random(0)
+    every = [samples(_parser.parse(exp))[0] for _, _, exp, *_ in license_rules._PHRASES]
+    made = [(i, f"Some words {s.title()}, and\n * {rng.choice(every)} then {rng.choice(every)}".replace(" ", rng.choice([" ", "  ", "\n# "]))) for i, s in enumerate(every)]
+    assert {i: (r["_labels"], r["_score"]) for i, r in scanned(make(made)).items()} == {i: brute.license_labels(t, rules, license_rules.GAP) for i, t in made}
+
+
 def test_odd_rows_and_no_python(make, odd):
     df = make(odd, extra=True)
     found = licenses.scan(df)
