@@ -428,8 +428,11 @@ def keep_one(docs: DataFrame, most: int = 8, width: int = 5, parts: int = 6, sim
     Documents with one id but different texts, and all without an id, are told apart by their texts; of several in one
     group with the least id the one with the least hash of its text stays. Columns are those of ``docs``.
     """
+    since = shared.written()
     groups = near_groups(docs, most, width, parts, bits_at(similarity, 64 * parts), similarity)
     kept = groups.groupBy("_group").agg(F.min(F.struct("_id", "_hash")).alias("k")).select(F.col("k._id").alias("_id"), F.col("k._hash").alias("_hash"))
+    kept = shared.cut(kept, "kept")
+    shared.tidy(since, kept)  # fingerprints and shingles have done their part
     rows = docs.select(*shared.carried(docs.columns), shared.numbered().alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_hash"))
     return rows.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*shared.restored(docs.columns))
 
