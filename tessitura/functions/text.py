@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,36 +29,40 @@ def tokens(text) -> Column:
 def word_distance(a: Column, b: Column) -> Column:
     """Edits between two arrays of words: each distinct word becomes one character, so it is one ``levenshtein``.
 
+    Characters are those above the first 65,536, of which there are 2**20; a pair with more distinct words is an error.
     The words of the pair stand in an array of one element, over which the distance is a transform: so they are listed
     once a pair and not once a word.
     """
-    letter = lambda known: lambda w: F.decode(F.unhex(F.lpad(F.hex((F.lit(19968) + F.array_position(known, w)).cast("long")), 4, "0")), "UTF-16BE")
-    spelled = lambda words, known: F.array_join(F.transform(words, letter(known)), "")
-    return F.transform(F.array(F.array_distinct(F.concat(a, b))), lambda known: F.levenshtein(spelled(a, known), spelled(b, known)))[0]
+    number = lambda known: lambda w: F.lpad(F.hex((F.lit(0xFFFF) + F.array_position(known, w)).cast("long")), 8, "0")
+    spelled = lambda words, known: F.decode(F.unhex(F.array_join(F.transform(words, number(known)), "")), "UTF-32")
+    checked = lambda known: F.when(F.size(known) <= 1 << 20, F.lit(0)).otherwise(F.raise_error(F.lit("over 2**20 distinct words in a pair")).cast("int"))
+    return F.transform(F.array(F.array_distinct(F.concat(a, b))), lambda known: F.levenshtein(spelled(a, known), spelled(b, known)) + checked(known))[0]
 
 
 def align(a: list[str], b: list[str]) -> tuple[int, int, int, int]:
-    """Hits, substitutions, deletions, insertions of one best alignment; ties prefer the diagonal, then deletion."""
-    width = len(b) + 1
-    rows = [list(range(width))]
-    for i, x in enumerate(a, 1):
-        last, row = rows[-1], [i]
-        for j, y in enumerate(b, 1):
-            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[j - 1] + 1))
-        rows.append(row)
-    i, j, counts = len(a), len(b), [0, 0, 0, 0]
-    while i or j:
-        here = rows[i][j]
-        if i and j and here == rows[i - 1][j - 1] + (a[i - 1] != b[j - 1]):
-            counts[int(a[i - 1] != b[j - 1])] += 1
-            i, j = i - 1, j - 1
-        elif i and here == rows[i - 1][j] + 1:
-            counts[2] += 1
-            i -= 1
-        else:
-            counts[3] += 1
-            j -= 1
-    return tuple(counts)
+    """Hits, substitutions, deletions, insertions of one best alignment; ties prefer the diagonal, then deletion.
+
+    A row of distances at a time, and one byte for each step of the way back.
+    """
+    known: dict[str, int] = {}
+    x, y = (np.array([known.setdefault(w, len(known)) for w in words], np.int64) for words in (a, b))
+    at = np.arange(len(y) + 1)
+    last, steps = at.copy(), np.full((len(x), len(y) + 1), 2, np.uint8)
+    for i in range(len(x)):
+        diagonal, down = last[:-1] + (y != x[i]), last + 1
+        best = down.copy()
+        np.minimum(best[1:], diagonal, out=best[1:])
+        row = np.minimum.accumulate(best - at) + at  # from the left: one more for each place
+        steps[i][row == down] = 1
+        steps[i][1:][row[1:] == diagonal] = 0
+        last = row
+    i, j, counts = len(x), len(y), [0, 0, 0, 0]
+    while i:
+        step = steps[i - 1, j]
+        counts[int(x[i - 1] != y[j - 1]) if step == 0 else int(step) + 1] += 1
+        i, j = i - (step < 2), j - (step != 1)
+    counts[3] += j
+    return tuple(int(n) for n in counts)
 
 
 _COUNTS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("hits", "substitutions", "deletions", "insertions")])

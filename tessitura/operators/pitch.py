@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessitura.functions import music
+from tessitura.operators import signal
 
 TRACK = "track_id"
 
@@ -86,6 +87,20 @@ def stable_range(stable: DataFrame, gap_tolerance: int = 0) -> DataFrame:
     )
 
 
+def with_hnr(contour: DataFrame, hnr: DataFrame, pad: bool = True) -> DataFrame:
+    """JN5: the contour's frames with ``hnr_db`` of the harmonicity frame of the same number, see :func:`hnr_frames`.
+
+    With ``pad`` frames beyond the shorter side have none (stability windows); else they go (statistics per note).
+    """
+    return contour.join(hnr.select(TRACK, "frame_idx", "hnr_db"), [TRACK, "frame_idx"], "left" if pad else "inner")
+
+
+def hnr_frames(signals: DataFrame, length: int = 2048, hop: int = 256, sr: float = 16000, method: str = "autocorrelation", **limits) -> DataFrame:
+    """W0, UDF13: ``track_id, frame_idx, hnr_db`` of signals (``track_id, samples`` at ``sr``)."""
+    rows = signal.frames(signals.select(TRACK, "samples"), length, hop)
+    return rows.select(TRACK, "frame_idx", signal.hnr("frame", sr, method, **limits).alias("hnr_db"))
+
+
 def note_stats(frames: DataFrame, sr: int = 16000, hop: int = 512) -> DataFrame:
     """AGG1, FIL1, FIL4: HNR statistics of each MIDI note of a track, over voiced frames with a finite HNR."""
     kept = frames.where("voiced and f0_hz > 0 and hnr_db is not null").withColumn("midi", music.midi_int("f0_hz")).where("midi >= 0")

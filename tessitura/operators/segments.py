@@ -34,22 +34,34 @@ def non_silent(levels: DataFrame, threshold_db: float = -40.0, min_silence: int
     return activity_ranges(rows.where("not _silent"), "at_ms", min_gap=step + 1, step=step)
 
 
-def vocal_segments(ranges: DataFrame, bounds: DataFrame | None = None, min_segment: int = 3000, keep: int = 100) -> DataFrame:
-    """FIL6, W7, W8: drops short ranges by their unpadded length, pads the rest within the track, numbers what is left."""
+def vocal_segments(ranges: DataFrame, bounds: DataFrame | tuple[int, int] | None = None, min_segment: int = 3000, keep: int = 100) -> DataFrame:
+    """FIL6, W7, W8: drops short ranges by their unpadded length, pads the rest within the track, numbers what is left.
+
+    ``bounds`` has ``track_end_ms`` (and ``track_start_ms``) of each track, or is one start and end for all.
+    """
     kept = ranges.where(F.col("end_ms") - F.col("start_ms") >= min_segment)
-    if bounds is not None:
+    begin, end = F.lit(0), None
+    if isinstance(bounds, tuple):
+        begin, end = F.lit(bounds[0]), F.lit(bounds[1])
+    elif bounds is not None:
         kept = kept.join(bounds, TRACK)
-    low = F.greatest(F.col("start_ms") - keep, F.col("track_start_ms") if bounds is not None and "track_start_ms" in bounds.columns else F.lit(0))
-    high = F.least(F.col("end_ms") + keep, F.col("track_end_ms")) if bounds is not None else F.col("end_ms") + keep
+        begin, end = F.col("track_start_ms") if "track_start_ms" in bounds.columns else begin, F.col("track_end_ms")
+    low, high = F.greatest(F.col("start_ms") - keep, begin), F.col("end_ms") + keep
     number = F.row_number().over(Window.partitionBy(TRACK).orderBy("start_ms"))
-    out = kept.withColumn("index", number).withColumn("start_ms", low).withColumn("end_ms", high)
+    out = kept.withColumn("index", number).withColumn("start_ms", low).withColumn("end_ms", high if end is None else F.least(high, end))
     return out.select(TRACK, "index", "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).alias("duration_ms"), F.format_string("%05d.wav", "index").alias("filename"))
 
 
-def contained(points: DataFrame, segments: DataFrame, at: str = "at_ms") -> DataFrame:
-    """JN7: points of a track within its half-open segments; the track is an equality key, so this is no nested loop."""
-    s = segments.select(F.col(TRACK).alias("_track"), "index", "start_ms", "end_ms")
-    return points.join(s, (F.col(TRACK) == F.col("_track")) & (F.col(at) >= F.col("start_ms")) & (F.col(at) < F.col("end_ms"))).drop("_track")
+def contained(points: DataFrame, segments: DataFrame, at: str = "at_ms", slot: int = 3_600_000) -> DataFrame:
+    """JN7: points of a track within its half-open segments, which may overlap.
+
+    The key of the join is the track and the slot of time: a segment stands in each slot that it reaches, so a long track
+    is many keys, and a point meets only segments of its slot.
+    """
+    slots = F.sequence(F.floor(F.col("start_ms") / slot), F.floor((F.col("end_ms") - 1) / slot))
+    s = segments.where("end_ms > start_ms").select(F.col(TRACK).alias("_track"), "index", "start_ms", "end_ms", F.explode(slots).alias("_slot"))
+    same = (F.col(TRACK) == F.col("_track")) & (F.floor(F.col(at) / slot) == F.col("_slot"))
+    return points.join(s, same & (F.col(at) >= F.col("start_ms")) & (F.col(at) < F.col("end_ms"))).drop("_track", "_slot")
 
 
 def reassemble(segments: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -81,14 +81,12 @@ def octave_shift(spark, d):
 
 
 def text_normalize(spark, d):
-    c = table(spark, d, "conversations")
-    plain = F.regexp_replace("text", r"[^\x00-\x7F]", "")
-    return c.select("conv_id", "turn", text.normalise(plain).alias("normalized"))
+    return table(spark, d, "conversations").select("conv_id", "turn", text.normalise("text").alias("normalized"))
 
 
 def wer_cer(spark, d):
     found = evaluate_pairs(proxies.pairs(spark, d), details=False)
-    return _r6(found, "wer", "cer").select("conv_id", "turn", "word_edits", "char_edits", "wer", "cer", "note")
+    return _r6(found, "wer", "cer").select("conv_id", "turn", "word_edits", "char_edits", "wer", "cer", "note", "language_mismatch")
 
 
 def wer_counts(spark, d):
@@ -96,26 +94,34 @@ def wer_counts(spark, d):
     return found.select("conv_id", "turn", (F.col("substitutions") + F.col("deletions") + F.col("insertions")).alias("word_edits"), (F.col("hits") + F.col("substitutions") + F.col("deletions")).alias("n_source"), (F.col("hits") + F.col("substitutions") + F.col("insertions")).alias("n_converted"))
 
 
-def _segments(spark, d):
-    ranges = segments.activity_ranges(proxies.levels(spark, d), min_gap=12 * _HOUR, step=0)
-    bounds = ranges.select("track_id").distinct().join(F.broadcast(proxies.track_end(spark, d)))
-    return segments.vocal_segments(ranges, bounds, min_segment=6 * _HOUR, keep=_HOUR)
+def wer_rates(spark, d):
+    """MER, WIL and WIP of texts against themselves with every third word gone, whose alignment is unique: hits and deletions."""
+    c = table(spark, d, "conversations")
+    words = text.tokens(text.normalise("text"))
+    rows = c.select("conv_id", "turn", F.array_join(words, " ").alias("source_text"), F.array_join(F.filter(words, lambda w, i: i % 3 != 2), " ").alias("converted_text"))
+    return _r6(evaluate_pairs(rows), "mer", "wil", "wip").select("conv_id", "turn", "mer", "wil", "wip")
+
+
+def _segments(spark, d, low, high):
+    ranges = segments.activity_ranges(proxies.levels(spark, d, low), min_gap=12 * _HOUR, step=0)
+    return segments.vocal_segments(ranges, (0, high - low), min_segment=6 * _HOUR, keep=_HOUR)
 
 
 def vocal_segments(spark, d):
-    return _segments(spark, d)
+    return _segments(spark, d, *proxies.span(spark, d))
 
 
 def segment_seconds(spark, d):
-    return segments.to_seconds(_segments(spark, d))
+    return segments.to_seconds(_segments(spark, d, *proxies.span(spark, d)))
 
 
 def segment_overlap_join(spark, d):
-    return segments.contained(proxies.levels(spark, d), _segments(spark, d)).select("track_id", "event_id", "index")
+    low, high = proxies.span(spark, d)
+    return segments.contained(proxies.levels(spark, d, low), _segments(spark, d, low, high), slot=24 * _HOUR).select("track_id", "event_id", "index")
 
 
 def reassemble_left(spark, d):
-    s = _segments(spark, d)
+    s = _segments(spark, d, *proxies.span(spark, d))
     chunks = s.where(F.col("index") % 3 != 0).select("track_id", "filename", F.col("duration_ms").alias("chunk_ms"))
     return segments.reassemble(s, chunks).select("track_id", "index", "filename", "chunk_ms", "missing")
 
@@ -207,11 +213,11 @@ def hnr_autocorr(spark, d):
 
 
 def hnr_cepstral(spark, d):
-    return proxies.signals(spark, d).select("track_id", F.bround(signal.hnr("samples", 1000.0, "cepstral", fmin=50, fmax=500), 4).alias("hnr_db"))
+    return proxies.signals(spark, d).select("track_id", music.rounded(signal.hnr("samples", 1000.0, "cepstral", fmin=50, fmax=500), 4).alias("hnr_db"))
 
 
 def hnr_spectral(spark, d):
-    return proxies.signals(spark, d).select("track_id", F.bround(signal.hnr("samples", 1000.0, "spectral", f0=F.lit(100.0)), 4).alias("hnr_db"))
+    return proxies.signals(spark, d).select("track_id", music.rounded(signal.hnr("samples", 1000.0, "spectral", f0=F.lit(100.0)), 4).alias("hnr_db"))
 
 
 def mix_overlay(spark, d):
@@ -226,12 +232,51 @@ def stem_sum(spark, d):
     return _r6(signal.stem_sum(s.withColumn("value", F.col("value").cast("double")), "stem0"), "value")
 
 
+def metadata_upsert(spark, d):
+    """The documents of all events with one key set anew on every second of them."""
+    docs = table(spark, d, "events").select("event_id", F.concat(F.lit('{"k":'), F.get_json_object("props", "$.k"), F.lit(',"lyrics_eval":null}')).alias("doc"))
+    values = docs.where("event_id % 2 = 0").select("event_id", F.to_json(F.struct((F.col("event_id") % 7).alias("wer"))).alias("value"))
+    found = jobs.upsert_key(docs, values, "lyrics_eval", "doc", "event_id")
+    return found.select("event_id", F.get_json_object("doc", "$.k").cast("int").alias("k"), F.get_json_object("doc", "$.lyrics_eval.wer").cast("long").alias("wer"), jobs.has_key(F.col("doc"), "lyrics_eval").alias("has_key"))
+
+
+def signal_slices(spark, d):
+    """Two ranges of every signal one after the other at 1,000 samples a second: one within it, one that reaches beyond."""
+    s = proxies.signals(spark, d)
+    cuts = s.select("track_id", F.explode(F.array(*[F.struct(F.lit(i).alias("index"), a.cast("long").alias("start_ms"), b.cast("long").alias("end_ms")) for i, a, b in ((1, F.col("track_id") % 30, F.col("track_id") % 30 + 10), (2, F.lit(50), F.lit(99)))])).alias("r")).select("track_id", "r.*")
+    found = segments.slice_concat(s, cuts, 1000)
+    return found.select("track_id", F.size("samples").alias("n"), F.bround(F.aggregate("samples", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("total"))
+
+
+def signal_overlay(spark, d):
+    """Three chunks of every signal mixed onto 60 samples of silence; two overlap, one is cut at the end."""
+    s = proxies.signals(spark, d).withColumn("samples", F.col("samples").cast("array<double>"))
+    chunk = lambda at, n: F.struct(F.lit(at).cast("long").alias("start_ms"), F.slice("samples", 1, n).alias("samples"))
+    chunks = s.select("track_id", F.explode(F.array(chunk(0, 20), chunk(10, 20), chunk(50, 20))).alias("c")).select("track_id", "c.*")
+    found = segments.overlay(chunks, s.select("track_id", F.lit(60).alias("n_samples")), 1000)
+    return found.select("track_id", F.posexplode("samples").alias("i", "value")).select("track_id", "i", F.bround("value", 6).alias("value"))
+
+
+def non_silent(spark, d):
+    """Signals as levels of 10 ms each; 50 ms under -3 dB are a silence."""
+    s = proxies.signals(spark, d).select("track_id", F.posexplode("samples").alias("i", "x"))
+    return segments.non_silent(s.select("track_id", (F.col("i") * 10).alias("at_ms"), F.col("x").cast("double").alias("rms")), -3.0, 50, 10)
+
+
+def f0_with_hnr(spark, d):
+    """Contours joined to harmonicity by frame: every second track has fewer frames of it."""
+    f = proxies.frames(spark, d)
+    hnr = f.where("track_id % 2 = 0 or frame_idx < 20").select("track_id", "frame_idx", F.col("hnr_db").alias("hnr"))
+    padded, cut = pitch.with_hnr(f.drop("hnr_db"), hnr.withColumnRenamed("hnr", "hnr_db")), pitch.with_hnr(f.drop("hnr_db"), hnr.withColumnRenamed("hnr", "hnr_db"), pad=False)
+    return padded.select("track_id", "frame_idx", "hnr_db", F.lit("pad").alias("rule")).unionByName(cut.select("track_id", "frame_idx", "hnr_db", F.lit("cut").alias("rule")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        pitch_scale, pitch_windows, trailing_hnr_baseline, stable_windows, stable_range, stable_range_gap1, stable_range_gap2, note_stats, note_run, singer_stats, octave_shift, text_normalize, wer_cer, wer_counts,
+        pitch_scale, pitch_windows, trailing_hnr_baseline, stable_windows, stable_range, stable_range_gap1, stable_range_gap2, note_stats, note_run, singer_stats, octave_shift, text_normalize, wer_cer, wer_counts, wer_rates,
         vocal_segments, segment_seconds, segment_overlap_join, reassemble_left, job_plan, job_outcomes, job_summary, file_gate, checkpoint_pick, track_outcomes, track_summary, track_pending, uri_parse, content_key, metadata_json, backend_choice, frame_signal,
-        hnr_autocorr, hnr_cepstral, hnr_spectral, mix_overlay, stem_sum,
+        hnr_autocorr, hnr_cepstral, hnr_spectral, mix_overlay, stem_sum, metadata_upsert, signal_slices, signal_overlay, non_silent, f0_with_hnr,
     )
 }
 
@@ -302,14 +347,20 @@ s AS (SELECT track_id, avg(m) AS mean, median(m) AS med, min(m) AS low, max(m) A
 singer AS (SELECT track_id, round_even({_hz('mean')}, 1) AS mean_hz, CASE WHEN n > 0 THEN {_note(_hz('mean'))} END AS mean_note, round_even(mean, 2) AS mean_midi, round_even({_hz('med')}, 1) AS median_hz,
       CASE WHEN n > 0 THEN {_note(_hz('med'))} END AS median_note, round_even(med, 2) AS median_midi, round_even({_hz('low')}, 1) AS low_hz, CASE WHEN n > 0 THEN {_note(_hz('low'))} END AS low_note, round_even({_hz('high')}, 1) AS high_hz,
       CASE WHEN n > 0 THEN {_note(_hz('high'))} END AS high_note, round_even(high - low, 1) AS range_semitones, n AS n_voiced_frames, CASE WHEN n = 0 THEN 'no voiced frames' END AS error FROM s)"""
-_PAIRS = r"""p AS (SELECT conv_id, turn, text, lead(text) OVER w AS next_text, lead(turn) OVER w AS next_turn FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
-q AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g'), ' '), lambda x: x <> '') AS a,
-      list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(next_text, '')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g'), ' '), lambda x: x <> '') AS b FROM p WHERE next_turn = turn + 1),
+_NORMAL = r"trim(regexp_replace(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}_\s\x0b\x1c-\x1f\x85\p{{Z}}]', '', 'g'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g'))"
+_WORDS = "list_filter(string_split({}, ' '), lambda x: x <> '')"
+_PAIRS = f"""p AS (SELECT conv_id, turn, text, role, lead(text) OVER w AS next_text, lead(turn) OVER w AS next_turn, lead(role) OVER w AS next_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+q AS (SELECT conv_id, turn, role IS DISTINCT FROM next_role AS mismatch, {_WORDS.format(_NORMAL.format("coalesce(text, '')"))} AS a, {_WORDS.format(_NORMAL.format("coalesce(next_text, '')"))} AS b FROM p WHERE next_turn = turn + 1),
 dp AS (SELECT conv_id, turn, a, b, 0 AS i, list_transform(range(0, len(b) + 1), lambda j: CAST(j AS BIGINT)) AS edits FROM q
        UNION ALL
        SELECT conv_id, turn, a, b, i + 1, list_transform(range(0, len(b) + 1), lambda j: list_min(best[1:j + 1]) + j)
        FROM (SELECT *, list_transform(range(0, len(b) + 1), lambda j: CASE WHEN j = 0 THEN i + 1 ELSE least(edits[j] + CASE WHEN a[i + 1] = b[j] THEN 0 ELSE 1 END, edits[j + 1] + 1) END - j) AS best FROM dp WHERE i < len(a))),
-e AS (SELECT conv_id, turn, a, b, edits[len(b) + 1] AS word_edits, levenshtein(array_to_string(a, ' '), array_to_string(b, ' ')) AS char_edits FROM dp WHERE i = len(a))"""
+d AS (SELECT conv_id, turn, edits[len(b) + 1] AS word_edits FROM dp WHERE i = len(a)),
+-- levenshtein() counts bytes: each distinct character of a pair becomes one ASCII character
+k AS (SELECT *, list_distinct(string_split(array_to_string(a, ' ') || array_to_string(b, ' ') || ' ', '')) AS k FROM q),
+c AS (SELECT *, array_to_string(list_transform(string_split(array_to_string(a, ' '), ''), lambda x: chr(CAST(list_position(k, x) AS INT))), '') AS x,
+      array_to_string(list_transform(string_split(array_to_string(b, ' '), ''), lambda x: chr(CAST(list_position(k, x) AS INT))), '') AS y FROM k),
+e AS (SELECT c.*, word_edits, levenshtein(x, y) AS char_edits FROM c JOIN d USING (conv_id, turn))"""
 _LEVELS = """lv AS (SELECT user_id AS track_id, event_id, date_diff('millisecond', (SELECT min(ts) FROM events), ts) AS at_ms FROM events),
 nw AS (SELECT track_id, at_ms, CASE WHEN at_ms - lag(at_ms) OVER (PARTITION BY track_id ORDER BY at_ms) < 43200000 THEN 0 ELSE 1 END AS fresh FROM lv),
 rg AS (SELECT track_id, at_ms, sum(fresh) OVER (PARTITION BY track_id ORDER BY at_ms ROWS UNBOUNDED PRECEDING) AS k FROM nw),
@@ -326,6 +377,11 @@ o AS (SELECT *, CASE WHEN NOT separated THEN 'separation_error' WHEN segments =
 t AS (SELECT *, CASE WHEN status = 'ok' THEN CASE WHEN dereverbed THEN 'dereverbed' ELSE 'raw' END END AS vocals, status = 'ok' AND has_instrumental AS mixed, CASE WHEN status = 'ok' THEN
       concat_ws('; ', CASE WHEN NOT dereverbed THEN 'dereverberation failed' END, CASE WHEN converted < segments THEN 'some segments weren''t converted' END, CASE WHEN NOT lyrics_ok THEN 'lyrics evaluation failed' END) END AS warning FROM o)"""
 
+#: The discrete Fourier transform of signals of 64 samples under a Hann window.
+_DFT = """x AS (SELECT vec_id, list_transform(range(0, 64), lambda n: CAST(embedding[n + 1] AS DOUBLE) * (0.5 - 0.5 * cos(2 * pi() * n / 63))) AS x FROM embeddings),
+f AS (SELECT vec_id, list_transform(range(0, 33), lambda k: list_sum(list_transform(range(0, 64), lambda n: x[n + 1] * cos(2 * pi() * k * n / 64)))) AS re,
+      list_transform(range(0, 33), lambda k: list_sum(list_transform(range(0, 64), lambda n: x[n + 1] * sin(2 * pi() * k * n / 64)))) AS im FROM x)"""
+
 ORACLE_SQL = {
     "track_outcomes": f"WITH {_TRACKS} SELECT track_id, stem, status, vocals, mixed, warning FROM t",
     "track_summary": f"WITH {_TRACKS} SELECT count(*) AS total, count(*) FILTER (status = 'ok') AS succeeded, count(*) FILTER (mixed) AS mixed, CAST(sum(segments) AS BIGINT) AS segments, CAST(sum(converted) AS BIGINT) AS converted FROM t",
@@ -355,11 +411,13 @@ y AS (SELECT *, {_hz('median_midi + shift')} AS moved FROM x)
 SELECT track_id, {_note('110.0')} AS target_low_note, {_note('220.0')} AS target_high_note, round_even({_hz('centre')}, 1) AS target_center_hz, {_note(_hz('centre'))} AS target_center_note, shift AS shift_semitones, CAST(floor(shift/12.0) AS INT) AS shift_octaves,
 round_even(exact, 2) AS shift_exact_semitones, round_even(moved, 1) AS shifted_median_hz, CASE WHEN moved IS NOT NULL THEN {_note('moved')} END AS shifted_median_note, round_even({_hz('12*log2(low_hz/440)+69 + shift')}, 1) AS shifted_low_hz,
 round_even({_hz('12*log2(high_hz/440)+69 + shift')}, 1) AS shifted_high_hz, moved BETWEEN 110.0 AND 220.0 AS median_in_target_range FROM y""",
-    "text_normalize": r"SELECT conv_id, turn, trim(regexp_replace(regexp_replace(lower(regexp_replace(text, '[^\x00-\x7F]', '', 'g')), '[^a-z0-9_\s]', '', 'g'), '\s+', ' ', 'g')) AS normalized FROM conversations",
+    "text_normalize": f"SELECT conv_id, turn, {_NORMAL.format('text')} AS normalized FROM conversations",
+    "wer_rates": f"""WITH w AS (SELECT conv_id, turn, len({_WORDS.format(_NORMAL.format("coalesce(text, '')"))}) AS n FROM conversations), h AS (SELECT *, n - n // 3 AS hits FROM w)
+SELECT conv_id, turn, CASE WHEN n > 0 THEN round_even((n - hits) / n, 6) END AS mer, CASE WHEN n > 0 THEN round_even(1 - hits / n, 6) END AS wil, CASE WHEN n > 0 THEN round_even(hits / n, 6) END AS wip FROM h""",
     "wer_cer": f"""WITH RECURSIVE {_PAIRS} SELECT conv_id, turn, word_edits, char_edits,
 CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(word_edits AS DOUBLE)/len(a), 6) END AS wer,
 CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(char_edits AS DOUBLE)/length(array_to_string(a, ' ')), 6) END AS cer,
-CASE WHEN len(a) = 0 AND len(b) = 0 THEN 'both texts are empty' WHEN len(a) = 0 OR len(b) = 0 THEN 'one text is empty' END AS note FROM e""",
+CASE WHEN len(a) = 0 AND len(b) = 0 THEN 'both texts are empty' WHEN len(a) = 0 OR len(b) = 0 THEN 'one text is empty' END AS note, mismatch AS language_mismatch FROM e""",
     "wer_counts": f"""WITH RECURSIVE {_PAIRS} SELECT conv_id, turn, CASE WHEN len(a) > 0 AND len(b) > 0 THEN word_edits END AS word_edits, CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(a) END AS n_source,
 CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(b) END AS n_converted FROM e""",
     "vocal_segments": f"WITH {_LEVELS} SELECT track_id, \"index\", start_ms, end_ms, duration_ms, filename FROM segs",
@@ -390,6 +448,26 @@ e AS (SELECT vec_id, c, list_sum(list_transform(c, lambda v: v*v)) AS e FROM c),
 l AS (SELECT vec_id, e, k, list_sum(list_transform(range(1, 65 - k), lambda i: c[i]*c[i+k])) AS s FROM (SELECT vec_id, e, c, unnest(range(2, 21)) AS k FROM e)),
 r AS (SELECT vec_id, e, least(greatest(max(s)/(e + 1e-10), 1e-6), 1 - 1e-6) AS r FROM l GROUP BY vec_id, e)
 SELECT vec_id AS track_id, CASE WHEN e >= 1e-10 THEN round_even(10*log10(r/(1-r)), 6) END AS hnr_db FROM r""",
+    "hnr_cepstral": f"""WITH {_DFT},
+l AS (SELECT vec_id, list_transform(range(0, 33), lambda k: ln(1e-10 + sqrt(re[k + 1] * re[k + 1] + im[k + 1] * im[k + 1]))) AS g FROM f),
+c AS (SELECT vec_id, list_transform(range(2, 21), lambda n: (g[1] + CASE WHEN n % 2 = 0 THEN g[33] ELSE -g[33] END + 2 * list_sum(list_transform(range(1, 32), lambda k: g[k + 1] * cos(2 * pi() * k * n / 64)))) / 64) AS c FROM l)
+SELECT vec_id AS track_id, round_even(20 * log10(abs(list_max(c)) / greatest(list_median(list_transform(c, lambda x: abs(x))), 1e-10) + 1e-10), 4) AS hnr_db FROM c""",
+    "hnr_spectral": f"""WITH {_DFT},
+e AS (SELECT vec_id, list_transform(range(0, 33), lambda k: re[k + 1] * re[k + 1] + im[k + 1] * im[k + 1]) AS e FROM f),
+s AS (SELECT vec_id, list_sum(e) AS whole, list_sum(list_transform(range(1, 6), lambda h: coalesce(list_sum(list_transform(list_filter(range(0, 33), lambda k: abs(k * 1000 / 64.0 - 100 * h) <= 20), lambda k: e[k + 1])), 0))) AS near FROM e)
+SELECT vec_id AS track_id, CASE WHEN whole >= 1e-10 AND near > 0 THEN round_even(10 * log10(near / greatest(whole - near, 1e-10)), 4) END AS hnr_db FROM s""",
+    "metadata_upsert": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, CASE WHEN event_id % 2 = 0 THEN event_id % 7 END AS wer, true AS has_key FROM events",
+    "signal_slices": """WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x, vec_id % 30 AS s FROM embeddings)
+SELECT vec_id AS track_id, CAST(24 AS INT) AS n, round_even(list_sum(x[s + 1:s + 10]) + list_sum(x[51:64]), 6) AS total FROM x""",
+    "signal_overlay": """WITH x AS (SELECT vec_id, embedding AS x, unnest(range(0, 60)) AS i FROM embeddings)
+SELECT vec_id AS track_id, CAST(i AS INT) AS i, round_even(CASE WHEN i < 20 THEN CAST(x[i + 1] AS DOUBLE) ELSE 0 END + CASE WHEN i BETWEEN 10 AND 29 THEN CAST(x[i - 9] AS DOUBLE) ELSE 0 END + CASE WHEN i >= 50 THEN CAST(x[i - 49] AS DOUBLE) ELSE 0 END, 6) AS value FROM x""",
+    "non_silent": """WITH x AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS v FROM (SELECT vec_id, embedding, unnest(range(0, 64)) AS i FROM embeddings)),
+w AS (SELECT *, sqrt(avg(v * v) OVER o) <= pow(10, -3 / 20.0) AND count(*) OVER o = 5 AS starts FROM x WINDOW o AS (PARTITION BY vec_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+m AS (SELECT *, bool_or(starts) OVER (PARTITION BY vec_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS silent FROM w),
+g AS (SELECT vec_id, i, i - row_number() OVER (PARTITION BY vec_id ORDER BY i) AS k FROM m WHERE NOT silent)
+SELECT vec_id AS track_id, CAST(min(i) * 10 AS INT) AS start_ms, CAST(max(i) * 10 + 10 AS INT) AS end_ms FROM g GROUP BY vec_id, k""",
+    "f0_with_hnr": f"""WITH {_NARROW} SELECT track_id, frame_idx, CASE WHEN track_id % 2 = 0 OR frame_idx < 20 THEN hnr_db END AS hnr_db, 'pad' AS rule FROM frames
+UNION ALL SELECT track_id, frame_idx, hnr_db, 'cut' AS rule FROM frames WHERE track_id % 2 = 0 OR frame_idx < 20""",
     "mix_overlay": """WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings)
 SELECT vec_id AS track_id, round_even(2*list_sum(x[1:32]), 6) AS mixed, round_even(list_sum(x[33:64]), 6) AS rest, CAST(32 AS INT) AS n_mixed FROM x""",
     "stem_sum": """WITH x AS (SELECT CAST(floor(vec_id / 5.0) AS BIGINT) AS track_id, embedding AS x, unnest(range(1, 65)) AS i FROM embeddings WHERE vec_id % 5 <> 0)

@@ -27,24 +27,22 @@ def frames(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcript pairs: a turn and the next one; the ASCII letters and digits of the whole texts, word by word."""
+    """Transcript pairs: the whole texts of a turn and the next one, and who speaks as their languages."""
     c = table(spark, sf_dir, "conversations")
-    plain = lambda x: F.array_join(F.filter(F.split(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^a-z0-9_\s]", ""), r"\s+", " "), " "), lambda w: w != ""), " ")
-    after = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    following = F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn"))
-    rows = c.select("conv_id", "turn", "text", after.alias("next_text"), following.alias("next_turn")).where(F.col("next_turn") == F.col("turn") + 1)
-    return rows.select("conv_id", "turn", plain(F.col("text")).alias("source_text"), plain(F.col("next_text")).alias("converted_text"))
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    rows = c.select("conv_id", "turn", "text", "role", *[F.lead(x).over(order).alias(f"next_{x}") for x in ("text", "turn", "role")]).where(F.col("next_turn") == F.col("turn") + 1)
+    return rows.select("conv_id", "turn", F.col("text").alias("source_text"), F.col("next_text").alias("converted_text"), F.col("role").alias("source_language"), F.col("next_role").alias("converted_language"))
 
 
-def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Active moments in ms from the table's first event: a track per user."""
-    e = table(spark, sf_dir, "events")
-    low = e.agg(F.min("ts").alias("_low"))
-    return e.join(F.broadcast(low)).select(F.col("user_id").alias("track_id"), "event_id", (_ms(F.col("ts")) - _ms(F.col("_low"))).alias("at_ms"))
+def span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """The first and the last moment of the table in ms since 1970: two numbers, as bounds for all tracks."""
+    low, high = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).select(_ms(F.col("min(ts)")), _ms(F.col("max(ts)"))).first()
+    return low or 0, high or 0
 
 
-def track_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").agg((_ms(F.max("ts")) - _ms(F.min("ts"))).alias("track_end_ms"))
+def levels(spark: SparkSession, sf_dir: str, low: int) -> DataFrame:
+    """Active moments in ms from ``low`` on, the table's first event: a track per user."""
+    return table(spark, sf_dir, "events").select(F.col("user_id").alias("track_id"), "event_id", (_ms(F.col("ts")) - F.lit(low)).alias("at_ms"))
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,3 +26,5 @@ def test_runs_without_sql(name, spark):
 def test_plan_has_no_cross_join(name, spark):
     plan = catalogue.QUERIES[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "CartesianProduct" not in plan
+    physical = catalogue.QUERIES[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in physical and "CartesianProduct" not in physical

@@ -147,6 +147,54 @@ def test_error_rates(spark):
         assert r["wip"] == pytest.approx(r["hits"] ** 2 / len(a) / len(b)) and r["mer"] == pytest.approx(edits[-1] / (edits[-1] + r["hits"]))
 
 
+def test_word_distance_of_many_distinct_words(spark):
+    """More distinct words than there are characters of 16 bits for them; equal ones stay equal, others don't."""
+    a = [f"w{i}" for i in range(38_000)]
+    b = [a[35_327], a[35_328], a[37_999], "new"]
+    df = spark.createDataFrame([(a[:36_000], b[:2]), (a[-300:], b)], "a array<string>, b array<string>")
+    assert [r[0] for r in df.select(text.word_distance(F.col("a"), F.col("b"))).collect()] == [35_998, 300]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_alignment(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 9))] for _ in "ab")
+        table = [list(range(len(b) + 1))]
+        for i, x in enumerate(a, 1):
+            table.append([i])
+            for j, y in enumerate(b, 1):
+                table[i].append(min(table[i - 1][j - 1] + (x != y), table[i - 1][j] + 1, table[i][j - 1] + 1))
+        i, j, counts = len(a), len(b), [0, 0, 0, 0]
+        while i or j:
+            if i and j and table[i][j] == table[i - 1][j - 1] + (a[i - 1] != b[j - 1]):
+                counts[int(a[i - 1] != b[j - 1])] += 1
+                i, j = i - 1, j - 1
+            elif i and table[i][j] == table[i - 1][j] + 1:
+                counts[2], i = counts[2] + 1, i - 1
+            else:
+                counts[3], j = counts[3] + 1, j - 1
+        assert text.align(a, b) == tuple(counts)
+    assert text.align(["a"] * 3000, ["a"] * 2999 + ["b"]) == (2999, 1, 0, 0)
+
+
+def test_points_in_overlapping_segments(spark):
+    rng = random.Random(3)
+    points = [(t, rng.randint(0, 10_000)) for t in (1, 2) for _ in range(100)]
+    spans = [(t, i, s, s + rng.choice([0, 1, 50, 4000])) for t in (1, 2, 3) for i, s in enumerate(rng.sample(range(9000), 12))]
+    found = segments.contained(spark.createDataFrame(points, "track_id int, at_ms long"), spark.createDataFrame(spans, "track_id int, index int, start_ms long, end_ms long"), slot=700)
+    assert sorted((r["track_id"], r["at_ms"], r["index"]) for r in found.collect()) == sorted((t, p, i) for t, p in points for u, i, a, b in spans if t == u and a <= p < b)
+
+
+def test_harmonicity_of_frames_beside_a_contour(spark):
+    tone = np.sin(2 * np.pi * 220 * np.arange(4000) / 16000).tolist()
+    hnr = pitch.hnr_frames(spark.createDataFrame([(1, tone)], "track_id int, samples array<double>"), 2048, 512)
+    contour = frames(spark, [(1, i, 220.0, True, None) for i in range(6)]).drop("hnr_db")
+    padded = {r["frame_idx"]: r["hnr_db"] for r in pitch.with_hnr(contour, hnr).collect()}
+    assert [padded[i] is not None and padded[i] > 10 for i in range(6)] == [True] * 4 + [False] * 2
+    assert pitch.with_hnr(contour, hnr, pad=False).count() == 4
+
+
 def test_checkpoints(spark):
     names = [("a", "G_1.pth"), ("a", "D_1.pth"), ("b", "G_2.pth"), ("b", "voice.pth"), ("b", "b.index"), ("b", "added_z.index"), ("c", "._G_3.pth"), ("c", "readme")]
     files = spark.createDataFrame(names, "folder string, name string")
