@@ -36,15 +36,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(rows: DataFrame, lookup: DataFrame, on: list[tuple[str, str]], n: str, total: int) -> DataFrame:
+def spread(rows: DataFrame, lookup: DataFrame, on: list[tuple[str, str]], n: str, total: int, largest: int | None = None) -> DataFrame:
     """Inner join of ``rows``, ``total`` in number, with ``lookup``, which has one row a key and in ``n`` how many rows have it.
 
     A key with over a tenth of a task's rows isn't shuffled: its rows stay where they are and the row of ``lookup`` is
-    sent to them. There are at most 10 x tasks such keys. Names of columns must differ.
+    sent to them. There are at most 10 x tasks such keys. Names of columns must differ. ``largest``, if known, is what no
+    key has more rows than; without a hot key one join does.
     """
     most = max(LEAST_JOINED, total // (10 * shuffle_partitions(rows.sparkSession)))
     same = functools.reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in on])
-    if total <= most:  # so no key has more
+    if (total if largest is None else largest) <= most:  # so no key has more
         return rows.join(lookup, same)
     hot = F.broadcast(lookup.where(F.col(n) > most))
     cold = rows.join(F.broadcast(lookup.where(F.col(n) > most).select(*[b for _, b in on])), same, "left_anti")

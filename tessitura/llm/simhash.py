@@ -260,28 +260,35 @@ def links(classes: DataFrame, most: int = 4, parts: int = 1, limit: int | None =
     return keyed.repartition(tasks, "_key").sortWithinPartitions("_key").mapInArrow(shared.lean(run), "a long, b long")
 
 
+def _shape(state: DataFrame) -> tuple[bool, int, int, int]:
+    """Of links (u, v) with u > v: is each node's only link one to a root, how many links, most links of a node in all and to smaller ones."""
+    ends = state.select(F.col("u").alias("w"), F.lit(1).alias("up")).union(state.select(F.col("v").alias("w"), F.lit(0).alias("up")))
+    nodes = ends.groupBy("w").agg(F.sum("up").alias("ups"), F.count("*").alias("n"))
+    open_ = F.coalesce(F.max((F.col("ups") > 1) | (F.col("ups") > 0) & (F.col("n") > F.col("ups"))), F.lit(False))
+    found = nodes.agg(open_.alias("open"), *[F.coalesce(x, F.lit(0)).alias(c) for x, c in ((F.sum("ups"), "links"), (F.max("n"), "n"), (F.max("ups"), "ups"))]).first()
+    return not found["open"], found["links"], found["n"], found["ups"]
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the least node that it reaches.
 
-    Alternating large-star and small-star steps; each round is written to the shared folder, so lineage stays short and a
-    lost executor costs one at most. Links of a hub stay where they are, and the hub's least neighbour is sent to them.
-    Nothing but two numbers a round comes to the driver.
+    Alternating large-star and small-star steps, until every node's only link is one to its root; each round is written to
+    the shared folder, so lineage stays short and a lost executor costs one at most. Links of a hub stay where they are, and
+    the hub's least neighbour is sent to them. Nothing but four numbers a round comes to the driver.
     """
     state = shared.cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    seen = (state.count(), None)
     for _ in range(most_rounds):
+        done, total, degree, ups = _shape(state)
+        if done:
+            return state.select(F.col("u").alias("node"), F.col("v").alias("root"))
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"), "n")
-        large = shared.spread(both.where("v > u"), low, [("u", "w")], "n", 2 * seen[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = shared.spread(both.where("v > u"), low, [("u", "w")], "n", 2 * total, degree).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        small = shared.spread(large, least, [("u", "w")], "n", 2 * seen[0]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = shared.spread(large, least, [("u", "w")], "n", 2 * total, ups).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         fresh = shared.cut(small.union(least.select("w", "m")).distinct(), "edges")
         shared.discard(state)
         state = fresh
-        mark = tuple(state.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if mark == seen:
-            return state.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = mark
     raise RuntimeError(f"no fixed point after {most_rounds} rounds")
 
 
