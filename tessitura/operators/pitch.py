@@ -5,11 +5,12 @@ Every window function is partitioned by track, so tracks spread over the cluster
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessitura.functions import music
-from tessitura.operators import signal
+from tessitura.operators import models, signal
 
 TRACK = "track_id"
 
@@ -95,6 +96,25 @@ def with_hnr(contour: DataFrame, hnr: DataFrame, pad: bool = True) -> DataFrame:
     return contour.join(hnr.select(TRACK, "frame_idx", "hnr_db"), [TRACK, "frame_idx"], "left" if pad else "inner")
 
 
+def contours(signals: DataFrame, name: str | None = None, length: int = 2048, hop: int = 256, sr: float = 16000, fmin: float = 65.0, fmax: float = 1500.0) -> DataFrame:
+    """DSP4: ``track_id, frame_idx, f0_hz, voiced`` of signals (``track_id, samples`` at ``sr``); an unvoiced frame has 0 Hz.
+
+    ``name`` is a pitch tracker registered as ``models.register("pitch", name, ...)`` that takes whole signals and returns
+    these columns. Without one, each frame has the pitch of its autocorrelation, and no frame knows its neighbours.
+    """
+    track = signals.schema[TRACK].dataType.simpleString()
+    schema = f"{TRACK} {track}, frame_idx int, f0_hz double, voiced boolean"
+    if name is not None:
+        return models.apply(signals.select(TRACK, "samples"), "pitch", name, schema)
+
+    @F.pandas_udf("double")
+    def pitch_of(x: pd.Series) -> pd.Series:
+        return pd.Series([None if a is None else signal.autocorrelation_f0(a, sr, fmin, fmax) for a in x], dtype="float64")
+
+    rows = signal.frames(signals.select(TRACK, "samples"), length, hop).select(TRACK, "frame_idx", pitch_of("frame").alias("_hz"))
+    return rows.select(TRACK, "frame_idx", F.coalesce("_hz", F.lit(0.0)).alias("f0_hz"), F.col("_hz").isNotNull().alias("voiced"))
+
+
 def hnr_frames(signals: DataFrame, length: int = 2048, hop: int = 256, sr: float = 16000, method: str = "autocorrelation", **limits) -> DataFrame:
     """W0, UDF13: ``track_id, frame_idx, hnr_db`` of signals (``track_id, samples`` at ``sr``)."""
     rows = signal.frames(signals.select(TRACK, "samples"), length, hop)

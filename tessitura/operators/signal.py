@@ -53,6 +53,29 @@ def cepstral_hnr(x: np.ndarray, sr: float, fmin: float = 65.0, fmax: float = 150
     return 20 * math.log10(abs(float(part.max())) / floor + 1e-10)
 
 
+def autocorrelation_f0(x: np.ndarray, sr: float, fmin: float = 65.0, fmax: float = 1500.0, least: float = 0.5) -> float | None:
+    """Pitch of one frame from the highest correlation, refined by a parabola; None where it is under ``least`` of the power.
+
+    A lag overlaps less of the frame the longer it is, so correlations are scaled by the overlap. Of peaks within a tenth
+    of the highest one the shortest lag counts, as multiples of a period correlate alike.
+    """
+    found = lags(len(x), sr, fmin, fmax, len(x) // 2)
+    centred = np.asarray(x, float) - np.mean(x) if len(x) else np.zeros(0)
+    power = float(centred @ centred)
+    if found is None or power < 1e-10:
+        return None
+    size = 1 << (2 * len(centred) - 1).bit_length()
+    spectrum = np.fft.rfft(centred, size)
+    at = np.arange(found.start - 1, found.stop + 1)
+    part = np.fft.irfft(spectrum * spectrum.conj(), size)[at] / power * len(x) / (len(x) - at)
+    peaks = 1 + np.flatnonzero((part[1:-1] >= part[:-2]) & (part[1:-1] > part[2:]))
+    if not len(peaks) or part[peaks].max() < least:
+        return None
+    i = int(peaks[part[peaks] >= 0.9 * part[peaks].max()][0])
+    a, b, c = part[i - 1 : i + 2]
+    return float(sr / (at[i] + 0.5 * (a - c) / (a - 2 * b + c)))
+
+
 def spectral_hnr(x: np.ndarray, sr: float, f0: float | None, harmonics: int = 10, bandwidth: float = 40.0) -> float | None:
     """DSP3 for one frame: energy near the harmonics of f0 over the rest; None where it isn't finite."""
     if f0 is None or not f0 > 0:
@@ -111,6 +134,23 @@ def fit_length(samples, n) -> Column:
     return F.concat(F.slice(s, F.lit(1), n), F.array_repeat(F.lit(0.0), F.greatest(n - F.size(s), F.lit(0))))
 
 
+def noise_gate(samples, threshold_db: float = -40.0, block: int = 1024) -> Column:
+    """DSP6: zeros for every block of samples whose RMS is at most the threshold; the rest stays.
+
+    An approximation: attack, release and ratio of the usual gates aren't specified, so none is made up.
+    """
+    s = col(samples)
+    limit = 10 ** (threshold_db / 20)
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(s) / block) - 1, F.lit(0)).cast("int"))
+
+    def gated(i: Column) -> Column:
+        part = F.slice(s, i * block + 1, F.lit(block))
+        power = F.try_divide(dot(part, part), F.size(part))
+        return F.when(power > limit * limit, part).otherwise(F.transform(part, lambda x: x * 0))
+
+    return F.when(F.size(s) > 0, F.flatten(F.transform(starts, gated))).otherwise(s)
+
+
 def to_pcm16(samples) -> Column:
     """FN9, FN8: floats of full scale 1 as 16-bit numbers, clipped."""
     return F.transform(col(samples), lambda x: F.greatest(F.lit(-32768), F.least(F.lit(32767), F.floor(x * 32768).cast("int"))))

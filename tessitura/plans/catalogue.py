@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessitura.functions import music, text
 from tessitura.operators import jobs, pitch, segments, signal
 from tessitura.operators.text_eval import evaluate_pairs
-from tessitura.plans import proxies, tracks
+from tessitura.plans import batch, proxies, tracks
 from tessitura.session import table
 
 #: Five frames a window, and thresholds that all bind on the test tables.
@@ -258,9 +258,9 @@ def signal_overlay(spark, d):
 
 
 def non_silent(spark, d):
-    """Signals as levels of 10 ms each; 50 ms under -3 dB are a silence."""
+    """Signals as levels of 10 ms each; 50 ms under -18 dB are a silence, which is about the median level."""
     s = proxies.signals(spark, d).select("track_id", F.posexplode("samples").alias("i", "x"))
-    return segments.non_silent(s.select("track_id", (F.col("i") * 10).alias("at_ms"), F.col("x").cast("double").alias("rms")), -3.0, 50, 10)
+    return segments.non_silent(s.select("track_id", (F.col("i") * 10).alias("at_ms"), F.col("x").cast("double").alias("rms")), -18.0, 50, 10)
 
 
 def f0_with_hnr(spark, d):
@@ -271,12 +271,38 @@ def f0_with_hnr(spark, d):
     return padded.select("track_id", "frame_idx", "hnr_db", F.lit("pad").alias("rule")).unionByName(cut.select("track_id", "frame_idx", "hnr_db", F.lit("cut").alias("rule")))
 
 
+def noise_gate(spark, d):
+    """Blocks of 8 samples under -18 dB become silence, which is about half of them."""
+    s = proxies.signals(spark, d).select("track_id", F.col("samples").cast("array<double>").alias("samples"))
+    gated = s.select("track_id", signal.noise_gate("samples", -18.0, 8).alias("x"))
+    return gated.select("track_id", F.size("x").alias("n"), F.size(F.filter("x", lambda v: v != 0)).alias("n_heard"), F.bround(F.aggregate("x", F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
+
+
+def _evaluated(spark, d):
+    """Every transcript pair is an item; some lack a file, a readable document or transcripts, some are done already."""
+    pairs = proxies.pairs(spark, d).withColumn("subprefix", F.format_string("run/%d-%d/", "conv_id", "turn")).withColumn("_n", F.col("conv_id") * 10 + F.col("turn"))
+    names = F.array(*map(F.lit, jobs.REQUIRED))
+    listing = pairs.select(F.col("_n"), "subprefix", F.explode(names).alias("name")).where("_n % 7 != 0 or name != 'metadata.json'").select(F.concat("subprefix", "name").alias("path"))
+    document = F.when(F.col("_n") % 11 == 0, "{").when(F.col("_n") % 5 == 0, '{"k":1,"lyrics_eval":null}').otherwise('{"k":1}')
+    transcripts = pairs.withColumn("error", F.when(F.col("_n") % 13 == 0, "none"))
+    return batch.evaluate(listing, pairs.select("subprefix", document.alias("document")), transcripts, details=False)
+
+
+def batch_evaluation(spark, d):
+    found = _evaluated(spark, d).withColumn("recorded", F.get_json_object("document", "$.lyrics_eval.wer").cast("double"))
+    return _r6(found, "wer", "cer", "recorded").select("subprefix", "status", "wer", "cer", "recorded", F.get_json_object("document", "$.k").cast("int").alias("k"))
+
+
+def batch_report(spark, d):
+    return batch.report(_evaluated(spark, d))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         pitch_scale, pitch_windows, trailing_hnr_baseline, stable_windows, stable_range, stable_range_gap1, stable_range_gap2, note_stats, note_run, singer_stats, octave_shift, text_normalize, wer_cer, wer_counts, wer_rates,
         vocal_segments, segment_seconds, segment_overlap_join, reassemble_left, job_plan, job_outcomes, job_summary, file_gate, checkpoint_pick, track_outcomes, track_summary, track_pending, uri_parse, content_key, metadata_json, backend_choice, frame_signal,
-        hnr_autocorr, hnr_cepstral, hnr_spectral, mix_overlay, stem_sum, metadata_upsert, signal_slices, signal_overlay, non_silent, f0_with_hnr,
+        hnr_autocorr, hnr_cepstral, hnr_spectral, mix_overlay, stem_sum, metadata_upsert, signal_slices, signal_overlay, non_silent, f0_with_hnr, noise_gate, batch_evaluation, batch_report,
     )
 }
 
@@ -361,6 +387,12 @@ k AS (SELECT *, list_distinct(string_split(array_to_string(a, ' ') || array_to_s
 c AS (SELECT *, array_to_string(list_transform(string_split(array_to_string(a, ' '), ''), lambda x: chr(CAST(list_position(k, x) AS INT))), '') AS x,
       array_to_string(list_transform(string_split(array_to_string(b, ' '), ''), lambda x: chr(CAST(list_position(k, x) AS INT))), '') AS y FROM k),
 e AS (SELECT c.*, word_edits, levenshtein(x, y) AS char_edits FROM c JOIN d USING (conv_id, turn))"""
+_RATES = """CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(word_edits AS DOUBLE)/len(a), 6) END AS wer,
+CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(char_edits AS DOUBLE)/length(array_to_string(a, ' ')), 6) END AS cer"""
+_EVALUATED = f"""{_PAIRS},
+i AS (SELECT 'run/' || conv_id || '-' || turn || '/' AS subprefix, conv_id * 10 + turn AS n, {_RATES} FROM e),
+s AS (SELECT subprefix, n, CASE WHEN n % 7 = 0 THEN 'skipped_missing' WHEN n % 11 = 0 THEN 'download_error' WHEN n % 5 = 0 THEN 'skipped_already_done' WHEN n % 13 = 0 THEN 'inference_error' ELSE 'ok' END AS status, wer, cer FROM i),
+v AS (SELECT subprefix, n, status, CASE WHEN status = 'ok' THEN wer END AS wer, CASE WHEN status = 'ok' THEN cer END AS cer FROM s)"""
 _LEVELS = """lv AS (SELECT user_id AS track_id, event_id, date_diff('millisecond', (SELECT min(ts) FROM events), ts) AS at_ms FROM events),
 nw AS (SELECT track_id, at_ms, CASE WHEN at_ms - lag(at_ms) OVER (PARTITION BY track_id ORDER BY at_ms) < 43200000 THEN 0 ELSE 1 END AS fresh FROM lv),
 rg AS (SELECT track_id, at_ms, sum(fresh) OVER (PARTITION BY track_id ORDER BY at_ms ROWS UNBOUNDED PRECEDING) AS k FROM nw),
@@ -414,9 +446,15 @@ round_even({_hz('12*log2(high_hz/440)+69 + shift')}, 1) AS shifted_high_hz, move
     "text_normalize": f"SELECT conv_id, turn, {_NORMAL.format('text')} AS normalized FROM conversations",
     "wer_rates": f"""WITH w AS (SELECT conv_id, turn, len({_WORDS.format(_NORMAL.format("coalesce(text, '')"))}) AS n FROM conversations), h AS (SELECT *, n - n // 3 AS hits FROM w)
 SELECT conv_id, turn, CASE WHEN n > 0 THEN round_even((n - hits) / n, 6) END AS mer, CASE WHEN n > 0 THEN round_even(1 - hits / n, 6) END AS wil, CASE WHEN n > 0 THEN round_even(hits / n, 6) END AS wip FROM h""",
+    "noise_gate": """WITH b AS (SELECT vec_id, UNNEST(range(0, len(embedding), 8)) AS o, embedding FROM embeddings),
+g AS (SELECT vec_id, list_transform(embedding[o + 1:o + 8], lambda x: CAST(x AS DOUBLE)) AS p FROM b),
+h AS (SELECT vec_id, len(p) AS n, CASE WHEN list_sum(list_transform(p, lambda x: x * x)) / len(p) > pow(10, -1.8) THEN p END AS p FROM g)
+SELECT vec_id AS track_id, CAST(sum(n) AS INT) AS n, CAST(sum(coalesce(len(list_filter(p, lambda x: x <> 0)), 0)) AS INT) AS n_heard, round_even(sum(coalesce(list_sum(p), 0.0)), 6) AS total FROM h GROUP BY 1""",
+    "batch_evaluation": f"""WITH RECURSIVE {_EVALUATED} SELECT subprefix, status, wer, cer, wer AS recorded, CASE WHEN n % 11 <> 0 THEN 1 END AS k FROM v""",
+    "batch_report": f"""WITH RECURSIVE {_EVALUATED} SELECT count(*) AS total, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status LIKE 'skipped%') AS skipped, count(*) FILTER (status LIKE '%error') AS errors,
+round_even(avg(wer), 6) AS mean_wer, round_even(avg(cer), 6) AS mean_cer, round_even(median(wer), 6) AS median_wer, CAST(count(*) FILTER (status LIKE '%error') > 0 AS INT) AS exit_code FROM v""",
     "wer_cer": f"""WITH RECURSIVE {_PAIRS} SELECT conv_id, turn, word_edits, char_edits,
-CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(word_edits AS DOUBLE)/len(a), 6) END AS wer,
-CASE WHEN len(a) = 0 AND len(b) = 0 THEN 0.0 WHEN len(a) = 0 OR len(b) = 0 THEN 1.0 ELSE round_even(CAST(char_edits AS DOUBLE)/length(array_to_string(a, ' ')), 6) END AS cer,
+{_RATES},
 CASE WHEN len(a) = 0 AND len(b) = 0 THEN 'both texts are empty' WHEN len(a) = 0 OR len(b) = 0 THEN 'one text is empty' END AS note, mismatch AS language_mismatch FROM e""",
     "wer_counts": f"""WITH RECURSIVE {_PAIRS} SELECT conv_id, turn, CASE WHEN len(a) > 0 AND len(b) > 0 THEN word_edits END AS word_edits, CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(a) END AS n_source,
 CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(b) END AS n_converted FROM e""",
@@ -462,7 +500,7 @@ SELECT vec_id AS track_id, CAST(24 AS INT) AS n, round_even(list_sum(x[s + 1:s +
     "signal_overlay": """WITH x AS (SELECT vec_id, embedding AS x, unnest(range(0, 60)) AS i FROM embeddings)
 SELECT vec_id AS track_id, CAST(i AS INT) AS i, round_even(CASE WHEN i < 20 THEN CAST(x[i + 1] AS DOUBLE) ELSE 0 END + CASE WHEN i BETWEEN 10 AND 29 THEN CAST(x[i - 9] AS DOUBLE) ELSE 0 END + CASE WHEN i >= 50 THEN CAST(x[i - 49] AS DOUBLE) ELSE 0 END, 6) AS value FROM x""",
     "non_silent": """WITH x AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS v FROM (SELECT vec_id, embedding, unnest(range(0, 64)) AS i FROM embeddings)),
-w AS (SELECT *, sqrt(avg(v * v) OVER o) <= pow(10, -3 / 20.0) AND count(*) OVER o = 5 AS starts FROM x WINDOW o AS (PARTITION BY vec_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+w AS (SELECT *, sqrt(avg(v * v) OVER o) <= pow(10, -18 / 20.0) AND count(*) OVER o = 5 AS starts FROM x WINDOW o AS (PARTITION BY vec_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
 m AS (SELECT *, bool_or(starts) OVER (PARTITION BY vec_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS silent FROM w),
 g AS (SELECT vec_id, i, i - row_number() OVER (PARTITION BY vec_id ORDER BY i) AS k FROM m WHERE NOT silent)
 SELECT vec_id AS track_id, CAST(min(i) * 10 AS INT) AS start_ms, CAST(max(i) * 10 + 10 AS INT) AS end_ms FROM g GROUP BY vec_id, k""",

@@ -24,14 +24,25 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("raw", F.from_json("raw", schemas.TRACK_METADATA).alias("m")).select("m.*", "raw")
 
 
-def f0_rows(frames: DataFrame) -> DataFrame:
-    """SNK1: the columns of the F0 file as text of fixed decimals; a null HNR is an empty field."""
-    fixed = lambda c, d: F.when(F.col(c).isNotNull(), F.format_string(f"%.{d}f", F.col(c)))
-    return frames.select(fixed("time", 6).alias("time"), fixed("f0_hz", 3).alias("f0_hz"), fixed("f0_midi", 3).alias("f0_midi"), F.col("voiced").cast("int").alias("voiced"), fixed("hnr_db", 2).alias("hnr_db"))
-
-
-def write_f0(frames: DataFrame, path: str) -> None:
-    f0_rows(frames.orderBy("time")).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+def f0_rows(frames: DataFrame, *keep: str) -> DataFrame:
+    """SNK1: the columns of the F0 file as text of fixed decimals; an HNR that is null or not finite is an empty field."""
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
+    fixed = lambda c, d: F.when(finite(c), F.format_string(f"%.{d}f", F.col(c)))
+    return frames.select(*keep, fixed("time", 6).alias("time"), fixed("f0_hz", 3).alias("f0_hz"), fixed("f0_midi", 3).alias("f0_midi"), F.col("voiced").cast("int").alias("voiced"), fixed("hnr_db", 2).alias("hnr_db"))
+
+
+def write_f0(frames: DataFrame, path: str, track: str | None = None) -> None:
+    """SNK1: the F0 file of one track in order of time; with ``track``, a column, a folder for each of its values.
+
+    A track is one task's rows and one file; tracks are dealt over the tasks and none waits for a sort of all.
+    """
+    if track is None:
+        rows = f0_rows(frames.orderBy("time"))
+    else:
+        ordered = frames.repartition(track).sortWithinPartitions(track, "time")
+        rows = f0_rows(ordered, track)
+    out = rows.write.mode("overwrite").option("header", True).option("emptyValue", "")
+    (out if track is None else out.partitionBy(track)).csv(path)
 
 
 def write_segments(segments: DataFrame, path: str) -> None:

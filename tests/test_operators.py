@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessitura.functions import music, text
 from tessitura.operators import jobs, models, pitch, segments, signal
 from tessitura.operators.text_eval import evaluate_pairs
+from tessitura.plans import batch
 
 
 def one(spark, **columns):
@@ -274,3 +275,50 @@ def test_models_plug_in(spark):
         models.apply(rows, "transcribe", "unknown", "id long")
     with pytest.raises(ValueError):
         jobs.check_backend("unknown", models.SEPARATION)
+
+
+def test_contours_of_tones(spark):
+    tone = lambda hz: (0.5 * np.sin(2 * np.pi * hz * np.arange(8192) / 16000) + 0.2 * np.sin(4 * np.pi * hz * np.arange(8192) / 16000)).tolist()
+    noise = np.random.default_rng(1).normal(size=8192).tolist()
+    signals = spark.createDataFrame([(1, tone(110.0)), (2, tone(441.5)), (3, noise), (4, [0.0] * 8192), (5, []), (6, None)], "track_id int, samples array<double>")
+    found = pitch.contours(signals).groupBy("track_id").agg(F.avg("f0_hz").alias("hz"), F.count_if("voiced").alias("voiced"), F.count("*").alias("n")).collect()
+    got = {r["track_id"]: r for r in found}
+    assert set(got) == {1, 2, 3, 4} and abs(got[1]["hz"] - 110) < 1 and abs(got[2]["hz"] - 441.5) < 2
+    assert got[1]["voiced"] == got[1]["n"] == 25 and got[3]["voiced"] == got[4]["voiced"] == 0
+
+
+def test_pitch_tracker_plugs_in(spark):
+    models.register("pitch", "fixed", lambda: lambda rows: pd.DataFrame({"track_id": rows["track_id"], "frame_idx": 0, "f0_hz": 220.0, "voiced": True}))
+    signals = spark.createDataFrame([(1, [0.0])], "track_id int, samples array<double>")
+    assert [tuple(r) for r in pitch.contours(signals, "fixed").collect()] == [(1, 0, 220.0, True)]
+
+
+def test_chain_of_separations(spark):
+    def halves():
+        return lambda rows: pd.DataFrame({"track_id": rows["track_id"], "vocals": [np.array(x) / 2 for x in rows["samples"]], "instrumental": [np.array(x) / 2 for x in rows["samples"]]})
+
+    models.register("separation", "one", halves)
+    models.register("separation", "two", halves)
+    rows = spark.createDataFrame([(1, [1.0, -2.0]), (2, [])], "track_id int, samples array<double>")
+    got = {r["track_id"]: (r["vocals"], r["instrumental"]) for r in models.separate_chain(rows, "one", "two").collect()}
+    assert got == {1: ([0.25, -0.5], [0.75, -1.5]), 2: ([], [])}
+    left = models.residual(spark.createDataFrame([([1.0, 2.0], [0.25])], "samples array<double>, vocals array<double>")).first()
+    assert left["instrumental"] == [0.75, 2.0]
+
+
+def test_raw_samples_where_a_model_failed(spark):
+    rows = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0])], "track_id int, samples array<double>")
+    done = spark.createDataFrame([(1, [0.5])], "track_id int, clean array<double>")
+    got = {r["track_id"]: (r["samples"], r["processed"]) for r in models.with_fallback(rows, done, "samples", "clean").collect()}
+    assert got == {1: ([0.5, 0.0, 0.0], True), 2: ([1.0], False)}
+
+
+def test_noise_gate_keeps_lengths(spark):
+    rows = spark.createDataFrame([(1, [0.001, 0.001, 0.5, 0.5, 0.001]), (2, []), (3, None)], "id int, x array<double>")
+    got = {r["id"]: r["y"] for r in rows.select("id", signal.noise_gate("x", -40, 2).alias("y")).collect()}
+    assert got == {1: [0.0, 0.0, 0.5, 0.5, 0.0], 2: [], 3: None}
+
+
+def test_report_lines(spark):
+    results = spark.createDataFrame([("ok", 0.5, 0.25), ("skipped_missing", None, None), ("download_error", None, None)], "status string, wer double, cer double")
+    assert batch.lines(results) == ["total: 3", "ok: 1", "skipped: 1", "errors: 1", "mean_wer: 0.5", "mean_cer: 0.25", "median_wer: 0.5", "exit_code: 1"]

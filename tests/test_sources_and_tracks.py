@@ -37,6 +37,51 @@ def test_channels(channels):
     assert audio.decode(data, 1)[1].shape == (1, 50) and audio.decode(data, 2)[1].shape == (2, 50) and audio.decode(data, None)[1].shape == (channels, 50)
 
 
+@pytest.mark.parametrize("rates", [(44100, 16000), (16000, 44100), (48000, 44100)])
+def test_resampling(rates):
+    tone = lambda rate, hz: np.sin(2 * np.pi * hz * np.arange(rate // 4) / rate)
+    got = audio.resample(np.stack([tone(rates[0], 440), tone(rates[0], 1000)]), *rates)
+    want = np.stack([tone(rates[1], 440), tone(rates[1], 1000)])
+    assert got.shape == want.shape and np.abs(got - want)[:, 500:-500].max() < 1e-4
+    assert audio.resample(np.zeros((1, 0)), *rates).shape == (1, 0)
+
+
+def test_tones_beyond_the_lower_rate_go():
+    assert np.abs(audio.resample(np.sin(2 * np.pi * 12000 * np.arange(22050) / 44100), 44100, 16000)[500:-500]).max() < 1e-4
+
+
+def test_rates_ranges_and_fallback(spark, tmp_path):
+    wave = np.sin(2 * np.pi * 440 * np.arange(4410) / 44100) * 0.5
+    rows = spark.createDataFrame([("deep/er/a.wav", wave.tolist(), 44100)], "filename string, samples array<double>, sr int")
+    uri = audio.write_files(audio.wav_bytes(rows), str(tmp_path / "out"))
+    assert uri.startswith("file:///") and [p.name for p in (tmp_path / "out").rglob("*") if p.is_file() and not p.name.endswith(".crc")] == ["a.wav"]
+    (tmp_path / "out" / "b.wav").write_bytes(b"other codec")
+    (tmp_path / "out" / "c.wav").write_bytes(b"broken")
+
+    def other(content):
+        if content == b"broken":
+            raise ValueError
+        return 8000, np.zeros(800)
+
+    found = {r["path"].rpartition("/")[2]: r for r in audio.read_wav(spark, str(tmp_path / "out"), recursive=True, rate=16000, fallback=other).collect()}
+    assert {k: (r["sr"], r["samples"] and len(r["samples"])) for k, r in found.items()} == {"a.wav": (16000, 1600), "b.wav": (16000, 1600), "c.wav": (None, None)}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "a.wav").load(uri)
+    path = files.first()["path"]
+    spans = spark.createDataFrame([(path, 10, 20), (path, 90, 200), (path, 150, 200)], "path string, start_ms long, end_ms long")
+    cut = {r["start_ms"]: r["samples"] for r in audio.read_ranges(files, spans).collect()}
+    assert {k: len(v) for k, v in cut.items()} == {10: 441, 90: 441, 150: 0} and np.abs(np.array(cut[10]) - wave[441:882]).max() < 1 / 32768 + 1e-6
+
+
+def test_f0_of_many_tracks(spark, tmp_path):
+    rows = [(t, i, i * 0.016, 440.0, 69.0, True, float("-inf") if i == 0 else 1.0) for i in reversed(range(300)) for t in ("x", "y", "z")]
+    files.write_f0(spark.createDataFrame(rows, schemas.F0_FRAME).repartition(7), str(tmp_path / "f0"), track="track_id")
+    for t in "xyz":
+        (found,) = (tmp_path / "f0" / f"track_id={t}").glob("part-*.csv")
+        lines = found.read_text().split("\n")
+        assert lines[:2] == ["time,f0_hz,f0_midi,voiced,hnr_db", "0.000000,440.000,69.000,1,"]
+        assert [float(x.split(",")[0]) for x in lines[1:301]] == [round(i * 0.016, 6) for i in range(300)]
+
+
 def test_csv_files(spark, tmp_path):
     (tmp_path / "vad.csv").write_text("start_ms,end_ms\n0,1500\n2000,2500\n")
     assert [tuple(r) for r in files.read_vad_ms(spark, str(tmp_path / "vad.csv")).collect()] == [(0, 1500), (2000, 2500)]
