@@ -42,27 +42,26 @@ def word_distance(a: Column, b: Column) -> Column:
 def align(a: list[str], b: list[str]) -> tuple[int, int, int, int]:
     """Hits, substitutions, deletions, insertions of one best alignment; ties prefer the diagonal, then deletion.
 
-    A row of distances at a time, and one byte for each step of the way back.
+    A row of distances at a time; hits and substitutions on the best way to a place travel with it, so memory is in
+    proportion to the longer text and not to the product of both.
     """
     known: dict[str, int] = {}
     x, y = (np.array([known.setdefault(w, len(known)) for w in words], np.int64) for words in (a, b))
     at = np.arange(len(y) + 1)
-    last, steps = at.copy(), np.full((len(x), len(y) + 1), 2, np.uint8)
-    for i in range(len(x)):
-        diagonal, down = last[:-1] + (y != x[i]), last + 1
+    last, hits, replaced = at.copy(), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    for word in x:
+        differs = y != word
+        diagonal, down = last[:-1] + differs, last + 1
         best = down.copy()
         np.minimum(best[1:], diagonal, out=best[1:])
         row = np.minimum.accumulate(best - at) + at  # from the left: one more for each place
-        steps[i][row == down] = 1
-        steps[i][1:][row[1:] == diagonal] = 0
+        across = np.r_[False, row[1:] == diagonal]
+        origin = np.maximum.accumulate(np.where(across | (row == down), at, 0))  # where the insertions before a place begin
+        hits = np.where(across, np.r_[0, hits[:-1] + ~differs], hits)[origin]
+        replaced = np.where(across, np.r_[0, replaced[:-1] + differs], replaced)[origin]
         last = row
-    i, j, counts = len(x), len(y), [0, 0, 0, 0]
-    while i:
-        step = steps[i - 1, j]
-        counts[int(x[i - 1] != y[j - 1]) if step == 0 else int(step) + 1] += 1
-        i, j = i - (step < 2), j - (step != 1)
-    counts[3] += j
-    return tuple(int(n) for n in counts)
+    both = int(hits[-1] + replaced[-1])
+    return int(hits[-1]), int(replaced[-1]), len(x) - both, len(y) - both
 
 
 _COUNTS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("hits", "substitutions", "deletions", "insertions")])
