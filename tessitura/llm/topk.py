@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 
 from tessitura.llm import shared
 
-#: Pivots at most, and rows of the sample on which they are placed and first bounds are taken, per pivot.
+#: Pivots at most, and rows of the sample on which they are placed, per pivot, and numbers in that sample at most.
 PIVOTS = 1024
 SAMPLE_PER_PIVOT = 16
-#: Queries of a group and vectors of a block in a local problem, about.
-GROUP, BLOCK = 64, 65_536
+SAMPLE_NUMBERS = 2**22
+#: Queries of a cell, about; vectors of a local problem and their bytes as 32-bit numbers, at most.
+GROUP, BLOCK, BLOCK_BYTES = 64, 262_144, 64_000_000
+#: Local problems that a table is split into even if fewer would do, and vectors that make another one worth it.
+SPLIT, WORTH = 64, 2048
+#: Stands for a score that isn't known.
+NOTHING, LAST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+#: Rows and queries whose products are in memory at once, and rows of which only the highest score is looked at first.
+ROWS, QUERIES, STRIDE = 2048, 512, 32
 
 
 def quantised(vectors: DataFrame, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -40,16 +47,39 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def _bytes(x: np.ndarray) -> pa.Array:
+    """Each row as one binary value."""
+    raw, each = np.ascontiguousarray(x).tobytes(), x.shape[1] * x.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(np.arange(len(x) + 1, dtype=np.int32) * np.int32(each)), pa.py_buffer(raw)])
+
+
+#: What inner products are taken in, and below what they are whole there.
+KINDS = ((np.float32, 2.0**24), (np.float64, 2.0**53), (np.int64, 2.0**63))
+
+
+def _kind(a: np.ndarray, b: np.ndarray) -> int:
+    """The first of ``KINDS`` in which inner products of rows of these lengths are exact: no partial sum exceeds the product."""
+    a, b = a.max(initial=0), b.max(initial=0)
+    most = max(a * b, a, b) * (1 + 1e-9)
+    for i, (_, below) in enumerate(KINDS):
+        if most < below:
+            return i
+    raise OverflowError("a score doesn't fit in 64 bits")
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products: in doubles while every sum fits in 53 bits."""
+    """Exact inner products."""
     if not len(a) or not len(b):
         return np.zeros((len(a), len(b)), np.int64)
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    if most < 2**53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    if most < 2**63:
-        return a @ b.T
-    raise OverflowError("a score doesn't fit in 64 bits")
+    kind = KINDS[_kind(_norms(a), _norms(b))][0]
+    return (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
+
+
+def _norms(x: np.ndarray) -> np.ndarray:
+    out = np.empty(len(x))
+    for at in range(0, len(x), ROWS):
+        out[at : at + ROWS] = np.sqrt((x[at : at + ROWS].astype(np.float64) ** 2).sum(1))
+    return out
 
 
 def _place(sample: np.ndarray, n: int) -> np.ndarray:
@@ -69,187 +99,239 @@ def _place(sample: np.ndarray, n: int) -> np.ndarray:
 
 
 def _nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = x.astype(np.float64)
-    square = (x**2).sum(1)[:, None] - 2 * x @ pivots.T + (pivots**2).sum(1)
-    cell = square.argmin(1)
-    return cell, np.sqrt(((x - pivots[cell]) ** 2).sum(1))
+    """The nearest pivot of each row and how far it is; a step of rows at a time, so memory doesn't follow the batch."""
+    cell, far, square = np.zeros(len(x), np.int64), np.zeros(len(x)), (pivots**2).sum(1)
+    for at in range(0, len(x), ROWS):
+        step = x[at : at + ROWS].astype(np.float64)
+        cell[at : at + ROWS] = near = (square - 2 * step @ pivots.T).argmin(1)
+        far[at : at + ROWS] = np.sqrt(((step - pivots[near]) ** 2).sum(1))
+    return cell, far
+
+
+def _chain(points: np.ndarray) -> list[int]:
+    """The points in an order in which neighbours are near each other: always on to the nearest one left."""
+    left, out = np.ones(len(points), bool), [0]
+    while len(out) < len(points):
+        left[out[-1]] = False
+        out.append(int(np.where(left, ((points - points[out[-1]]) ** 2).sum(1), np.inf).argmin()))
+    return out
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k highest scores, ties to the smaller id; ids ascend."""
-    if len(scores) > k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        some = np.flatnonzero(scores >= least)
-        return some[np.argsort(-scores[some], kind="stable")[:k]]
-    return np.argsort(-scores, kind="stable")
+def _needed_of_equals(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Places of the rows that can be among the k best of any query: of equal vectors the 2 k with the least ids, k of one id.
+
+    No query takes rows of its own id: k of the 2 k are left to it. Equal rows stand in ascending order of their ids.
+    """
+    hashes, factors = np.empty(len(x), np.uint64), shared.mix(np.arange(1, x.shape[1] + 1, dtype=np.uint64))
+    for at in range(0, len(x), ROWS):
+        hashes[at : at + ROWS] = (x[at : at + ROWS].astype(np.int64).view(np.uint64) * factors).sum(1, dtype=np.uint64)
+    order = np.argsort(hashes, kind="stable")
+    equal = np.r_[False, hashes[order][1:] == hashes[order][:-1]]
+    alike = np.flatnonzero(equal)
+    for at in range(0, len(alike), ROWS):  # two vectors of one hash only leave more rows
+        these = alike[at : at + ROWS]
+        equal[these] = (x[order[these]] == x[order[these - 1]]).all(1)
+    again = equal & np.r_[False, ids[order][1:] == ids[order][:-1]]
+    place = np.arange(len(x))
+    few = place - shared.leaders(again) < k
+    order, equal = order[few], shared.leaders(equal)[few]
+    equal = np.r_[False, equal[1:] == equal[:-1]]
+    return np.sort(order[np.arange(len(order)) - shared.leaders(equal) < 2 * k])
+
+
+class _Block:
+    """Vectors of a local problem, by cells, and the k best of them for queries that come in any number."""
+
+    def __init__(self, ids, cells, x, k, bounds):
+        few = _needed_of_equals(ids, x, k)
+        if len(few) < len(x):
+            ids, cells, x = ids[few], cells[few], x[few]
+        self.ids, self.x, self.k, self.bounds = ids, x, k, bounds
+        starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+        self.cells, self.spans = cells[starts], list(zip(starts.tolist(), [*starts[1:].tolist(), len(cells)], strict=True))
+        self.lengths, self.kind, self.cast = _norms(self.x), -1, None
+
+    def numbers(self, q):
+        """The vectors in numbers in which scores of ``q`` are exact; larger ones stay for the queries that follow."""
+        if (kind := _kind(self.lengths, _norms(q))) > self.kind:
+            self.kind, self.cast = kind, self.x.astype(KINDS[kind][0])
+        return KINDS[self.kind][0], self.cast
+
+    def best(self, own, q, sure):
+        """``query, id, score`` of the k best among those that reach ``sure``; ties go to the smaller id."""
+        kind, x = self.numbers(q)
+        turned, k, n = np.ascontiguousarray(q.astype(kind).T), self.k, len(q)
+        none = NOTHING if kind is np.int64 else -np.inf
+        score, who = np.full((n, k), none, kind), np.full((n, k), LAST)
+        least = np.where(sure == NOTHING, none, sure).astype(kind)
+        floor, last = least.copy(), np.full(n, LAST)
+        wanted = (self.bounds(q, self.cells) >= sure[:, None]).any(0)
+        steps, step = [], STRIDE
+        for (start, stop), want in zip(self.spans, wanted.tolist(), strict=True):
+            if want and steps and steps[-1][1] == start:
+                steps[-1][1] = stop
+            elif want:
+                steps.append([start, stop])
+        for start, stop in steps:
+            while start < stop:
+                end = min(stop, start + step)
+                products = x[start:end] @ turned
+                even = (end - start) // STRIDE * STRIDE
+                tops = products[:even].reshape(-1, STRIDE, n).max(1)
+                if even < end - start:
+                    tops = np.concatenate([tops, products[even:].max(0)[None]])
+                part, j = np.nonzero(tops >= floor)
+                if len(j):
+                    row = (part * STRIDE)[:, None] + np.arange(STRIDE)
+                    inside = row < end - start
+                    found = products[np.where(inside, row, 0), j[:, None]]
+                    at, column = np.nonzero(inside & (found >= floor[j][:, None]))
+                    row, found, j = row[at, column], found[at, column], j[at]
+                    new = self.ids[start + row]
+                    good = ((found > floor[j]) | (new < last[j])) & (new != own[j])
+                    found, j, new = found[good], j[good], new[good]
+                    some = np.unique(j)
+                    j, found, new = np.r_[np.repeat(some, k), j], np.r_[score[some].ravel(), found], np.r_[who[some].ravel(), new]
+                    order = np.lexsort((new, ~found if kind is np.int64 else -found, j))
+                    j, found, new = j[order], found[order], new[order]
+                    rank = np.arange(len(j)) - shared.leaders(np.r_[False, j[1:] == j[:-1]][: len(j)])
+                    keep = rank < k
+                    score[j[keep], rank[keep]], who[j[keep], rank[keep]] = found[keep], new[keep]
+                    full = score[:, -1] >= least
+                    floor, last = np.where(full, score[:, -1], least), np.where(full, who[:, -1], LAST)
+                start, step = end, min(ROWS, 4 * step)
+        at, rank = np.nonzero((who != LAST) | (score != none))
+        return own[at], who[at, rank], score[at, rank].astype(np.int64)
 
 
 def top_k(vectors: DataFrame, queries, k: int = 5, measured: dict | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``vectors`` (``_id``, ``_v``) that meets the condition
     ``queries``, the k rows with the highest inner product, its own id aside; ties go to the smaller id.
 
-    Vectors and queries are grouped by the nearest of at most ``PIVOTS`` pivots. First each query is solved against a
-    block of its own cell, which tells a score that its k-th best doesn't fall below; the pivots' sample tells another.
-    Then, for a group of queries with pivot p and radius R, no score with x exceeds p.x + R|x|, and none with a cell
-    exceeds what the cell's pivot, radius and longest vector allow. A cell goes to a group only if that reaches the least
-    score which the group's queries are sure of, and so does a vector of it. A large group of queries is dealt in parts
-    and the vectors in blocks, so a local problem is bounded however many rows a cell has. Of equal vectors a task sends
-    the k + 1 with the least ids, the only ones that can appear. Fewer than k other vectors: all. Rows with one id are
-    each a candidate and none of their own id's. A score beyond 64 bits is an error.
+    Vectors are grouped by the nearest of at most ``PIVOTS`` pivots. Near cells together make a local problem of at most
+    ``BLOCK`` vectors, a larger cell several; each vector is sent to one. First each query is solved in the problem of
+    the cell whose pivot scores highest, which tells a score that its k-th best doesn't fall below. No score of a query
+    with a vector x of a cell with pivot p and radius R exceeds q.p + |q| R, nor |q| times the cell's longest vector: the
+    query then goes to the other problems that have a cell which reaches the sure score, and there to such cells only.
+    A task holds its vectors, and queries pass by in steps, so its memory follows neither. Fewer than k other vectors:
+    all. Rows with one id are each a candidate and none of their own id's. A score beyond 64 bits is an error.
 
-    ``measured`` gets ``replication``: vectors sent to local problems for each vector there is.
+    ``measured`` gets ``replication``: vectors, of the table and of queries, sent to local problems for each vector there
+    is; ``tasks``: how many such problems; ``visits``: how many of them a query goes to.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score long"
-    vectors = shared.cut(vectors.withColumn("_query", queries), "vectors")
-    size = vectors.agg(F.count("*").alias("n"), F.count_if("_query").alias("q"), F.max(F.size("_v")).alias("d"), F.max(F.aggregate("_v", F.lit(0).cast("long"), lambda a, x: F.greatest(a, F.abs(x)))).alias("top")).first()
-    n, width = size["n"], size["d"] or 0
+    whole = shared.cut(vectors.withColumn("_query", queries), "vectors")
+    size = whole.agg(F.count("*").alias("n"), F.count_if("_query").alias("q"), F.max(F.size("_v")).alias("d"), F.max(F.aggregate("_v", F.lit(0).cast("long"), lambda a, x: F.greatest(a, F.abs(x)))).alias("top")).first()
+    n, width, top = size["n"], max(1, size["d"] or 0), size["top"] or 0
     if not size["q"] or n < 2:
         return spark.createDataFrame([], schema)
+    stored = next(t for t in (np.int8, np.int16, np.int32, np.int64) if top <= np.iinfo(t).max)
     wanted = int(min(PIVOTS, max(1, -(-size["q"] // GROUP), -(-n // BLOCK))))
-    picked = vectors.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_PER_PIVOT * max(wanted, 16)).select("_id", "_v").collect()
-    sample_ids = np.array([r["_id"] for r in picked], np.int64)
-    sample = np.array([list(r["_v"]) + [0] * (width - len(r["_v"])) for r in picked], np.int64).reshape(len(picked), width)
-    order = np.argsort(sample_ids, kind="stable")
-    sample_ids, sample = sample_ids[order], sample[order]
-    pivots = _place(sample, wanted)
-    nothing = np.iinfo(np.int64).min
-
-    def summarise(batches):
+    sampled = max(wanted, min(SAMPLE_PER_PIVOT * max(wanted, 16), SAMPLE_NUMBERS // width))
+    drawn = whole.select("_id", "_v", F.xxhash64("_id", "_v").alias("_hash"))
+    if n > 2 * sampled:  # else every partition would send as many rows as the whole sample has
+        drawn = drawn.where(F.col("_hash") <= int(2.0**64 * min(1.0, (1.5 * sampled + 64) / n) - 2.0**63 - 2048)).distinct()
+    picked = drawn.orderBy("_hash", "_id").limit(sampled).select("_v").toArrow().column(0).combine_chunks()
+    pivots = _place(_matrix(picked, width), wanted) if len(picked) else np.zeros((1, width))
+
+    def assign(batches):
         for batch in batches:
-            x, query = _matrix(batch.column(1), width), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            x = _matrix(batch.column(1), width)
             cell, far = _nearest(x, pivots)
-            norm = np.sqrt((x.astype(np.float64) ** 2).sum(1))
-            out = [(j, int((at & query).sum()), float(far[at & query].max(initial=0)), float(far[at].max()), float(norm[at].max())) for j in np.unique(cell).tolist() for at in [cell == j]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))], ["cell", "q", "radius", "far", "norm"])
-
-    cells = vectors.select("_id", "_v", "_query").mapInArrow(shared.lean(summarise), "cell long, q long, radius double, far double, norm double")
-    cells = sorted(cells.groupBy("cell").agg(F.sum("q").alias("q"), F.max("radius").alias("radius"), F.max("far").alias("far"), F.max("norm").alias("norm")).collect())
-    known = [r for r in cells if r["q"]]
-    parts = [-(-r["q"] // GROUP) for r in known]
-    first = np.cumsum([0, *parts])
-    where = {r["cell"]: g for g, r in enumerate(known)}
-    blocks = max(1, -(-n // BLOCK))
-    slack = 1e-9 * (1 + float(size["top"] or 0) ** 2 * width)  # of the bounds, which are doubles
-    radius, centre = np.array([r["radius"] for r in known]), pivots[[r["cell"] for r in known]]
-
-    def packed(rows: dict, ids, x):
-        keys = list(rows)
-        data = [ids[np.array(rows[key], np.int64)].tobytes() + x[np.array(rows[key], np.int64)].tobytes() for key in keys]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([t for t, _ in keys], pa.int32()), pa.array([q for _, q in keys], pa.bool_()), pa.array([len(rows[key]) for key in keys], pa.int64()), pa.array(data, pa.binary())],
-            ["_task", "_queries", "_n", "_data"],
-        )
-
-    def first_of_equals(ids, x):
-        """Of equal vectors the k + 1 with the least ids."""
-        sent = np.zeros(len(x), bool)
-        if len(x):
-            order = np.lexsort((ids, *x.T))
-            same = np.r_[False, (x[order][1:] == x[order][:-1]).all(1)]
-            sent[order[np.arange(len(x)) - shared.leaders(same) <= k]] = True
-        return sent
-
-    def part_of(spread, g):
-        return int(first[g] + int(spread >> np.uint64(20)) % parts[g])
-
-    def at_home(batches):
-        """A block of each cell and the cell's queries."""
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cell.astype(np.int32)), pa.array(far), pa.array(_norms(x)), _bytes(x.astype(stored))], ["_id", "_query", "_cell", "_far", "_norm", "_v"])
+
+    dealt = shared.cut(whole.select("_id", "_v", "_query").mapInArrow(shared.lean(assign), "_id long, _query boolean, _cell int, _far double, _norm double, _v binary"), "cells")
+    shared.discard(whole)
+    cells = dealt.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_far").alias("far"), F.max("_norm").alias("norm")).collect()
+    cells = sorted(cells, key=lambda r: r["_cell"])
+    cells = [cells[i] for i in _chain(pivots[[r["_cell"] for r in cells]])]
+    most = max(1, min(BLOCK, BLOCK_BYTES // (4 * width), -(-n // min(SPLIT, -(-n // WORTH)))))
+    first, parts, tasks, filled = [], [], 0, most + 1
+    for r in cells:  # near cells share a task until it is full, a cell that doesn't fit in one has its own
+        if filled + r["n"] > most:
+            tasks, filled = tasks + 1, 0
+        parts.append(-(-r["n"] // most))
+        first.append(tasks - 1)
+        tasks, filled = tasks + parts[-1] - 1, filled + r["n"]
+    first, parts = np.array(first), np.array(parts)
+    groups = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])  # cells, in the order of the chain, that share their tasks
+    group_of = np.repeat(np.arange(len(groups)), parts[groups])
+    cell_at, centre = np.array([r["_cell"] for r in cells]), pivots[[r["_cell"] for r in cells]]
+    far, norm = np.array([r["far"] for r in cells]), np.array([r["norm"] for r in cells])
+    slack = 1e-9 * (1 + float(top) ** 2 * width)  # of the bounds, which are doubles
+
+    def bounds(q, at):
+        """What no score of a query with a vector of a cell exceeds; cells by their places in the chain."""
+        q = q.astype(np.float64)
+        length = np.sqrt((q**2).sum(1))[:, None]
+        return np.minimum(q @ centre[at].T + length * far[at], length * norm[at]) + slack
+
+    def numbers(column):
+        return np.frombuffer(b"".join(column.to_pylist()), stored).reshape(-1, width)
+
+    def homes(batches):
         for batch in batches:
-            ids, query = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
-            x = _matrix(batch.column(1), width)
-            spread, cell = shared.mix(ids.view(np.uint64)), _nearest(x, pivots)[0]
-            mine = first_of_equals(ids, x) & (spread % np.uint64(blocks) == 0)
-            rows: dict[tuple[int, bool], list[int]] = {}
-            for i, (j, q) in enumerate(zip(cell.tolist(), query.tolist(), strict=True)):
-                if (g := where.get(j)) is None:
-                    continue
-                if q:
-                    rows.setdefault((part_of(spread[i], g), True), []).append(i)
-                for part in range(first[g], first[g + 1]) if mine[i] else ():
-                    rows.setdefault((int(part), False), []).append(i)
-            yield packed(rows, ids, x)
+            ids, q = batch.column(0).to_numpy(), numbers(batch.column(1))
+            home = np.concatenate([(q[at : at + ROWS].astype(np.float64) @ centre.T).argmax(1) for at in range(0, len(q), ROWS)] or [np.zeros(0, np.int64)])
+            task = first[home] + (shared.mix(ids.view(np.uint64)) % parts[home].astype(np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column(1), pa.array(home.astype(np.int32)), pa.array(task.astype(np.int32))], ["_id", "_v", "_cell", "_task"])
 
-    def floors(batches):
-        for batch in batches:
-            ids, x = batch.column(0).to_numpy(), _matrix(batch.column(1), width)
-            cell, _ = _nearest(x, pivots)
-            scores = _products(x, sample)
-            scores[ids[:, None] == sample_ids] = nothing
-            sure = np.partition(scores, len(sample) - k, axis=1)[:, len(sample) - k] if len(sample) > k else np.full(len(x), nothing)
-            sure = np.maximum(sure, batch.column(2).to_numpy())
-            out = [(j, int(sure[cell == j].min())) for j in np.unique(cell).tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in (0, 1)], ["cell", "floor"])
-
-    def deal(batches):
+    def visits(batches):
         for batch in batches:
-            ids, query = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
-            x = _matrix(batch.column(1), width)
-            rows: dict[tuple[int, bool], np.ndarray] = {}
-            spread = shared.mix(ids.view(np.uint64))
-            cell = _nearest(x, pivots)[0]
-            reach = x.astype(np.float64) @ centre.T + np.sqrt((x.astype(np.float64) ** 2).sum(1))[:, None] * radius
-            sent = first_of_equals(ids, x)
-            block = (spread % np.uint64(blocks)).astype(np.int64)
-            for g in range(len(known)):
-                needed = np.flatnonzero(sent & allowed[cell, g] & (reach[:, g] + slack >= floor[g]))
-                for b in np.unique(block[needed]).tolist():
-                    chosen = needed[block[needed] == b]
-                    for part in range(first[g], first[g + 1]):
-                        rows[int(part) * blocks + b, False] = chosen
-            for i in np.flatnonzero(query).tolist():
-                part = part_of(spread[i], where[int(cell[i])])
-                for b in range(blocks):
-                    rows.setdefault((part * blocks + b, True), []).append(i)
-            yield packed(rows, ids, x)
+            for at in range(0, batch.num_rows, ROWS):
+                step = batch.slice(at, ROWS)
+                sure, home = step.column(4).to_numpy(), step.column(3).to_numpy()
+                need = bounds(numbers(step.column(1)), slice(None)) >= sure[:, None]
+                need = np.logical_or.reduceat(need, groups, axis=1)[:, group_of]
+                need[np.arange(len(need)), home] = False
+                i, task = np.nonzero(need)
+                to = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(need.sum(1))].astype(np.int32)), pa.array(task.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([step.column(0), step.column(1), step.column(2), step.column(4), to], ["_id", "_v", "_cell", "_sure", "_to"])
 
     def solve(batches):
-        def open_(items):
-            ids = np.concatenate([np.frombuffer(d, np.int64, m) for m, d in items])
-            x = np.concatenate([np.frombuffer(d, np.int64, m * width, 8 * m).reshape(m, width) for m, d in items])
-            order = np.argsort(ids, kind="stable")
-            return ids[order], x[order]
-
-        def pair(queries_, data):
-            if not queries_ or not data:
-                return
-            (qi, q), (xi, x) = open_(queries_), open_(data)
-            out = []
-            for at in range(0, len(qi), 64):
-                scores = _products(q[at : at + 64], x)
-                for i, row in zip(qi[at : at + 64].tolist(), scores, strict=True):
-                    others = xi != i
-                    best = np.flatnonzero(others)[_best(row[others], xi[others], k)]
-                    out += [(i, int(xi[j]), int(row[j])) for j in best]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
-
-        now, held = None, {True: [], False: []}
+        now, block, rows = None, None, []  # of one problem at a time
         for batch in batches:
-            for task, is_query, m, data in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-                if task != now:
-                    yield from pair(held[True], held[False])
-                    now, held = task, {True: [], False: []}
-                held[is_query].append((m, data))
-        yield from pair(held[True], held[False])
-
-    def local(run, tasks):
-        dealt = vectors.mapInArrow(shared.lean(run), "_task int, _queries boolean, _n long, _data binary")
+            task, query = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero((task[1:] != task[:-1]) | (query[1:] != query[:-1])) + 1).tolist(), len(task)] if len(task) else [0]
+            for start, stop in zip(edges[:-1], edges[1:], strict=True):
+                if task[start] != now:
+                    now, block, rows, x = task[start], None, [], None
+                if not query[start]:
+                    rows.append((batch.column(2)[start:stop].to_numpy().copy(), batch.column(3)[start:stop].to_numpy().copy(), numbers(batch.column(4)[start:stop])))
+                    continue
+                if block is None and rows:
+                    at, ids, x = (np.concatenate(c) for c in zip(*rows, strict=True))
+                    rows = []
+                    block = _Block(ids, at, x, k, bounds)
+                for at in range(start, stop, QUERIES) if block else ():
+                    these = batch.slice(at, min(QUERIES, stop - at))
+                    found = block.best(these.column(3).to_numpy(), numbers(these.column(4)), these.column(5).to_numpy())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["query_id", "vec_id", "score"])
+
+    place = spark.createDataFrame([(int(c), int(f), int(p), i) for i, (c, f, p) in enumerate(zip(cell_at, first, parts, strict=True))], "_cell int, _first int, _parts int, _at int")
+    held = dealt.select("_id", "_v", "_cell").join(F.broadcast(place), "_cell")
+    held = held.select((F.col("_first") + F.pmod(F.xxhash64("_id", "_v"), F.col("_parts"))).cast("int").alias("_task"), F.lit(False).alias("_is_query"), F.col("_at").alias("_cell"), "_id", "_v", F.lit(NOTHING).alias("_sure"))
+    asked = shared.cut(dealt.where("_query").select("_id", "_v").mapInArrow(shared.lean(homes), "_id long, _v binary, _cell int, _task int"), "queries")
+
+    def local(those):
+        """``those`` queries (``_task, _cell, _id, _v, _sure``) in their local problems."""
         if measured is not None:
-            measured["replication"] = measured.get("replication", 0) + (dealt.where("not _queries").agg(F.sum("_n")).first()[0] or 0) / n
-        dealt = dealt.repartitionById(int(min(tasks, 4 * shared.shuffle_partitions(spark))), F.col("_task")).sortWithinPartitions("_task")
-        return dealt.mapInArrow(shared.lean(solve), "query_id long, vec_id long, score long")
-
-    sure = vectors.where("_query").select("_id", "_v", F.lit(nothing).alias("_sure"))
-    if blocks > 1 or len(known) > 1:  # else one local problem is the whole
-        home = local(at_home, int(first[-1])).groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") >= k)
-        sure = vectors.where("_query").join(home, F.col("_id") == F.col("query_id"), "left").select("_id", "_v", F.coalesce("least", F.lit(nothing)).alias("_sure"))
-    least = {r["cell"]: r["floor"] for r in sure.mapInArrow(shared.lean(floors), "cell long, floor long").groupBy("cell").agg(F.min("floor").alias("floor")).collect()}
-    floor = np.array([least[r["cell"]] for r in known], np.float64)
-    allowed = np.zeros((len(pivots), len(known)), bool)  # what a cell can reach at most, see above
-    for r in cells:
-        allowed[r["cell"]] = centre @ pivots[r["cell"]] + np.sqrt((centre**2).sum(1)) * r["far"] + radius * r["norm"] + slack >= floor
-    found = local(deal, int(first[-1]) * blocks)
+            measured["visits"] = measured.get("visits", 0) + those.count() / size["q"]
+            measured["replication"] = measured.get("replication", 0) + 1 + those.count() / n
+            measured["tasks"] = tasks
+        both = held.unionByName(those.withColumn("_is_query", F.lit(True)))
+        both = both.repartitionById(tasks, F.col("_task")).sortWithinPartitions("_task", "_is_query", "_cell", "_id")
+        return both.mapInArrow(shared.lean(solve), "query_id long, vec_id long, score long")
+
+    found = local(asked.withColumn("_sure", F.lit(NOTHING)))
+    if tasks > 1:  # else one local problem is the whole
+        found = shared.cut(found, "home")
+        home = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        sure = found.withColumn("_rank", F.row_number().over(home)).where(F.col("_rank") == k).select("query_id", F.col("score").alias("_sure"))
+        known = asked.join(sure, F.col("_id") == F.col("query_id"), "left").select("_id", "_v", "_cell", "_task", F.coalesce("_sure", F.lit(NOTHING)).alias("_sure"))
+        there = known.mapInArrow(shared.lean(visits), "_id long, _v binary, _cell int, _sure long, _to array<int>")
+        found = found.unionByName(local(there.select("_id", "_v", "_cell", "_sure", F.explode("_to").alias("_task"))))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

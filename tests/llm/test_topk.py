@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 
 import brute
 import numpy as np
@@ -89,3 +90,68 @@ def test_scores_beyond_doubles():
     assert topk._products(a, a)[0, 1] == 2**30 * (2**30 + 1) - 1
     with pytest.raises(OverflowError):
         topk._products(a * 2**10, a)
+
+
+def test_vectors_without_clusters_are_sent_twice(spark, monkeypatch):
+    """No bound rules a cell out: still no copy of the table goes to every group of queries."""
+    monkeypatch.setattr(topk, "GROUP", 4)
+    monkeypatch.setattr(topk, "BLOCK", 100)
+    rng = random.Random(1)
+    rows = [(i, [rng.gauss(0, 0.125) for _ in range(16)], 0) for i in range(2000)]
+    measured = {}
+    out = topk.top_k(topk.quantised(table(spark, rows)), F.col("_id") % 50 == 0, 5, measured)
+    assert sorted(tuple(r) for r in out.collect()) == brute.top_k(whole(rows), lambda i: i % 50 == 0, 5)
+    assert measured["replication"] < 4
+
+
+def test_queries_go_to_few_local_problems_with_clusters(spark, monkeypatch):
+    monkeypatch.setattr(topk, "GROUP", 4)
+    monkeypatch.setattr(topk, "BLOCK", 100)
+    rng = random.Random(0)
+    centres = [[rng.gauss(0, 5) for _ in range(16)] for _ in range(20)]
+    rows = [(i, [x + rng.gauss(0, 0.2) for x in centres[i % 20]], 0) for i in range(2000)]
+    measured = {}
+    topk.top_k(topk.quantised(table(spark, rows)), F.col("_id") % 50 == 0, 5, measured)
+    assert measured["tasks"] >= 20 and measured["visits"] < measured["tasks"] / 3
+
+
+def test_memory_does_not_follow_batch_or_pivots():
+    rng = np.random.default_rng(0)
+    x = rng.integers(-256, 256, (20_000, 8))
+    tracemalloc.start()
+    topk._nearest(x, x[:1024].astype(float))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80e6
+
+
+def test_memory_with_ties_everywhere():
+    """Every score of a step reaches the floor: what is looked at stays a step."""
+    x = np.random.default_rng(0).integers(-1, 2, (50_000, 12)).astype(np.int8)
+    block = topk._Block(np.arange(len(x)), np.zeros(len(x), int), x, 5, lambda q, at: np.full((len(q), len(at)), np.inf))
+    tracemalloc.start()
+    own, who, score = block.best(np.arange(512), x[:512], np.full(512, topk.NOTHING))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 150e6
+    wide = x.astype(int)
+    for i in (0, 100, 511):
+        products = wide @ wide[i]
+        products[i] = -1000
+        best = np.lexsort((np.arange(len(x)), -products))[:5]
+        assert who[own == i].tolist() == best.tolist() and score[own == i].tolist() == products[best].tolist()
+
+
+def test_copies_with_one_id_hide_no_other(spark):
+    """Seven rows of a query's id stand before the only row that it may return."""
+    rows = [(0, [1.0, 0.5], 1)] * 7 + [(1, [1.0, 0.5], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1)
+    got = topk.top_k(topk.quantised(df), F.col("_id") % 3 == 0).collect()
+    assert len(got) == 5 and {(r["query_id"], r["vec_id"]) for r in got} == {(0, 1)}
+
+
+def test_scores_beyond_53_bits(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 20)
+    rng = random.Random(2)
+    rows = [(i, [float(rng.randint(-(2**20), 2**20)) for _ in range(4)], 0) for i in range(100)]
+    assert found(spark, rows) == brute.top_k(whole(rows), lambda i: i % 3 == 0, 5)
