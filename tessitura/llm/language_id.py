@@ -126,10 +126,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             c = np.zeros(DIMENSIONS)
             c[np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["n"], np.uint32)
             mine.append(c)
-    by = {k: v for k, v in by.items() if v}
-    counts = {k: np.array(v, np.float64) for k, v in by.items()}
-    every = np.concatenate(list(counts.values())) if counts else np.zeros((0, DIMENSIONS))
-    model = Model([], np.zeros((0, DIMENSIONS)), np.log((1 + len(every)) / (1 + (every > 0).sum(0))) + 1, np.zeros((LENGTHS, 0)))
+    del rows
+    counts = {k: np.array(by.pop(k), np.float64) for k in list(by)}  # the sample is held once: it is the driver's memory
+    many, seen = sum(map(len, counts.values())), sum(((c > 0).sum(0) for c in counts.values()), np.zeros(DIMENSIONS, np.int64))
+    model = Model([], np.zeros((0, DIMENSIONS)), np.log((1 + many) / (1 + seen)) + 1, np.zeros((LENGTHS, 0)))
     centroids, least = [], []
     for language in sorted(counts):
         x = model.vectors(counts[language])

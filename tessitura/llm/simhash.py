@@ -19,6 +19,8 @@ CHUNK = 200_000
 DEEP = 2_000_000
 #: Bytes of shingles (4 each) that a task compares at once, and members of a group that all of its blocks see.
 BLOCK, PIVOTS = 8_000_000, 32
+#: Links up to which one task finds their components, in some 50 MB; more go through rounds of joins.
+FEW_LINKS = 262_144
 #: The bits of each byte, each in a byte of its own.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
@@ -269,18 +271,42 @@ def _shape(state: DataFrame) -> tuple[bool, int, int, int]:
     return not found["open"], found["links"], found["n"], found["ups"]
 
 
+def _solved(links: DataFrame) -> DataFrame:
+    """(node, root) of a table of links (u, v) that ``cut`` has written, in one task."""
+
+    def run(batches):
+        held = [np.stack([c.to_numpy() for c in batch.columns]) for batch in batches if batch.num_rows]
+        if held:
+            nodes, place = np.unique(np.concatenate(held, axis=1), return_inverse=True)
+            groups = Groups(len(nodes))
+            groups.link(*place.reshape(2, -1))
+            yield pa.RecordBatch.from_arrays(_star(nodes, groups.root).columns, ["node", "root"])
+
+    found = shared.cut(links.select("u", "v").repartition(1).mapInArrow(shared.lean(run), "node long, root long"), "roots")
+    shared.discard(links)
+    return found
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the least node that it reaches.
 
-    Alternating large-star and small-star steps, until every node's only link is one to its root; each round is written to
-    the shared folder, so lineage stays short and a lost executor costs one at most. Links of a hub stay where they are, and
-    the hub's least neighbour is sent to them. Nothing but four numbers a round comes to the driver.
+    Up to ``FEW_LINKS`` links go to one task: a round of joins costs the driver a plan of dozens of exchanges, whatever
+    the number of links. More go through alternating large-star and small-star steps, until they are few or every node's
+    only link is one to its root; each round is written to the shared folder, so lineage stays short and a lost executor
+    costs one at most. Links of a hub stay where they are, and the hub's least neighbour is sent to them. Nothing but four numbers a
+    round comes to the driver.
     """
-    state = shared.cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    raw = shared.cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
+    if raw.count() <= FEW_LINKS:
+        return _solved(raw)
+    state = shared.cut(raw.distinct(), "edges")
+    shared.discard(raw)
     for _ in range(most_rounds):
         done, total, degree, ups = _shape(state)
         if done:
             return state.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        if total <= FEW_LINKS:
+            return _solved(state)
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"), "n")
         large = shared.spread(both.where("v > u"), low, [("u", "w")], "n", 2 * total, degree).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -424,7 +450,8 @@ def near_groups(
         roots = verified(classes, prints, roots, most, parts, limit, similarity)
     rooted = classes.join(roots, F.col("_node") == F.col("node"), "left").select(*[F.col(k).alias("c" + k) for k in keys], "_least", "_n", F.coalesce("root", "_node").alias("_group"))
     least = rooted.groupBy(F.col("_group").alias("_g")).agg(F.min("_least").alias("_root"), F.count("*").alias("_classes"))
-    rooted = shared.spread(rooted, least, [("_group", "_g")], "_classes", size["classes"])
+    # a table of its own: the next join would hold this one's plan five times
+    rooted = shared.cut(shared.spread(rooted, least, [("_group", "_g")], "_classes", size["classes"]), "rooted")
     found = shared.spread(prints.select("_id", "_hash", *keys), rooted, [(k, "c" + k) for k in keys], "_n", size["rows"] or 0)
     return found.select("_id", "_hash", *names, "_group", "_root")
 

@@ -65,6 +65,34 @@ def test_components(spark, shape):
     assert [root.get(i, i) for i in nodes] == want
 
 
+@pytest.mark.parametrize("few", [0, 150, 10**6])
+@pytest.mark.parametrize("shape", ["chain", "star", "trees"])
+def test_components_in_rounds_and_in_one_task(spark, monkeypatch, shape, few):
+    """The same roots, whatever number of links goes to one task; few links need no round, which costs the driver its plans."""
+    rounds, shape_of = [], simhash._shape
+    monkeypatch.setattr(simhash, "FEW_LINKS", few)
+    monkeypatch.setattr(simhash, "_shape", lambda state: rounds.append(1) or shape_of(state))
+    n = 300
+    edges = {"chain": [(i, i + 1) for i in range(n)], "star": [(7, i) for i in range(n)], "trees": [(i, i // 2 * 2 - 20) for i in range(20, n)]}[shape]
+    random.Random(1).shuffle(edges)
+    nodes = sorted({x for e in edges for x in e})
+    place, have = {x: i for i, x in enumerate(nodes)}, set(edges)
+    least = brute.components(len(place), lambda a, b: (nodes[a], nodes[b]) in have or (nodes[b], nodes[a]) in have)
+    found = simhash.components(spark.createDataFrame(edges + edges[:9], "a long, b long")).collect()
+    root = {r["node"]: r["root"] for r in found}
+    assert len(found) == len(root) == sum(r != i for i, r in enumerate(least))
+    assert [root.get(x, x) for x in nodes] == [nodes[r] for r in least]
+    assert bool(rounds) == (few < n - 20)
+
+
+def test_the_last_plan_is_small(make, monkeypatch):
+    """What the driver holds for the last join of groups: neither join with hot keys is planned within the other."""
+    monkeypatch.setattr(shared, "LEAST_JOINED", 3)
+    found = simhash.near_groups(make([(i, f"text number {i % 7}") for i in range(60)]))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 12
+    assert {r["_root"] for r in found.collect()} == set(range(7))
+
+
 def test_query_against_all_pairs(spark, duck):
     _, rows = duck("SELECT doc_id, text FROM documents", "sf0.001")
     prints = [brute.simhash(t, 4) for _, t in rows]
