@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessitura.functions import edits
 from tessitura.functions.music import col
 
 _SPACES = r"[\s\x1c-\x1f\x85\p{Z}]+"
@@ -40,38 +40,27 @@ def word_distance(a: Column, b: Column) -> Column:
 
 
 def align(a: list[str], b: list[str]) -> tuple[int, int, int, int]:
-    """Hits, substitutions, deletions, insertions of one best alignment; ties prefer the diagonal, then deletion.
-
-    A row of distances at a time; hits and substitutions on the best way to a place travel with it, so memory is in
-    proportion to the longer text and not to the product of both.
-    """
+    """Hits, substitutions, deletions, insertions of one best alignment; ties prefer the diagonal, then deletion."""
     known: dict[str, int] = {}
-    x, y = (np.array([known.setdefault(w, len(known)) for w in words], np.int64) for words in (a, b))
-    at = np.arange(len(y) + 1)
-    last, hits, replaced = at.copy(), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-    for word in x:
-        differs = y != word
-        diagonal, down = last[:-1] + differs, last + 1
-        best = down.copy()
-        np.minimum(best[1:], diagonal, out=best[1:])
-        row = np.minimum.accumulate(best - at) + at  # from the left: one more for each place
-        across = np.r_[False, row[1:] == diagonal]
-        origin = np.maximum.accumulate(np.where(across | (row == down), at, 0))  # where the insertions before a place begin
-        hits = np.where(across, np.r_[0, hits[:-1] + ~differs], hits)[origin]
-        replaced = np.where(across, np.r_[0, replaced[:-1] + differs], replaced)[origin]
-        last = row
-    both = int(hits[-1] + replaced[-1])
-    return int(hits[-1]), int(replaced[-1]), len(x) - both, len(y) - both
+    return edits.align(*(np.array([known.setdefault(w, len(known)) for w in words], np.int64) for words in (a, b)))
+
+
+def _numbered(*lists: pa.Array) -> list[edits.Side]:
+    """Equal words of a batch get equal numbers."""
+    flat = [x.flatten() for x in lists]
+    numbers = pc.fill_null(pa.concat_arrays(flat).dictionary_encode().indices, -3).to_numpy(zero_copy_only=False)
+    ends = np.cumsum([len(x) for x in flat])
+    return [(numbers[e - len(x) : e], pc.fill_null(pc.list_value_length(whole), 0).to_numpy(zero_copy_only=False).astype(np.int64)) for x, e, whole in zip(flat, ends, lists, strict=True)]
 
 
 _COUNTS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("hits", "substitutions", "deletions", "insertions")])
 
 
-@F.pandas_udf(_COUNTS)
-def alignment(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    """TXT3: the counts need a backtrace, so this one is Arrow-batched Python."""
-    for a, b in pairs:
-        yield pd.DataFrame([align(list(x), list(y)) for x, y in zip(a, b, strict=True)], columns=["hits", "substitutions", "deletions", "insertions"])
+@F.arrow_udf(_COUNTS)
+def alignment(a: pa.Array, b: pa.Array) -> pa.Array:
+    """TXT3: the counts need a backtrace, so this one is Arrow-batched Python, a batch of pairs at a time."""
+    found = edits.alignments(*_numbered(a, b))
+    return pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in found.T], _COUNTS.names, mask=pc.or_(a.is_null(), b.is_null()))
 
 
 def join_segments(texts) -> Column:

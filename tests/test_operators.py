@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tessitura.functions import music, text
+from tessitura.functions import edits, music, text
 from tessitura.operators import jobs, models, pitch, segments, signal
 from tessitura.operators.text_eval import evaluate_pairs
 from tessitura.plans import batch
@@ -322,3 +322,24 @@ def test_noise_gate_keeps_lengths(spark):
 def test_report_lines(spark):
     results = spark.createDataFrame([("ok", 0.5, 0.25), ("skipped_missing", None, None), ("download_error", None, None)], "status string, wer double, cer double")
     assert batch.lines(results) == ["total: 3", "ok: 1", "skipped: 1", "errors: 1", "mean_wer: 0.5", "mean_cer: 0.25", "median_wer: 0.5", "exit_code: 1"]
+
+
+def test_alignments_of_many_pairs():
+    """Pairs that share steps have what each has alone, with numbers of 32 and of 64 bits."""
+    rng = random.Random(3)
+    for symbols, longest, count in ((3, 12, 400), (9, 90, 60), (4, 1100, 3)):
+        pairs = [[[rng.randrange(symbols) for _ in range(rng.randint(0, longest))] for _ in "ab"] for _ in range(count)]
+        sides = [(np.array([w for p in pairs for w in p[i]], np.int32), np.array([len(p[i]) for p in pairs])) for i in (0, 1)]
+        assert [tuple(r) for r in edits.alignments(*sides)] == [text.align(*p) for p in pairs]
+
+
+def test_alignment_of_a_batch_takes_steps_of_its_longest_pair(spark, monkeypatch):
+    """Work in Python is for the longest of the pairs and not for each: it was the whole of wer_counts and wer_rates."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(edits, "align", None)  # one pair at a time
+    rows = [["a", "b", "c"], [], None, ["a", "x"]], [["a", "c"], ["a"], ["a"], ["a", "y"]]
+    got = text.alignment.func(*(pa.array(r, pa.list_(pa.string())) for r in rows)).to_pylist()
+    assert [r and tuple(r.values()) for r in got] == [(2, 0, 1, 0), (0, 0, 0, 1), None, (1, 1, 0, 0)]
+    df = spark.createDataFrame([("a b c", "a c"), ("", "b"), (None, None)], "source_text string, converted_text string")
+    assert [(r["hits"], r["deletions"], r["note"]) for r in evaluate_pairs(df).collect()] == [(2, 1, None), (None, None, "one text is empty"), (None, None, "both texts are empty")]
