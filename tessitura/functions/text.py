@@ -26,19 +26,6 @@ def tokens(text) -> Column:
     return F.filter(F.split(col(text), " "), lambda w: w != "")
 
 
-def word_distance(a: Column, b: Column) -> Column:
-    """Edits between two arrays of words: each distinct word becomes one character, so it is one ``levenshtein``.
-
-    Characters are those above the first 65,536, of which there are 2**20; a pair with more distinct words is an error.
-    The words of the pair stand in an array of one element, over which the distance is a transform: so they are listed
-    once a pair and not once a word.
-    """
-    number = lambda known: lambda w: F.lpad(F.hex((F.lit(0xFFFF) + F.array_position(known, w)).cast("long")), 8, "0")
-    spelled = lambda words, known: F.decode(F.unhex(F.array_join(F.transform(words, number(known)), "")), "UTF-32")
-    checked = lambda known: F.when(F.size(known) <= 1 << 20, F.lit(0)).otherwise(F.raise_error(F.lit("over 2**20 distinct words in a pair")).cast("int"))
-    return F.transform(F.array(F.array_distinct(F.concat(a, b))), lambda known: F.levenshtein(spelled(a, known), spelled(b, known)) + checked(known))[0]
-
-
 def align(a: list[str], b: list[str]) -> tuple[int, int, int, int]:
     """Hits, substitutions, deletions, insertions of one best alignment; ties prefer the diagonal, then deletion."""
     known: dict[str, int] = {}
@@ -56,6 +43,30 @@ def _numbered(*lists: pa.Array) -> list[edits.Side]:
 _COUNTS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("hits", "substitutions", "deletions", "insertions")])
 
 
+def _spelled(*texts: pa.Array) -> list[edits.Side]:
+    return [(np.frombuffer("".join(t for t in x.to_pylist() if t is not None).encode("utf-32-le"), np.uint32), pc.fill_null(pc.utf8_length(x), 0).to_numpy(zero_copy_only=False).astype(np.int64)) for x in texts]
+
+
+def _distances(sides, size, a: pa.Array, b: pa.Array) -> pa.Array:
+    """For some of the batch at a time, as numbers take more memory than texts."""
+    parts = (pc.fill_null(size(a), 0).to_numpy(zero_copy_only=False).astype(np.int64) + pc.fill_null(size(b), 0).to_numpy(zero_copy_only=False)).cumsum() >> 22
+    bounds = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(a)]
+    found = [edits.distances(*sides(a[i:j], b[i:j])) for i, j in zip(bounds, bounds[1:], strict=False)]
+    return pa.array(np.concatenate(found), pa.int32(), mask=pc.or_(a.is_null(), b.is_null()).to_numpy(zero_copy_only=False))
+
+
+@F.arrow_udf(T.IntegerType())
+def word_distance(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Edits between two arrays of words, of any number of distinct ones; null if one is."""
+    return _distances(_numbered, pc.list_value_length, a, b)
+
+
+@F.arrow_udf(T.IntegerType())
+def char_distance(a: pa.Array, b: pa.Array) -> pa.Array:
+    """What ``levenshtein`` gives, for 64 places at a time."""
+    return _distances(_spelled, pc.utf8_length, a, b)
+
+
 @F.arrow_udf(_COUNTS)
 def alignment(a: pa.Array, b: pa.Array) -> pa.Array:
     """TXT3: the counts need a backtrace, so this one is Arrow-batched Python, a batch of pairs at a time."""

@@ -343,3 +343,28 @@ def test_alignment_of_a_batch_takes_steps_of_its_longest_pair(spark, monkeypatch
     assert [r and tuple(r.values()) for r in got] == [(2, 0, 1, 0), (0, 0, 0, 1), None, (1, 1, 0, 0)]
     df = spark.createDataFrame([("a b c", "a c"), ("", "b"), (None, None)], "source_text string, converted_text string")
     assert [(r["hits"], r["deletions"], r["note"]) for r in evaluate_pairs(df).collect()] == [(2, 1, None), (None, None, "one text is empty"), (None, None, "both texts are empty")]
+
+
+def test_distances_of_many_pairs(monkeypatch):
+    """Pairs that share steps against a slow version: symbols in one table, in a table of each pair, and without a table."""
+    rng = random.Random(5)
+    for symbols, longest, count in ((3, 9, 300), (30, 200, 40), (400, 200, 30), (2, 400, 4)):
+        pairs = [[[rng.randrange(symbols) for _ in range(rng.randint(0, longest))] for _ in "ab"] for _ in range(count)]
+        side = lambda i, some: (np.array([w for p in some for w in p[i]], np.int32), np.array([len(p[i]) for p in some]))
+        slow = [sum(text.align(*p)[1:]) for p in pairs]
+        assert edits.distances(side(0, pairs), side(1, pairs)).tolist() == slow
+        with monkeypatch.context() as less:
+            less.setattr(edits, "_TABLE", 1)
+            assert [int(edits.distances(side(0, [p]), side(1, [p]))[0]) for p in pairs[:30]] == slow[:30]
+
+
+def test_any_number_of_distinct_words(spark):
+    """Over 2**20 of them in a pair were an error."""
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(1 << 20)), lambda i: i.cast("string")).alias("a"), F.array(F.lit("7"), F.lit("x")).alias("b"))
+    assert df.select(text.word_distance("a", "b")).first()[0] == 1 << 20
+
+
+def test_char_distance_is_levenshtein(spark):
+    rows = [("", ""), ("", "é"), (None, "a"), ("日本語", "日本"), ("𝄞a", "a𝄞"), ("kitten " * 40, "sitting " * 31)]
+    df = spark.createDataFrame(rows, "a string, b string").select(text.char_distance("a", "b").alias("x"), F.levenshtein("a", "b").alias("y"))
+    assert [r["x"] for r in df.collect()] == [r["y"] for r in df.collect()]
