@@ -54,16 +54,20 @@ def job_summary(results: DataFrame, submitted: Column | None = None) -> DataFram
 
 
 def upsert_key(documents: DataFrame, values: DataFrame, key: str, name: str, on: str) -> DataFrame:
-    """SNK9: replaces one top-level key of JSON documents; all other keys, known or not, stay as they are.
+    """SNK9: replaces one top-level key of JSON documents; all other keys, known or not, stay as they are."""
+    joined = documents.join(values.select(F.col(on), F.col("value").alias("_value")), on, "left")
+    return joined.withColumn(name, with_key(name, key, "_value")).drop("_value")
+
+
+def with_key(document: str, key: str, value: str) -> Column:
+    """A JSON document with one top-level key replaced by a JSON value; as it is where the value is null.
 
     The document is read as a map of variants, so a missing key and a null one stay different.
     """
-    old = F.from_json(F.to_json(F.from_json(F.col(name), "map<string,variant>")), "map<string,variant>")
-    fresh = values.select(F.col(on), F.col("value").alias("_value"))
-    joined = documents.join(fresh, on, "left")
+    old = F.from_json(F.to_json(F.from_json(F.col(document), "map<string,variant>")), "map<string,variant>")
     kept = F.map_filter(old, lambda k, v: k != key)
-    entry = F.map_from_arrays(F.array(F.lit(key)), F.array(F.parse_json("_value")))
-    return joined.withColumn(name, F.when(F.col("_value").isNull(), F.col(name)).otherwise(F.to_json(F.map_concat(kept, entry)))).drop("_value")
+    entry = F.map_from_arrays(F.array(F.lit(key)), F.array(F.parse_json(value)))
+    return F.when(F.col(value).isNull(), F.col(document)).otherwise(F.to_json(F.map_concat(kept, entry)))
 
 
 def has_key(document: Column, key: str) -> Column:

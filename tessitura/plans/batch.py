@@ -35,8 +35,7 @@ def evaluate(listing: DataFrame, documents: DataFrame, transcripts: DataFrame, b
     found = found.withColumn("status", F.coalesce("status", F.when(F.col("_entry").isNull(), "inference_error").otherwise("ok")))
     ok = F.col("status") == "ok"
     result = found.select("subprefix", "status", "document", *[F.when(ok, F.col(c)).alias(c) for c in kept], F.when(ok, F.col("_entry")).alias("_entry"))
-    entries = result.where("_entry is not null").select("subprefix", F.col("_entry").alias("value"))
-    return jobs.upsert_key(result.drop("_entry"), entries, block, "document", "subprefix")
+    return result.withColumn("document", jobs.with_key("document", block, "_entry")).drop("_entry")  # in its own row: to join it would score all pairs again
 
 
 def report(results: DataFrame) -> DataFrame:

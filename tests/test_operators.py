@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import statistics
 
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from tessitura.functions import edits, music, text
 from tessitura.operators import jobs, models, pitch, segments, signal
 from tessitura.operators.text_eval import evaluate_pairs
-from tessitura.plans import batch
+from tessitura.plans import batch, catalogue
+
+DATA = os.environ.get("TEST_DATA", "/root/testdata")
 
 
 def one(spark, **columns):
@@ -368,3 +371,10 @@ def test_char_distance_is_levenshtein(spark):
     rows = [("", ""), ("", "é"), (None, "a"), ("日本語", "日本"), ("𝄞a", "a𝄞"), ("kitten " * 40, "sitting " * 31)]
     df = spark.createDataFrame(rows, "a string, b string").select(text.char_distance("a", "b").alias("x"), F.levenshtein("a", "b").alias("y"))
     assert [r["x"] for r in df.collect()] == [r["y"] for r in df.collect()]
+
+
+@pytest.mark.parametrize("name", ["batch_evaluation", "batch_report"])
+def test_a_collection_is_scored_once(spark, name):
+    """The join that wrote the entries back had all pairs scored a second time."""
+    plan = catalogue.QUERIES[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
